@@ -93,7 +93,7 @@ def build_gold(store: TableStore, market_landing: str | list[str]) -> DataFrame:
     """
     market = scan_csv(store.spark, market_landing, MARKET_LANDING)
     for tag, df in gold_stage(store, market).items():
-        store.rebuild(df, "gold", tag)
+        store.rebuild(df, tag)
     staged = {spec.tag: store.gold(spec.tag) for spec in SOURCES}
-    store.rebuild(nested_gold(staged), "gold", "final")
+    store.rebuild(nested_gold(staged), "final")
     return store.gold("final")

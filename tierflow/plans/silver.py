@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tierflow.operators import join_per_key, newer_than, to_silver
+from tierflow.session import cut_lineage
 from tierflow.sources.tables import LOAD_ID, TableStore, load_id
 from tierflow.specs import FILE_NAME, LOAD_TS, SourceSpec
 
@@ -22,15 +23,15 @@ def pending_batches(bronze: DataFrame, silver: DataFrame) -> DataFrame:
 def incoming_rows(bronze: DataFrame, silver: DataFrame, spec: SourceSpec) -> DataFrame:
     """Silver-shaped rows of the pending batches.
 
-    Where Bronze has its load partition, the batch names its load too, so Spark
-    can skip all loads but those at run time.
+    The pending batches (one row per file) are worked out first.  Where Bronze
+    has its load partition, only the loads they name are then read in full; the
+    driver sees the ids of those loads, not files or rows.
     """
-    pending = pending_batches(bronze, silver)
-    on = [FILE_NAME, LOAD_TS]
+    pending = cut_lineage(pending_batches(bronze, silver))
     if LOAD_ID in bronze.columns:
-        pending = pending.withColumn(LOAD_ID, load_id())
-        on.append(LOAD_ID)
-    return to_silver(join_per_key(bronze, pending, on), spec)
+        loads = pending.select(load_id().alias(LOAD_ID)).distinct().collect()
+        bronze = bronze.filter(F.col(LOAD_ID).isin([r[LOAD_ID] for r in loads]))
+    return to_silver(join_per_key(bronze, pending, [FILE_NAME, LOAD_TS]), spec)
 
 
 def refresh_silver(store: TableStore, spec: SourceSpec) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     # Timestamps become text in the wide table, so the zone must be fixed.
@@ -42,3 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="tierflow-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint a (small) frame in the shared folder, where it outlives executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

@@ -44,7 +44,7 @@ class TableStore:
 
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         """A table by logical name; with a schema, a missing one is empty."""
-        location = self._published(f"{layer}/{name}") or self.path(layer, name)
+        location = self._published(name) if layer == "gold" else self.path(layer, name)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
             return reader.parquet(location)
@@ -93,16 +93,16 @@ class TableStore:
             .parquet(self.path(layer, name))
         )
 
-    def rebuild(self, df: DataFrame, layer: str, name: str) -> str:
-        """Write a table anew, then point readers at it.
+    def rebuild(self, df: DataFrame, name: str) -> str:
+        """Write a Gold table anew, then point readers at it.
 
         The old build stays readable until the new one is complete, also for a
         query that builds a table from itself.
         """
         stamp = time.time_ns()
-        location = f"{self.path(layer, name)}/build_{stamp}"
+        location = f"{self.path('gold', name)}/build_{stamp}"
         df.write.parquet(location)
-        entry = [(f"{layer}/{name}", location, stamp)]
+        entry = [(name, location, stamp)]
         self.spark.createDataFrame(entry, PUBLISHED).coalesce(1).write.mode("append").parquet(
             f"{self.root}/published"
         )
@@ -111,19 +111,19 @@ class TableStore:
     def truncate(self, tables: list[tuple[str, str]]) -> None:
         """Empty the named (layer, name) tables; their columns stay."""
         for layer, name in tables:
-            schema = self.read(layer, name).schema
-            empty = self.spark.createDataFrame([], schema)
-            if self._published(f"{layer}/{name}"):
-                self.rebuild(empty, layer, name)
+            empty = self.spark.createDataFrame([], self.read(layer, name).schema)
+            if layer == "gold":
+                self.rebuild(empty, name)
             else:
                 empty.write.mode("overwrite").parquet(self.path(layer, name))
 
-    def _published(self, table: str) -> str | None:
+    def _published(self, name: str) -> str:
+        """Folder of the newest complete build (the table's own if there is none)."""
         try:
             published = self.spark.read.schema(PUBLISHED).parquet(f"{self.root}/published")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-        newest = published.filter(F.col("table") == table).agg(F.max_by("path", "published_at"))
-        return newest.first()[0]
+            return self.path("gold", name)
+        newest = published.filter(F.col("table") == name).agg(F.max_by("path", "published_at"))
+        return newest.first()[0] or self.path("gold", name)
