@@ -2,12 +2,14 @@ from tierflow.plans.archive import archive, archive_tally, arrival_audit
 from tierflow.plans.bronze import load_bronze
 from tierflow.plans.gold import build_gold, enrich_international, json_gold, nested_gold, team_report
 from tierflow.plans.silver import incoming_rows, pending_batches, refresh_silver
+from tierflow.plans.sources import each_source
 
 __all__ = [
     "archive",
     "archive_tally",
     "arrival_audit",
     "build_gold",
+    "each_source",
     "enrich_international",
     "incoming_rows",
     "json_gold",

@@ -14,6 +14,7 @@ from tierflow.operators import (
     prefixed,
     require_key,
 )
+from tierflow.plans.sources import each_source
 from tierflow.sources.csv_landing import scan_csv
 from tierflow.sources.tables import TableStore
 from tierflow.specs import (
@@ -92,8 +93,8 @@ def build_gold(store: TableStore, market_landing: str | list[str]) -> DataFrame:
     stage once instead of repeating its joins.
     """
     market = scan_csv(store.spark, market_landing, MARKET_LANDING)
-    for tag, df in gold_stage(store, market).items():
-        store.rebuild(df, tag)
+    stage = gold_stage(store, market)
+    each_source(lambda spec: store.rebuild(stage[spec.tag], spec.tag))
     staged = {spec.tag: store.gold(spec.tag) for spec in SOURCES}
     store.rebuild(nested_gold(staged), "final")
     return store.gold("final")

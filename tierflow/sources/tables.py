@@ -13,7 +13,6 @@ from tierflow.specs import FILE_NAME, LOAD_TS, SourceSpec
 LOAD_ID = "load_id"
 PUBLISHED = T.StructType(
     [
-        T.StructField("table", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("published_at", T.LongType()),
     ]
@@ -102,10 +101,8 @@ class TableStore:
         stamp = time.time_ns()
         location = f"{self.path('gold', name)}/build_{stamp}"
         df.write.parquet(location)
-        entry = [(name, location, stamp)]
-        self.spark.createDataFrame(entry, PUBLISHED).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/published"
-        )
+        entry = self.spark.createDataFrame([(location, stamp)], PUBLISHED)
+        entry.coalesce(1).write.mode("append").parquet(self._builds(name))
         return location
 
     def truncate(self, tables: list[tuple[str, str]]) -> None:
@@ -117,13 +114,16 @@ class TableStore:
             else:
                 empty.write.mode("overwrite").parquet(self.path(layer, name))
 
+    def _builds(self, name: str) -> str:
+        # One folder per table: builds of several tables may be published at once.
+        return f"{self.root}/published/{name}"
+
     def _published(self, name: str) -> str:
         """Folder of the newest complete build (the table's own if there is none)."""
         try:
-            published = self.spark.read.schema(PUBLISHED).parquet(f"{self.root}/published")
+            builds = self.spark.read.schema(PUBLISHED).parquet(self._builds(name))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.path("gold", name)
-        newest = published.filter(F.col("table") == name).agg(F.max_by("path", "published_at"))
-        return newest.first()[0] or self.path("gold", name)
+        return builds.agg(F.max_by("path", "published_at")).first()[0]
