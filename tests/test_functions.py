@@ -9,6 +9,7 @@ from tierflow.functions import (
     market_codes,
     numeric_text,
     safe_numeric,
+    safe_numeric_sql,
     split_literal,
     uri_text,
 )
@@ -69,7 +70,7 @@ def test_numeric_text(spark, number, text, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        assert one(spark, numeric_text(safe_numeric("n")), n=number) == text
+        assert one(spark, numeric_text(safe_numeric_sql("n")), n=number) == text
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 

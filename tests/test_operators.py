@@ -109,6 +109,11 @@ def test_hot_key_is_split_in_joins_with_aggregates(spark):
             rows_present(df, other, "k"),
             rows_absent(df, other.filter("k < 0"), "k"),
             join_per_key(df, df.groupBy("k").agg(F.max("t").alias("m")), ["k"]),
+            left_join_any(
+                df,
+                spark.range(1000).selectExpr("cast(id as int) as x", "id - 1 as y"),
+                [(F.col("k"), F.col("x")), (F.col("k"), F.col("y"))],
+            ),
         ):
             assert got.count() > 0
             counted = got.groupBy("t").count()

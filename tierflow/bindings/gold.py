@@ -14,7 +14,7 @@ from tierflow.bindings.tables import (
     silver_sql,
     table,
 )
-from tierflow.functions import numeric_text
+from tierflow.functions import numeric_text, numeric_text_sql
 from tierflow.operators import (
     json_document,
     json_report,
@@ -110,13 +110,15 @@ def nested(spark, sf_dir):
 
 
 def _leaves(master):
-    cells = []
-    for struct, name, column, leaf in _leaf_names():
-        value = F.col(f"{struct}.{name}")
-        cells.append((numeric_text(value) if column in WIDE_NUMERIC else value).alias(leaf))
-    for field in master.schema["METADATA"].dataType.names:
-        cells.append(F.col(f"METADATA.{field}").cast("string").alias(field))
-    return master.select(*cells, "source_table")
+    cells = [
+        f"{numeric_text_sql(f'{struct}.{name}') if column in WIDE_NUMERIC else f'{struct}.{name}'} as {leaf}"
+        for struct, name, column, leaf in _leaf_names()
+    ]
+    metadata = [
+        f"cast(METADATA.{field} as string) as {field}"
+        for field in master.schema["METADATA"].dataType.names
+    ]
+    return master.selectExpr(*cells, *metadata, "source_table")
 
 
 def nested_guarded(spark, sf_dir):

@@ -48,10 +48,6 @@ def _run_dir(spark) -> str:
     return f"{shared_dir(spark)}/runs/{uuid.uuid4().hex}"
 
 
-def _utc(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
-
-
 def csv_by_position(spark, sf_dir):
     batch = write_landing(landing_frame(spark, sf_dir, BATSMEN.name), _run_dir(spark), "20240101")
     return scan_csv(spark, batch, BATSMEN, bind="position")
@@ -90,7 +86,7 @@ def bronze_load(spark, sf_dir):
     store = TableStore(spark, _run_dir(spark))
     batch = write_landing(landing_frame(spark, sf_dir, BATSMEN.name), f"{store.root}/landing", "20240101")
     for load in (FIRST_LOAD, SECOND_LOAD):
-        bronze = load_bronze(store, BATSMEN, batch, _utc(load))
+        bronze = load_bronze(store, BATSMEN, batch, F.lit(load).cast("timestamp"))
     return bronze.select(
         *BATSMEN.landing,
         F.col("file_name").startswith("part-").cast("int").alias("has_file_name"),

@@ -25,14 +25,17 @@ from tierflow.specs import ALLROUNDERS, BATSMEN, RESULTS
 
 
 def safe_numbers(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
     level = split_literal("o_orderpriority", "-")
-    return orders.select(
+    first = F.get(level, F.lit(0))
+    typed = table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        numeric_text(safe_numeric(F.get(level, F.lit(0)))).alias("level"),
-        numeric_text(safe_numeric(F.get(level, F.lit(1)))).alias("not_a_number"),
-        numeric_text(safe_numeric(F.get(level, F.lit(2)))).alias("out_of_range"),
-        safe_numeric(F.concat(F.lit(" +"), F.get(level, F.lit(0)), F.lit("e2 "))).cast("double").alias("exponent"),
+        safe_numeric(first).alias("level"),
+        safe_numeric(F.get(level, F.lit(1))).alias("not_a_number"),
+        safe_numeric(F.get(level, F.lit(2))).alias("out_of_range"),
+        safe_numeric(F.concat(F.lit(" +"), first, F.lit("e2 "))).alias("exponent"),
+    )
+    return typed.select(
+        "o_orderkey", *[numeric_text(c).alias(c) for c in typed.columns if c != "o_orderkey"]
     )
 
 
@@ -151,7 +154,7 @@ ORACLES = {
                {plain_number("try_cast(split_part(o_orderpriority, '-', 1) AS decimal(38,9))")} AS level,
                {plain_number("try_cast(split_part(o_orderpriority, '-', 2) AS decimal(38,9))")} AS not_a_number,
                cast(NULL AS varchar) AS out_of_range,
-               cast(split_part(o_orderpriority, '-', 1) AS double) * 100 AS exponent
+               split_part(o_orderpriority, '-', 1) || '00' AS exponent
         FROM orders""",
     "numeric_text": f"""
         SELECT l_orderkey, l_linenumber,

@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.functions import safe_numeric  # noqa: F401  (re-exported for bindings)
 from tierflow.operators import to_silver
 from tierflow.specs import BY_NAME, FILE_NAME, LOAD_TS, NUMERIC, SOURCES, SourceSpec
 
@@ -142,24 +141,24 @@ MARKET = Binding(
 def landing_frame(spark, sf_dir, name: str) -> DataFrame:
     """A source's landing columns, as text."""
     bound = BINDINGS[name]
-    return table(spark, sf_dir, bound.table).select(
-        *[F.expr(bound.columns[c]).alias(c) for c in BY_NAME[name].landing]
+    return table(spark, sf_dir, bound.table).selectExpr(
+        *[f"{bound.columns[c]} as {c}" for c in BY_NAME[name].landing]
     )
 
 
 def bronze_frame(spark, sf_dir, name: str, load_ts: str = FIRST_LOAD) -> DataFrame:
     """Landing columns plus file name and load timestamp."""
     bound = BINDINGS[name]
-    return table(spark, sf_dir, bound.table).select(
-        *[F.expr(bound.columns[c]).alias(c) for c in BY_NAME[name].landing],
-        F.expr(bound.file_name).alias(FILE_NAME),
-        F.lit(load_ts).cast("timestamp").alias(LOAD_TS),
+    return table(spark, sf_dir, bound.table).selectExpr(
+        *[f"{bound.columns[c]} as {c}" for c in BY_NAME[name].landing],
+        f"{bound.file_name} as {FILE_NAME}",
+        f"timestamp '{load_ts}' as {LOAD_TS}",
     )
 
 
 def market_frame(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, MARKET.table).select(
-        *[F.expr(sql).alias(c) for c, sql in MARKET.columns.items()]
+    return table(spark, sf_dir, MARKET.table).selectExpr(
+        *[f"{sql} as {c}" for c, sql in MARKET.columns.items()]
     )
 
 

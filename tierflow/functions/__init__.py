@@ -3,7 +3,9 @@ from tierflow.functions.scalars import (
     file_stem,
     market_codes,
     numeric_text,
+    numeric_text_sql,
     safe_numeric,
+    safe_numeric_sql,
     split_literal,
     uri_text,
 )
@@ -25,7 +27,9 @@ __all__ = [
     "is_truthy",
     "market_codes",
     "numeric_text",
+    "numeric_text_sql",
     "safe_numeric",
+    "safe_numeric_sql",
     "split_literal",
     "uri_text",
 ]

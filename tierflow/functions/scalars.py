@@ -45,17 +45,27 @@ def safe_numeric(c: Column | str) -> Column:
     return _column(c).try_cast(NUMERIC)
 
 
-def numeric_text(c: Column | str) -> Column:
+def safe_numeric_sql(sql: str) -> str:
+    """``safe_numeric`` as SQL text, for wide projections built in one go."""
+    return f"try_cast({sql} as {NUMERIC.simpleString()})"
+
+
+def numeric_text_sql(sql: str) -> str:
     """A decimal as plain text without trailing zeros: 12, 19.4, 0.
 
-    Below a millionth, the cast alone would give ``1E-9`` in a session without
-    ANSI mode, so those few digits are written out.
+    Below a millionth, the cast alone gives ``1E-9`` in a session without ANSI
+    mode; then those few digits are written out.
     """
-    n = _column(c).cast(NUMERIC)
-    digits = F.lpad((F.abs(n) * 1_000_000_000).cast("bigint").cast("string"), 9, "0")
-    tiny = F.concat(F.when(n < 0, F.lit("-0.")).otherwise(F.lit("0.")), digits)
-    text = F.when(F.abs(n) < F.lit("0.000001").cast(NUMERIC), tiny).otherwise(n.cast("string"))
-    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    n = f"cast({sql} as {NUMERIC.simpleString()})"
+    text = f"cast({n} as string)"
+    digits = f"lpad(cast(cast(abs({n}) * 1000000000 as bigint) as string), 9, '0')"
+    tiny = f"concat(if({n} < 0, '-0.', '0.'), {digits})"
+    return f"rtrim('.', rtrim('0', if(contains({text}, 'E'), {tiny}, {text})))"
+
+
+def numeric_text(name: str) -> Column:
+    """``numeric_text_sql`` of a column name or other SQL text."""
+    return F.expr(numeric_text_sql(name))
 
 
 def market_codes(code: Column | str) -> tuple[Column, Column]:

@@ -52,6 +52,28 @@ def json_document(df: DataFrame, tag: str, rows_per_part: int = ROWS_PER_PART) -
     A table of up to ``rows_per_part`` rows is one array, an empty one ``[]``.  A
     larger table comes as several arrays of about that many rows, so no task or
     cell ever holds the whole table; together the parts hold every row once.
+    """
+    placed = _placed(df, tag, rows_per_part)
+    return placed.groupBy("source_table", "part").agg(_array_text(tag).alias("rows_json"))
+
+
+def json_report(
+    frames: dict[str, DataFrame], columns: dict[str, str], rows_per_part: int = ROWS_PER_PART
+) -> DataFrame:
+    """All tables side by side, one column of JSON arrays per table.
+
+    One row if every table fits one part; else one row per part number, NULL
+    where a table has fewer parts.
+    """
+    placed = reduce(
+        DataFrame.unionByName, [_placed(df, tag, rows_per_part) for tag, df in frames.items()]
+    )
+    return placed.groupBy("part").agg(*[_array_text(tag).alias(columns[tag]) for tag in frames])
+
+
+def _placed(df: DataFrame, tag: str, rows_per_part: int) -> DataFrame:
+    """(source_table, part, row_json, times): each distinct row text and its place.
+
     Rows are placed by a hash of their text, so parts do not depend on how the
     data was split.  Copies of a row are counted first and then spread in runs,
     so that many equal rows do not fill one part.
@@ -64,6 +86,7 @@ def json_document(df: DataFrame, tag: str, rows_per_part: int = ROWS_PER_PART) -
         .agg(F.count("*").alias("copies"))
         .withColumn("run", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / size) - 1)))
         .select(
+            F.lit(tag).alias("source_table"),
             _part(F.concat_ws(":", "row_json", "run"), parts).alias("part"),
             "row_json",
             F.least(size, F.col("copies") - F.col("run") * size).cast("int").alias("times"),
@@ -71,42 +94,25 @@ def json_document(df: DataFrame, tag: str, rows_per_part: int = ROWS_PER_PART) -
     )
     # An empty table still is a document.
     blank = df.sparkSession.range(1).select(
+        F.lit(tag).alias("source_table"),
         F.lit(0).cast("bigint").alias("part"),
         F.lit(None).cast("string").alias("row_json"),
         F.lit(0).alias("times"),
     )
+    return runs.unionByName(blank)
+
+
+def _array_text(tag: str) -> Column:
+    """Aggregate: one table's rows of a part as a JSON array; NULL if it has no such part."""
+    own = F.col("source_table") == tag
     listed = F.sort_array(
-        F.collect_list(F.when(F.col("row_json").isNotNull(), F.struct("row_json", "times")))
+        F.collect_list(F.when(own & F.col("row_json").isNotNull(), F.struct("row_json", "times")))
     )
     repeated = F.flatten(F.transform(listed, lambda r: F.array_repeat(r["row_json"], r["times"])))
-    return (
-        runs.unionByName(blank)
-        .groupBy("part")
-        .agg(F.concat(F.lit("["), F.array_join(repeated, ","), F.lit("]")).alias("rows_json"))
-        .select(F.lit(tag).alias("source_table"), "part", "rows_json")
-    )
+    text = F.concat(F.lit("["), F.array_join(repeated, ","), F.lit("]"))
+    return F.when(F.bool_or(own), text)
 
 
 def _part(text: Column, parts: Column) -> Column:
     head = F.conv(F.substr(F.md5(text), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
     return F.pmod(head, parts.cast("bigint"))
-
-
-def json_report(
-    frames: dict[str, DataFrame], columns: dict[str, str], rows_per_part: int = ROWS_PER_PART
-) -> DataFrame:
-    """All tables side by side, one column of JSON arrays per table.
-
-    One row if every table fits one part; else one row per part number, NULL
-    where a table has fewer parts.
-    """
-    documents = reduce(
-        DataFrame.unionByName,
-        [json_document(df, tag, rows_per_part) for tag, df in frames.items()],
-    )
-    return documents.groupBy("part").agg(
-        *[
-            F.max(F.when(F.col("source_table") == tag, F.col("rows_json"))).alias(columns[tag])
-            for tag in frames
-        ]
-    )

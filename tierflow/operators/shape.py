@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tierflow.functions import market_codes, safe_numeric
+from tierflow.functions import market_codes, safe_numeric_sql
 from tierflow.specs import FILE_NAME, LOAD_TS, SourceSpec
 
 
@@ -16,15 +16,15 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
 def to_silver(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Rename, type and default the Bronze columns of one source."""
     lineage = [c for c in (FILE_NAME, LOAD_TS) if c in df.columns]
-    return df.select(*[_silver_column(spec, c).alias(c) for c in spec.columns], *lineage)
+    return df.selectExpr(*[f"{_silver_sql(spec, c)} as `{c}`" for c in spec.columns], *lineage)
 
 
-def _silver_column(spec: SourceSpec, name: str) -> Column:
-    value = F.col(spec.columns[name])
+def _silver_sql(spec: SourceSpec, name: str) -> str:
+    value = f"`{spec.columns[name]}`"
     if name in spec.defaults:
         further, final = spec.defaults[name]
-        value = F.coalesce(value, *[F.col(c) for c in further], F.lit(final))
-    return safe_numeric(value) if name in spec.numeric else value
+        value = f"coalesce({', '.join([value, *(f'`{c}`' for c in further), repr(final)])})"
+    return safe_numeric_sql(value) if name in spec.numeric else value
 
 
 def require_key(df: DataFrame, key: str) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tierflow.functions import numeric_text, safe_numeric
+from tierflow.functions import numeric_text_sql, safe_numeric_sql
 from tierflow.specs import (
     FILE_NAME,
     GOLD_STRUCTS,
@@ -20,8 +20,10 @@ from tierflow.specs import (
 TAG = "source_table"
 
 
-def _as_text(name: str, dtype: T.DataType) -> Column:
-    return numeric_text(name) if isinstance(dtype, T.DecimalType) else F.col(name).cast("string")
+def _as_text(field: T.StructField) -> str:
+    if isinstance(field.dataType, T.DecimalType):
+        return numeric_text_sql(f"`{field.name}`")
+    return f"cast(`{field.name}` as string)"
 
 
 def wide_union(frames: dict[str, DataFrame], columns: tuple[str, ...] = WIDE_COLUMNS) -> DataFrame:
@@ -33,12 +35,10 @@ def wide_union(frames: dict[str, DataFrame], columns: tuple[str, ...] = WIDE_COL
     def widen(tag: str, df: DataFrame) -> DataFrame:
         own = {f.name.lower(): f for f in df.schema}
         cells = [
-            _as_text(own[c.lower()].name, own[c.lower()].dataType).alias(c)
-            if c.lower() in own
-            else F.lit(None).cast("string").alias(c)
+            f"{_as_text(own[c.lower()]) if c.lower() in own else 'cast(null as string)'} as `{c}`"
             for c in columns
         ]
-        return df.select(*cells, F.lit(tag).alias(TAG))
+        return df.selectExpr(*cells, f"'{tag}' as {TAG}")
 
     return reduce(DataFrame.union, [widen(tag, df) for tag, df in frames.items()])
 
@@ -49,35 +49,38 @@ def nest_gold(df: DataFrame, tags: tuple[str, ...], guarded: bool = False) -> Da
     Every struct is filled from its columns whatever the row's source, so the
     ranking structs of one ranking row all show it.  ``guarded=True`` leaves the
     ranking structs of other sources NULL.
+
+    The projection is given as SQL text: as Column calls, its several hundred
+    cells would take longer to build than to run.
     """
     have = {f.name.lower(): f for f in df.schema}
 
-    def cell(wide: str) -> Column:
-        f = have.get(wide.lower())
-        if f is None:
-            return F.lit(None).cast("string" if wide not in WIDE_NUMERIC else "decimal(38,9)")
+    def cell(wide: str) -> str:
+        field = have.get(wide)
         if wide in WIDE_NUMERIC:
-            typed = isinstance(f.dataType, T.DecimalType)
-            return F.col(f.name) if typed else safe_numeric(f.name)
-        return _as_text(f.name, f.dataType)
-
-    def packed(struct: str) -> Column:
-        value = F.struct(*[cell(wide).alias(name) for name, wide in GOLD_STRUCTS[struct]])
+            if field is None:
+                return safe_numeric_sql("null")
+            typed = isinstance(field.dataType, T.DecimalType)
+            return f"`{field.name}`" if typed else safe_numeric_sql(f"`{field.name}`")
+        return "cast(null as string)" if field is None else _as_text(field)
+
+    def packed(struct: str) -> str:
+        value = ", ".join(f"{cell(wide)} as {name}" for name, wide in GOLD_STRUCTS[struct])
+        value = f"struct({value})"
         if guarded and struct in RANKING_OWNER:
-            value = F.when(F.col(TAG) == RANKING_OWNER[struct], value)
-        return value.alias(struct)
+            value = f"case when {TAG} = '{RANKING_OWNER[struct]}' then {value} end"
+        return f"{value} as {struct}"
 
-    def routed(value: Column, suffix: str) -> list[Column]:
+    def routed(value: str, suffix: str) -> list[str]:
         return [
-            F.when(F.col(TAG) == tag, value).alias(f"{metadata_label(tag)}_{suffix}")
+            f"case when {TAG} = '{tag}' then {value} end as {metadata_label(tag)}_{suffix}"
             for tag in tags
         ]
 
-    metadata = F.struct(
-        *routed(F.col(FILE_NAME), FILE_NAME),
-        *routed(F.col(LOAD_TS).cast("timestamp"), LOAD_TS),
-    ).alias("METADATA")
-    return df.select(*[packed(s) for s in GOLD_STRUCTS], metadata, TAG)
+    metadata = routed(FILE_NAME, FILE_NAME) + routed(f"cast({LOAD_TS} as timestamp)", LOAD_TS)
+    return df.selectExpr(
+        *[packed(s) for s in GOLD_STRUCTS], f"struct({', '.join(metadata)}) as METADATA", TAG
+    )
 
 
 def nested_union(frames: dict[str, DataFrame], guarded: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tierflow.sources.csv_landing import scan_csv
 from tierflow.sources.lineage import stage_bronze
@@ -16,7 +16,7 @@ def load_bronze(
     store: TableStore,
     spec: SourceSpec,
     landing: str | list[str],
-    load_ts: dt.datetime | None = None,
+    load_ts: dt.datetime | Column | None = None,
 ) -> DataFrame:
     """Append every row now in landing, with file name and load timestamp.
 

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The nested Gold row has more leaves than the default limit for generated code.
+    "spark.sql.codegen.maxFields": "1000",
     # Lets a rebalanced write split one hot file over many tasks.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
