@@ -136,6 +136,7 @@ def test_refresh_reads_only_pending_loads(store, land, spark):
     assert [r.file_name for r in rows_in.collect()] == ["f3"]
     plan = rows_in._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*load_id#\d+ = L20240104", plan)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 @pytest.mark.parametrize("spec", SOURCES, ids=lambda s: s.name)

@@ -124,6 +124,26 @@ def test_hot_key_is_split_in_joins_with_aggregates(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_measured_side_spares_the_rows_a_shuffle(spark):
+    """A table too large to broadcast by estimate, its aggregate small in truth."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")
+    try:
+        df = spark.range(100_000).selectExpr("id % 5 as k", "id % 7 as t", "id")
+        for call in (
+            lambda m: latest_batch(df, "k", "t", measure=m),
+            lambda m: newer_than(df, df.filter("t = 1"), "k", "t", measure=m),
+            lambda m: rows_present(df, df.filter("t = 1"), "k", measure=m),
+            lambda m: rows_absent(df, df.filter("k = 1"), "k", measure=m),
+        ):
+            assert "SortMergeJoin" in plan(call(False))
+            got = call(True)
+            assert "BroadcastHashJoin" in plan(got) and "Exchange hashpartitioning" not in plan(got)
+            assert got.count() == call(False).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 # --- disjunctive join -------------------------------------------------------------
 
 

@@ -5,24 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierflow.operators.joins import join_per_key
+from tierflow.session import measured
 from tierflow.specs import FILE_NAME, LOAD_TS
 
 
-def latest_batch(df: DataFrame, key: str = FILE_NAME, ts: str = LOAD_TS) -> DataFrame:
+def latest_batch(
+    df: DataFrame, key: str = FILE_NAME, ts: str = LOAD_TS, measure: bool = False
+) -> DataFrame:
     """The rows of each key's newest timestamp, ties and duplicates included.
 
     Equal to ``rank() over (partition by key order by ts desc) = 1`` but without
     sorting a whole key in one task: the newest timestamp per key is aggregated
     map-side and joined back, so a hot key can be split.  Null-safe equality keeps
     a NULL key as a group of its own and keys that have NULL timestamps only.
+    ``measure`` as in ``join_per_key``.
     """
     newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(ts).alias("_newest"))
+    if measure:
+        newest = measured(newest)
     same = F.col(key).eqNullSafe(F.col("_key")) & F.col(ts).eqNullSafe(F.col("_newest"))
     return df.join(newest, same).select(*df.columns)
 
 
 def newer_than(
-    incoming: DataFrame, current: DataFrame, key: str = FILE_NAME, ts: str = LOAD_TS
+    incoming: DataFrame,
+    current: DataFrame,
+    key: str = FILE_NAME,
+    ts: str = LOAD_TS,
+    measure: bool = False,
 ) -> DataFrame:
     """Incoming rows whose key is unknown, or newer than some current row of it.
 
@@ -33,20 +43,24 @@ def newer_than(
         F.min(ts).alias("_known_ts"), F.lit(True).alias("_known")
     )
     return (
-        join_per_key(incoming, known, [key], "left")
+        join_per_key(incoming, known, [key], "left", measure)
         .filter(F.col("_known").isNull() | (F.col(ts) > F.col("_known_ts")))
         .select(*incoming.columns)
     )
 
 
-def rows_present(df: DataFrame, other: DataFrame, key: str = FILE_NAME) -> DataFrame:
+def rows_present(
+    df: DataFrame, other: DataFrame, key: str = FILE_NAME, measure: bool = False
+) -> DataFrame:
     """Rows whose key occurs in ``other`` (EXISTS)."""
-    return join_per_key(df, _keys(other, key), [key], "left_semi")
+    return join_per_key(df, _keys(other, key), [key], "left_semi", measure)
 
 
-def rows_absent(df: DataFrame, other: DataFrame, key: str = FILE_NAME) -> DataFrame:
+def rows_absent(
+    df: DataFrame, other: DataFrame, key: str = FILE_NAME, measure: bool = False
+) -> DataFrame:
     """Rows whose key does not occur in ``other`` (NOT EXISTS)."""
-    return join_per_key(df, _keys(other, key), [key], "left_anti")
+    return join_per_key(df, _keys(other, key), [key], "left_anti", measure)
 
 
 def _keys(df: DataFrame, key: str) -> DataFrame:

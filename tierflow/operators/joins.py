@@ -7,21 +7,35 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierflow.session import measured
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+
+def join_per_key(
+    rows: DataFrame, per_key: DataFrame, on: list[str], how: str = "inner", measure: bool = False
+) -> DataFrame:
     """Join rows to a side that has at most one row per key.
 
-    Nothing is force-broadcast: Spark broadcasts ``per_key`` when its measured
-    size is under the configured limit.  Beyond it this is a sort-merge join, and
-    a hot key must be split.  AQE splits only partitions that come straight from a
-    shuffle, which an aggregate that is already grouped by the key is not; the
+    Nothing is force-broadcast: Spark broadcasts ``per_key`` when its size is
+    under the configured limit.  Beyond it this is a sort-merge join, and a hot
+    key must be split.  AQE splits only partitions that come straight from a
+    shuffle, which an aggregate already grouped by the key does not; the
     rebalance of the (small) aggregate gives it that shuffle.
+
+    ``measure=True`` works ``per_key`` out first.  Its true size is then known
+    when the join is planned, so that a small one spares ``rows`` the shuffle.
     """
-    return rows.join(per_key.hint("rebalance"), on, how)
+    return rows.join(_per_key_side(per_key, measure), on, how)
+
+
+def _per_key_side(per_key: DataFrame, measure: bool) -> DataFrame:
+    return measured(per_key) if measure else per_key.hint("rebalance")
 
 
 def left_join_any(
-    left: DataFrame, right: DataFrame, conditions: list[tuple[Column, Column]]
+    left: DataFrame,
+    right: DataFrame,
+    conditions: list[tuple[Column, Column]],
+    measure: bool = False,
 ) -> DataFrame:
     """Left join on ``l1 = r1 OR l2 = r2 OR ...``, as equi-joins.
 
@@ -29,7 +43,8 @@ def left_join_any(
     both sides are spread over the conditions and joined on (condition, its key);
     a pair is kept only at the first condition it meets, so each pair appears
     once and duplicate input rows keep their own matches.  Left rows meeting no
-    condition are found by anti-joins on the distinct right keys.
+    condition are found by anti-joins on the distinct right keys (``measure`` as
+    in ``join_per_key``).
 
     Column names must differ between the sides (see ``prefixed``).
     """
@@ -48,7 +63,9 @@ def left_join_any(
     unmatched = lhs
     for lk, rk in zip(left_keys, right_keys):
         keys = rhs.select(rk).filter(F.col(rk).isNotNull()).distinct()
-        unmatched = unmatched.join(keys.hint("rebalance"), F.col(lk) == F.col(rk), "left_anti")
+        unmatched = unmatched.join(
+            _per_key_side(keys, measure), F.col(lk) == F.col(rk), "left_anti"
+        )
 
     no_partner = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
     return matched.select(*left.columns, *right.columns).unionByName(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierflow.operators import join_per_key, newer_than, to_silver
-from tierflow.session import cut_lineage
+from tierflow.operators import newer_than, to_silver
+from tierflow.session import measured
 from tierflow.sources.tables import LOAD_ID, TableStore, load_id
 from tierflow.specs import FILE_NAME, LOAD_TS, SourceSpec
 
@@ -23,15 +23,16 @@ def pending_batches(bronze: DataFrame, silver: DataFrame) -> DataFrame:
 def incoming_rows(bronze: DataFrame, silver: DataFrame, spec: SourceSpec) -> DataFrame:
     """Silver-shaped rows of the pending batches.
 
-    The pending batches (one row per file) are worked out first.  Where Bronze
-    has its load partition, only the loads they name are then read in full; the
-    driver sees the ids of those loads, not files or rows.
+    The pending batches (one row per file) are worked out and written first, so
+    the planner knows their size.  Where Bronze has its load partition, only the
+    loads they name are then read in full; the driver sees the ids of those
+    loads, not files or rows.
     """
-    pending = cut_lineage(pending_batches(bronze, silver))
+    pending = measured(pending_batches(bronze, silver))
     if LOAD_ID in bronze.columns:
         loads = pending.select(load_id().alias(LOAD_ID)).distinct().collect()
         bronze = bronze.filter(F.col(LOAD_ID).isin([r[LOAD_ID] for r in loads]))
-    return to_silver(join_per_key(bronze, pending, [FILE_NAME, LOAD_TS]), spec)
+    return to_silver(bronze.join(pending, [FILE_NAME, LOAD_TS]), spec)
 
 
 def refresh_silver(store: TableStore, spec: SourceSpec) -> DataFrame:

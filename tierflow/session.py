@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,14 +43,22 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tierflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint a (small) frame in the shared folder, where it outlives executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+@functools.cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tierflow-")
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """Write a small frame to the shared folder and read it back.
+
+    The planner then knows its true size, where an aggregate over a large table
+    is taken to be as large as the table.  So a join with it is broadcast exactly
+    when it fits the configured limit, and the large side need not be shuffled.
+    It also outlives the executors that computed it.
+    """
+    path = f"{shared_dir(df.sparkSession)}/work/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ import csv
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierflow.operators.joins import join_per_key
+from tierflow.session import measured
 from tierflow.specs import FILE_PATH, SourceSpec, string_schema
 
 # Quotes inside a cell are doubled, as the landing files' writer does it.
@@ -70,7 +70,7 @@ def headers_by_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _scan_by_name(spark, path, columns, multiline) -> DataFrame:
-    headers = headers_by_file(spark, path)
+    headers = measured(headers_by_file(spark, path))
     # The driver sees the distinct layouts only, never the rows or the file list.
     layouts = [row.header for row in headers.select("header").distinct().collect()]
     if not layouts:
@@ -86,8 +86,7 @@ def _scan_by_name(spark, path, columns, multiline) -> DataFrame:
         FILE_PATH,
         F.array_position(F.lit(layouts), F.col("header")).alias("_layout"),
     )
-    tagged = join_per_key(raw, layout_of_file, [FILE_PATH])
-    return tagged.select(
+    return raw.join(layout_of_file, FILE_PATH).select(
         *[
             F.coalesce(
                 *[
