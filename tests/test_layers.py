@@ -1,12 +1,14 @@
 import datetime as dt
+import json
 import os
+import random
 import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.functions import safe_numeric
+from tierflow.operators import latest_batch, to_silver
 from tierflow.plans import (
     archive,
     archive_tally,
@@ -15,6 +17,8 @@ from tierflow.plans import (
     enrich_international,
     incoming_rows,
     json_gold,
+    land_gallery,
+    land_responses,
     load_bronze,
     refresh_silver,
     team_report,
@@ -210,6 +214,64 @@ def test_gallery_by_position_loses_its_key(store, land):
     assert refresh_silver(other, GALLERY).filter("image_id is not null").count() == 1
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_silver_equals_latest_bronze_after_any_loads(store, spark, seed):
+    rng = random.Random(seed)
+    for step in range(4):
+        batch = [
+            (str(rng.randint(1, 9)), f"team{rng.randint(1, 3)}", f"file{f}")
+            for f in range(4) if rng.random() < 0.5
+            for _ in range(rng.randint(1, 3))
+        ]
+        df = spark.createDataFrame(batch, "rank string, name string, file_name string")
+        empty = {c: F.lit(None).cast("string") for c in TEAM_RANKINGS.landing if c not in df.columns}
+        load = df.withColumns(empty | {"update_timestamp": F.lit(DAY[step]).cast("timestamp")})
+        store.append_bronze(load, TEAM_RANKINGS.name)
+        if rng.random() < 0.7:
+            refresh_silver(store, TEAM_RANKINGS)
+    refresh_silver(store, TEAM_RANKINGS)
+    newest = to_silver(latest_batch(store.bronze(TEAM_RANKINGS)), TEAM_RANKINGS)
+    assert rows(store.silver(TEAM_RANKINGS)) == rows(newest)
+
+
+# --- from responses to Silver -----------------------------------------------------------------
+
+
+def test_responses_reach_silver(store, spark, folder):
+    documents = {
+        "ranking_batsmen": {"rank": [{"rank": "1", "id": 5, "name": "A, \"B\"", "points": 19.4}]},
+        "ranking_teams": {"rank": [{"rank": 2, "name": "T"}]},
+        "team_international": {"list": [{"teamId": 3, "teamName": "N"}]},
+        "team_players": {"squad": [{"id": 4, "name": "P"}]},
+        "team_results": {"teamMatchesData": [
+            {"matchDetailsMap": {"key": "S", "match": [{"matchInfo": {"matchId": 6}}]}}]},
+        "gallery_index": {"photoGalleryInfoList": [{"photoGalleryInfo": {"galleryId": 7}}]},
+        "gallery_detail": {"intro": "I", "photoGalleryDetails": [{"caption": "c\nd", "imageId": 8}]},
+    }
+    for name, doc in documents.items():
+        os.makedirs(f"{folder}/responses/{name}")
+        with open(f"{folder}/responses/{name}/7.json", "w") as f:
+            json.dump(doc, f, indent=2)
+    landing, when = f"{folder}/landing", dt.datetime(2024, 3, 1, 2, 3, 4)
+    keys = {}
+    for name in ("ranking_batsmen", "ranking_teams", "team_international", "team_players", "team_results"):
+        spec = BY_NAME[name]
+        batch = land_responses(spark, spec, f"{folder}/responses/{name}", landing, when)
+        assert batch == f"{landing}/{name}/20240301"
+        load_bronze(store, spec, batch, DAY[0])
+        keys[name] = [int(r[0]) for r in refresh_silver(store, spec).select(spec.key).collect()]
+    for spec in (GALLERY, PHOTOS):
+        batch = land_gallery(spark, spec, f"{folder}/responses/gallery_index",
+                             f"{folder}/responses/gallery_detail", landing, when)
+        load_bronze(store, spec, batch, DAY[0])
+        got = refresh_silver(store, spec).first()
+        assert (got.caption, got.gallery_intro) == ("c\nd", "I")
+        keys[spec.name] = [int(got[spec.key])]
+    assert os.path.exists(f"{landing}/photos/20240301_020304")
+    assert keys == {"ranking_batsmen": [1], "ranking_teams": [2], "team_international": [3],
+                    "team_players": [4], "team_results": [6], "photo_gallery": [8], "photos": [8]}
+
+
 # --- Gold -----------------------------------------------------------------------------------
 
 MARKET_ROWS = [

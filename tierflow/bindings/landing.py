@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tierflow.bindings import responses
 from tierflow.bindings.gold import ORACLES as GOLD_ORACLES, _leaves
 from tierflow.bindings.tables import (
     FIRST_LOAD,
@@ -24,6 +25,7 @@ from tierflow.bindings.tables import (
     table,
 )
 from tierflow.functions import numeric_text
+from tierflow.operators import to_silver
 from tierflow.plans import (
     archive,
     archive_tally,
@@ -39,6 +41,7 @@ from tierflow.specs import (
     LOAD_TS,
     MARKET_LANDING,
     PHOTOS,
+    RESULTS,
     SOURCES,
 )
 from tierflow.streaming import ingest_stream
@@ -188,6 +191,15 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+def responses_to_silver(spark, sf_dir):
+    """Match results from response documents through a landing batch to typed rows."""
+    batch = write_landing(responses.results(spark, sf_dir), _run_dir(spark), "20240101")
+    typed = to_silver(scan_csv(spark, batch, RESULTS), RESULTS)
+    return typed.select(
+        *[(numeric_text(c) if c in RESULTS.numeric else F.col(c)).alias(c) for c in RESULTS.columns]
+    )
+
+
 QUERIES = {
     "csv_by_position": csv_by_position,
     "csv_by_name": csv_by_name,
@@ -199,6 +211,7 @@ QUERIES = {
     "truncated_tables": truncated_tables,
     "archived_batches": archived_batches,
     "stream_ingest": stream_ingest,
+    "responses_to_silver": responses_to_silver,
 }
 
 _CELLS = ", ".join(f"nullif(\"{c}\", '') AS \"{c}\"" for c in BATSMEN.landing)
@@ -240,5 +253,9 @@ ORACLES = {
     "archived_batches": """
         SELECT 'ranking_allrounders' AS source, count(*) AS lines, 1 AS has_files, 0 AS failed FROM supplier
         UNION ALL SELECT 'ranking_batsmen', count(*), 1, 0 FROM customer""",
+    "responses_to_silver": f"""
+        SELECT * EXCLUDE (team2_wickets) REPLACE (nullif(series_name, '') AS series_name),
+               team2_wickets AS team2_wicket
+        FROM ({responses.ORACLES["flatten_results"]})""",
     "stream_ingest": f"SELECT {_SILVER} FROM ({silver_sql(BATSMEN)})",
 }

@@ -11,6 +11,7 @@ from tierflow.functions import numeric_text
 JSON_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timeZone": "UTC",
 }
 ROWS_PER_PART = 10_000
 

@@ -1,5 +1,6 @@
 from tierflow.plans.archive import archive, archive_tally, arrival_audit
 from tierflow.plans.bronze import load_bronze
+from tierflow.plans.extract import land_gallery, land_responses
 from tierflow.plans.gold import build_gold, enrich_international, json_gold, nested_gold, team_report
 from tierflow.plans.silver import incoming_rows, pending_batches, refresh_silver
 from tierflow.plans.sources import each_source
@@ -13,6 +14,8 @@ __all__ = [
     "enrich_international",
     "incoming_rows",
     "json_gold",
+    "land_gallery",
+    "land_responses",
     "load_bronze",
     "nested_gold",
     "pending_batches",

@@ -1,4 +1,4 @@
-from tierflow.sources.csv_landing import headers_by_file, scan_csv, write_landing
+from tierflow.sources.csv_landing import batch_stamp, headers_by_file, scan_csv, write_landing
 from tierflow.sources.lineage import stage_bronze, with_file_name, with_load_ts
 from tierflow.sources.responses import (
     flatten_gallery_detail,
@@ -17,6 +17,7 @@ from tierflow.sources.tables import TableStore
 
 __all__ = [
     "TableStore",
+    "batch_stamp",
     "flatten_gallery_detail",
     "flatten_gallery_index",
     "flatten_international",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,10 @@ from tierflow.specs import FILE_PATH, SourceSpec, string_schema
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"'}
 
 
+# Names of landed batches.
+STAMP_FORMATS = {"day": "%Y%m%d", "second": "%Y%m%d_%H%M%S"}
+
+
 def scan_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -132,3 +137,8 @@ def write_landing(df: DataFrame, source_path: str, stamp: str) -> str | None:
         ).csv(target)
     )
     return target
+
+
+def batch_stamp(spec: SourceSpec, when: dt.datetime) -> str:
+    """Name of a batch landed at a time: the date, for photos date and time."""
+    return when.strftime(STAMP_FORMATS[spec.stamp])

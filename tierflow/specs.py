@@ -28,7 +28,7 @@ class SourceSpec:
     ``key``       Silver column that must be present for a row to reach Gold
     ``tag``       value of ``source_table`` in the Gold tables
     ``multiline`` quoted cells may hold newlines (such files cannot be split)
-    ``stamp``     date pattern in the name of a landed batch
+    ``stamp``     precision of the date in the name of a landed batch
     """
 
     name: str
@@ -39,7 +39,7 @@ class SourceSpec:
     tag: str
     defaults: dict[str, tuple[tuple[str, ...], str]] = field(default_factory=dict)
     multiline: bool = False
-    stamp: str = "yyyyMMdd"
+    stamp: str = "day"
     bind: str = "name"
 
     @property
@@ -156,7 +156,7 @@ PHOTOS = SourceSpec(
     key="imageId",
     tag="stg_gold_photos",
     multiline=True,
-    stamp="yyyyMMdd_HHmmss",
+    stamp="second",
 )
 
 INTERNATIONAL_TEAMS = SourceSpec(
