@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.operators import latest_batch, to_silver
+from tierflow.operators import latest_batch, require_key, to_silver
 from tierflow.plans import (
     archive,
     archive_tally,
@@ -30,6 +30,7 @@ from tierflow.specs import (
     GALLERY,
     INTERNATIONAL_TEAMS,
     JSON_REPORT_COLUMNS,
+    LAYER_TABLES,
     MARKET_LANDING,
     PHOTOS,
     PLAYERS,
@@ -338,6 +339,7 @@ def land_all(land):
 
 def test_all_layers(store, land):
     paths = land_all(land)
+    assert len(LAYER_TABLES) == 2 * len(paths)
     for name, path in paths.items():
         load_bronze(store, BY_NAME[name], path, DAY[0])
         refresh_silver(store, BY_NAME[name])
@@ -351,6 +353,9 @@ def test_all_layers(store, land):
     assert first.METADATA.team_results_file_name == "team_results_20240101"
     assert first.METADATA.team_results_update_timestamp == DAY[0].replace(tzinfo=None)
 
+    plan = require_key(store.silver(PLAYERS), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id)]" in plan
+
     # a second build replaces the first
     assert rows(build_gold(store, market).groupBy("source_table").count()) == sorted(counts.items())
 
@@ -455,6 +460,21 @@ def test_stream_takes_each_file_once(store, land, spark, folder, bind):
         ("a [1]", Decimal(1)), ("a [1]", Decimal(2)), ("b", Decimal(3))]
 
 
+@pytest.mark.parametrize("bind", ["name", "position"])
+def test_stream_archives_taken_files(store, land, spark, folder, bind):
+    spec = TEAM_RANKINGS if bind == "name" else positional(TEAM_RANKINGS)
+    kept = f"{folder}/kept"
+    for n in range(3):
+        path = land("s", f"f{n}.csv", TEAM_RANKINGS.landing, [team(str(n), "A")])
+        q = ingest_stream(spark, spec, path, store, f"{folder}/ckpt", archive_dir=kept)
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert store.bronze(spec).count() == 3
+    moved = sorted(f for _, _, files in os.walk(kept) for f in files if f.endswith(".csv"))
+    assert moved and set(moved) < {"f0.csv", "f1.csv", "f2.csv"}
+    assert not set(moved) & set(os.listdir(path))
+
+
 def test_repeated_stream_batch_replaces_itself(store, spark):
     batch = spark.createDataFrame([("1", "A")], "rank string, name string").withColumn(
         "update_timestamp", F.lit(DAY[0]))

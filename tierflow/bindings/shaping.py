@@ -16,12 +16,24 @@ from tierflow.functions import (
     file_stem,
     market_codes,
     numeric_text,
+    numeric_text_sql,
     safe_numeric,
     split_literal,
 )
 from tierflow.operators import require_key, to_silver
 from tierflow.sources import union_ragged, with_load_ts
-from tierflow.specs import ALLROUNDERS, BATSMEN, RESULTS
+from tierflow.specs import (
+    ALLROUNDERS,
+    BATSMEN,
+    BOWLERS,
+    GALLERY,
+    INTERNATIONAL_TEAMS,
+    PHOTOS,
+    PLAYERS,
+    RESULTS,
+    TEAM_RANKINGS,
+    positional,
+)
 
 
 def safe_numbers(spark, sf_dir):
@@ -111,25 +123,45 @@ def ragged_union(spark, sf_dir):
     )
 
 
-def _silver(spec):
+# Query name -> spec: the typed projection of every source, and the photo files
+# taken by position (two columns exchanged, a numeric caption).
+SILVER = {
+    "silver_allrounders": ALLROUNDERS,
+    "silver_batsmen": BATSMEN,
+    "silver_bowlers": BOWLERS,
+    "silver_team_rankings": TEAM_RANKINGS,
+    "silver_gallery": GALLERY,
+    "silver_photos": PHOTOS,
+    "silver_photos_by_position": positional(PHOTOS),
+    "silver_international": INTERNATIONAL_TEAMS,
+    "silver_players": PLAYERS,
+    "silver_results": RESULTS,
+}
+# The sources that need no more than their key on the way to Gold.
+KEYED = {
+    name.replace("silver_", "gold_"): spec
+    for name, spec in SILVER.items()
+    if name not in ("silver_international", "silver_photos_by_position")
+}
+
+
+def _typed(spec, keyed):
     def run(spark, sf_dir):
-        typed = to_silver(bronze_frame(spark, sf_dir, spec.name), spec)
-        return typed.select(
-            *[
-                (numeric_text(c) if c in spec.numeric else F.col(c)).alias(c)
-                for c in (*spec.columns, "file_name")
-            ]
-        )
+        rows = to_silver(bronze_frame(spark, sf_dir, spec.name), spec)
+        if keyed:
+            rows = require_key(rows, spec.key)
+        cells = [f"{numeric_text_sql(c) if c in spec.numeric else c} as {c}" for c in spec.columns]
+        return rows.selectExpr(*cells, "file_name")
 
     return run
 
 
-def _silver_oracle(spec) -> str:
+def _typed_oracle(spec, keyed) -> str:
     cells = [
-        f"{plain_number(c)} AS {c}" if c in spec.numeric else c
-        for c in (*spec.columns, "file_name")
+        f'{plain_number(c)} AS "{c}"' if c in spec.numeric else f'"{c}"' for c in spec.columns
     ]
-    return f"SELECT {', '.join(cells)} FROM ({silver_sql(spec)})"
+    where = f' WHERE "{spec.key}" IS NOT NULL' if keyed else ""
+    return f"SELECT {', '.join(cells)}, file_name FROM ({silver_sql(spec)}){where}"
 
 
 QUERIES = {
@@ -143,9 +175,8 @@ QUERIES = {
     "bronze_columns": bronze_columns,
     "date_stamps": date_stamps,
     "ragged_union": ragged_union,
-    "silver_allrounders": _silver(ALLROUNDERS),
-    "silver_batsmen": _silver(BATSMEN),
-    "silver_results": _silver(RESULTS),
+    **{name: _typed(spec, keyed=False) for name, spec in SILVER.items()},
+    **{name: _typed(spec, keyed=True) for name, spec in KEYED.items()},
 }
 
 ORACLES = {
@@ -194,7 +225,6 @@ ORACLES = {
                cast(NULL AS varchar) AS s_suppkey FROM customer
         UNION ALL
         SELECT s_name, NULL, NULL, cast(s_suppkey AS varchar) FROM supplier""",
-    "silver_allrounders": _silver_oracle(ALLROUNDERS),
-    "silver_batsmen": _silver_oracle(BATSMEN),
-    "silver_results": _silver_oracle(RESULTS),
+    **{name: _typed_oracle(spec, keyed=False) for name, spec in SILVER.items()},
+    **{name: _typed_oracle(spec, keyed=True) for name, spec in KEYED.items()},
 }

@@ -75,12 +75,22 @@ def archived_files(store: TableStore, sources: list[str], date: dt.date) -> Data
 
 
 def landed_files(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
-    """(source, file) now in landing; empty files (folder markers) do not count."""
+    """(source, file) now in landing; empty files (folder markers) do not count.
+
+    Only the file listing is used; no file is opened.
+    """
     files = []
     for source, path in sources.items():
-        lines = _lines(spark, path)
-        if lines is not None:
-            files.append(lines.select(F.lit(source).alias("source"), "file").distinct())
+        try:
+            listing = spark.read.format("binaryFile").load(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        name = F.element_at(split_literal("path", "/"), -1)
+        files.append(
+            listing.filter("length > 0").select(F.lit(source).alias("source"), name.alias("file"))
+        )
     return reduce(DataFrame.unionByName, files, spark.createDataFrame([], FILES))
 
 

@@ -239,6 +239,8 @@ SOURCES: tuple[SourceSpec, ...] = (
     ALLROUNDERS, BATSMEN, BOWLERS, TEAM_RANKINGS,
 )
 BY_NAME: dict[str, SourceSpec] = {s.name: s for s in SOURCES}
+# Every (layer, name) to empty for a fresh start.
+LAYER_TABLES = tuple((layer, s.name) for layer in ("bronze", "silver") for s in SOURCES)
 
 
 def positional(spec: SourceSpec) -> SourceSpec:
