@@ -63,7 +63,9 @@ def test_safe_numeric(spark, text, number):
     "number,text",
     [
         ("100", "100"), ("19.4", "19.4"), ("0", "0"), ("0.05", "0.05"), ("-2.50", "-2.5"),
-        ("0.000000001", "0.000000001"), ("1000", "1000"), (None, None),
+        ("0.000000001", "0.000000001"), ("1000", "1000"), ("-7", "-7"),
+        ("-0.0000005", "-0.0000005"), ("12345678901234567890123456789", "12345678901234567890123456789"),
+        ("-12345678901234567890.5", "-12345678901234567890.5"), (None, None),
     ],
 )
 def test_numeric_text(spark, number, text, ansi):
