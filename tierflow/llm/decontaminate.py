@@ -49,7 +49,8 @@ def seeds(tokens: str, at: str) -> Column:
 
 def seeded(rows: DataFrame, tokens: str, at: str) -> DataFrame:
     """A row for each seed of each place."""
-    places = rows.select("*", F.posexplode(tokens).alias(at, "_token")).drop("_token")
+    # The outer form keeps Spark from working the tokens out twice to skip empty texts.
+    places = rows.select("*", F.posexplode_outer(tokens).alias(at, "_token")).drop("_token")
     return places.select("*", F.explode(seeds(tokens, at)).alias("seed")).filter("seed is not null")
 
 
@@ -101,18 +102,27 @@ def overlaps(
 
 
 def verified(hits: DataFrame) -> DataFrame:
-    """The hits whose diagonal holds a window with few enough substitutions."""
-    n = F.size("item")
-    laid = F.transform("item", lambda token, i: F.coalesce((F.get("tokens", F.col("start") + i) == token).cast("int"), F.lit(0)))
-    hits = hits.select(
-        "id", "item_id", n.alias("n_tokens"), (F.col("at") - F.col("item_at")).alias("start"), "item", "tokens"
-    ).select("id", "item_id", "n_tokens", "start", laid.alias("equal"))
+    """The diagonals of ``hits`` that hold a window with few enough substitutions.
+
+    A diagonal is kept once, with the stretch of the document under the item, before its
+    tokens are compared; so the rows of the seed join stay in generated code.
+    """
+    start = F.col("at") - F.col("item_at")
+    begin = F.greatest(start, F.lit(0))
+    laid = hits.select("id", "item_id", "item", start.alias("start"), F.slice("tokens", begin + 1, F.size("item")).alias("under"))
+    once = laid.groupBy("id", "item_id", "item", "start").agg(F.first("under").alias("under"))
+    skipped = F.greatest(-F.col("start"), F.lit(0))
+    equal = F.transform(
+        "item",
+        lambda token, i: F.when(i >= skipped, F.coalesce((F.get("under", i - skipped) == token).cast("int"), F.lit(0))).otherwise(0),
+    )
+    found = once.select("id", "item_id", F.size("item").alias("n_tokens"), "start", equal.alias("equal"))
     within = F.exists(
         F.sequence(F.lit(1), F.col("n_tokens") - WINDOW + 1),
         lambda s: F.aggregate(F.slice("equal", s, WINDOW), F.lit(0), lambda a, b: a + b) >= WINDOW - SUBSTITUTIONS,
     )
     n_equal = F.aggregate("equal", F.lit(0), lambda a, b: a + b)
-    return hits.filter(within).select("id", "item_id", "n_tokens", n_equal.alias("n_equal"), "start")
+    return found.filter(within).select("id", "item_id", "n_tokens", n_equal.alias("n_equal"), "start")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
