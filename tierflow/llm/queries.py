@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierflow.llm import decontaminate, line_dedup, simhash
+from tierflow.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality_rules, sharding, simhash, suffix_dedup, toxicity
 from tierflow.llm.common import documents
 
 
@@ -13,16 +13,68 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(documents(spark, sf_dir), benchmark).withColumnRenamed("id", "doc_id")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup_substrings(documents(spark, sf_dir), keep_bytes=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(documents(spark, sf_dir))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_extract.main_texts(pages.select("page_id", "url", "html"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path())
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.scored(docs, toxicity.fit(docs, labels(spark, sf_dir)))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rules = quality_rules.fit(docs, labels(spark, sf_dir))
+    return quality_rules.judged(docs.select("doc_id", "text"), rules)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id"
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return language_id.identify(pages, documents(spark, sf_dir))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels(spark, sf_dir)))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, tokenizer_path())
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -37,15 +89,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", dedup_lines),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
+    ("packing", pack),
 ]
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_sharding": op3_sharding,
     "op4_line_dedup": op4_line_dedup,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
