@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tierflow.llm.common import id_order, stored
 
 SHARDS = 24
-RANGES_PER_SHARD = 32
+RANGES_PER_SHARD = 128
 #: Beyond this many bytes a range, there are more ranges.
 RANGE_BYTES = 1 << 30
-SAMPLES_PER_RANGE = 32
+SAMPLES_PER_RANGE = 16
 #: A range is overfull beyond so many times its due.
 OVERFULL = 2.0
 #: Keys are looked up by their leading bits first.
