@@ -25,6 +25,7 @@ from __future__ import annotations
 import gc
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ LENGTH = 100
 #: Bytes of an anchor; a window has LENGTH - GRAM + 1 of them.
 GRAM = 32
 #: Bytes handled at once when anchors are chosen; a longer document is taken in stretches.
-STRETCH = 1 << 22
+STRETCH = 1 << 18
 PLACE_BITS = 24
 #: Bytes of a shard, and runs of one anchor beyond which its windows are spread.
 SHARD_BYTES = 1 << 20
@@ -95,7 +96,7 @@ def runs_of(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
         while high < len(texts) and (high == low or total + len(texts[high]) <= STRETCH):
             total += len(texts[high])
             high += 1
-        if total <= 4 * STRETCH - LENGTH:
+        if total <= 4 * STRETCH:
             sizes = np.fromiter(map(len, texts[low:high]), np.int64, high - low)
             yield low, *_runs(b"".join(texts[low:high]), sizes)
         else:
@@ -127,19 +128,25 @@ def _runs(data: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def runs(docs: DataFrame, anchors_only: bool = False) -> DataFrame:
-    """(anchor, id, start, windows) of every run of ``docs`` (id, text); or the anchors alone."""
+    """(anchor, key, id, start, windows) of every run of ``docs`` (id, text); or the anchors alone.
+
+    ``key`` is a hash of the run's bytes, to tell runs of one anchor apart.
+    """
 
     def find(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = texts_utf8(batch.column(1))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
+        digest = xxhash.xxh3_64_intdigest
         for low, of, start, count, anchor in runs_of(texts):
-            columns = [pa.array(anchor.view(np.int64))]
-            names = ["anchor", "id", "start", "windows"]
-            if not anchors_only:
-                columns += [pa.array(ids[low + of]), pa.array(start), pa.array(count, pa.int32())]
-            yield pa.record_batch(columns, names[: len(columns)])
-
-    schema = "anchor long" if anchors_only else "anchor long, id long, start long, windows int"
+            if anchors_only:
+                yield pa.record_batch([pa.array(anchor.view(np.int64))], ["anchor"])
+                continue
+            end = start + count + (LENGTH - 1)
+            keys = [digest(texts[k][a:b]) for k, a, b in zip((low + of).tolist(), start.tolist(), end.tolist())]
+            columns = [anchor.view(np.int64), np.array(keys, np.uint64).view(np.int64), ids[low + of], start, count.astype(np.int32)]
+            yield pa.record_batch([pa.array(c) for c in columns], ["anchor", "key", "id", "start", "windows"])
+
+    schema = "anchor long" if anchors_only else "anchor long, key long, id long, start long, windows int"
     return map_rows(docs.select("id", "text"), find, schema)
 
 
@@ -322,57 +329,71 @@ def settle_spread(rows: DataFrame) -> DataFrame:
 
 def removed_windows(docs: DataFrame, runs_in_task: int = RUNS_IN_TASK) -> DataFrame:
     """(id, first, end): the windows of ``docs`` (id, text) that stand earlier, as ranges of starts."""
-    spark = docs.sparkSession
-    shared = stored(runs(docs, anchors_only=True).groupBy("anchor").count().filter("count > 1").select("anchor"))
-    _free_shuffles(spark)
-    found = runs(docs).join(shared, "anchor")
-    per_doc = stored(found.groupBy("id").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("runs")))
-    _free_shuffles(spark)
+    shared = _shared_anchors(docs)
+    found = _shared_runs(docs, shared)
+    firsts, whole = _later_runs(found)
+    several = _several(firsts)
+    crowded = F.col("runs") > runs_in_task
+    rows = _with_bytes(docs, firsts, several.filter(~crowded))
+    parts = [whole, settle(rows.repartition("anchor").sortWithinPartitions("anchor", "id", "start"))]
+    if not several.filter(crowded).isEmpty():
+        parts.append(settle_spread(_with_bytes(docs, firsts, several.filter(crowded))))
+    out = stored(reduce(DataFrame.unionAll, parts))
+    _free_shuffles(docs.sparkSession)
+    return out
+
+
+def _shared_anchors(docs: DataFrame) -> DataFrame:
+    """The anchors that stand twice or more."""
+    out = stored(runs(docs, anchors_only=True).groupBy("anchor").count().filter("count > 1").select("anchor"))
+    _free_shuffles(docs.sparkSession)
+    return out
+
+
+def _shared_runs(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The runs of those anchors."""
+    out = stored(runs(docs).join(shared, "anchor"))
+    _free_shuffles(docs.sparkSession)
+    return out
+
+
+def _later_runs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first of equal runs (anchor, key, id, start, windows); the others as removed windows."""
+    least = found.groupBy("anchor", "key").agg(F.min(F.struct("id", "start", "windows")).alias("least"))
+    firsts = stored(least.select("anchor", "key", "least.*"))
+    of = firsts.select("anchor", "key", F.col("id").alias("first_id"), F.col("start").alias("first_start"))
+    later = found.join(of, ["anchor", "key"])
+    later = later.filter((F.col("id") != F.col("first_id")) | (F.col("start") != F.col("first_start")))
+    whole = stored(later.select("id", F.col("start").alias("first"), (F.col("start") + F.col("windows")).alias("end")))
+    _free_shuffles(found.sparkSession)
+    return firsts, whole
+
+
+def _several(firsts: DataFrame) -> DataFrame:
+    """(anchor, runs): the anchors with runs that differ, and how many."""
+    return stored(firsts.groupBy("anchor").agg(F.count("*").alias("runs")).filter("runs > 1"))
+
+
+def _with_bytes(docs: DataFrame, firsts: DataFrame, several: DataFrame) -> DataFrame:
+    """(anchor, id, start, bytes) of the first runs of the anchors in ``several``."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
         for doc_id, text, own in zip(batch.column(0).to_pylist(), texts_utf8(batch.column(1)), batch.column(2).to_pylist()):
-            anchors, keys, starts, counts, parts = [], [], [], [], []
             for run in own:
-                start, n = run["start"], run["windows"]
-                part = text[start : start + n + LENGTH - 1]
-                if len(part) < n + LENGTH - 1:
-                    continue  # a run of another row with this id
-                anchors.append(run["anchor"])
-                keys.append(xxhash.xxh3_128_digest(part))
-                starts.append(start)
-                counts.append(n)
-                parts.append(part)
-            yield pa.record_batch(
-                [
-                    pa.array(anchors, pa.int64()),
-                    pa.array(keys, pa.binary()),
-                    pa.array([doc_id] * len(starts), pa.int64()),
-                    pa.array(starts, pa.int64()),
-                    pa.array(counts, pa.int32()),
-                    pa.array(parts, pa.binary()),
-                ],
-                ["anchor", "key", "id", "start", "windows", "bytes"],
-            )
-
-    joined = docs.join(per_doc, "id").select("id", "text", "runs")
-    pieces = stored(
-        map_rows(joined, cut, "anchor long, key binary, id long, start long, windows int, bytes binary")
-    )
-    _free_shuffles(spark)
-    firsts = pieces.groupBy("anchor", "key").agg(F.min(F.struct("id", "start", "bytes")).alias("least"))
-    firsts = stored(firsts.select("anchor", "key", "least.*"))
-    slim = firsts.select("anchor", "key", F.col("id").alias("first_id"), F.col("start").alias("first_start"))
-    later = pieces.select("anchor", "key", "id", "start", "windows").join(slim, ["anchor", "key"])
-    later = later.filter((F.col("id") != F.col("first_id")) | (F.col("start") != F.col("first_start")))
-    whole = later.select("id", F.col("start").alias("first"), (F.col("start") + F.col("windows")).alias("end"))
-
-    crowded = stored(firsts.groupBy("anchor").count().filter(F.col("count") > runs_in_task).select("anchor"))
-    rows = firsts.select("anchor", "id", "start", "bytes")
-    few = rows.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "id", "start")
-    many = settle_spread(rows.join(crowded, "anchor", "left_semi"))
-    out = stored(whole.unionAll(settle(few)).unionAll(many))
-    _free_shuffles(spark)
-    return out
+                start, key = run["start"], run["key"]
+                part = text[start : start + run["windows"] + LENGTH - 1]
+                # Another row with this id may hold the run.
+                if xxhash.xxh3_64_intdigest(part) == key % (1 << 64):
+                    out.append((run["anchor"], doc_id, start, part))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        columns = list(zip(*out)) or [()] * 4
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "id", "start", "bytes"])
+
+    chosen = firsts.join(several.select("anchor"), "anchor")
+    per_doc = chosen.groupBy("id").agg(F.collect_list(F.struct("anchor", "key", "start", "windows")).alias("own"))
+    joined = docs.join(per_doc, "id").select("id", "text", "own")
+    return map_rows(joined, cut, "anchor long, id long, start long, bytes binary")
 
 
 def _free_shuffles(spark: SparkSession) -> None:
