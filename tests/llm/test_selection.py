@@ -138,10 +138,21 @@ def test_chunks_give_the_ids_of_the_whole_text():
     whole = Tokenizer.from_file(tokenizer_path())
     encoder = packing.ChunkEncoder(tokenizer_path())
     rng = random.Random(2)
-    marks = ["a", "É", "é", "́x", "don't", "it's", "'s", "12", " ", " ", "\x1c", "\x85", "<|endoftext|>", "漢字", "!!", "​", "ẞ", "İ", "ﬁ"]
+    marks = ["The,", "WORD***", "é,", "can't,", "x'S!", "(a)", "<|ENDOFTEXT|>", "≠", "a", "É", "é", "́x", "don't", "it's", "'s", "12", " ", " ", "\x1c", "\x85", "<|endoftext|>", "漢字", "!!", "​", "ẞ", "İ", "ﬁ"]
     for _ in range(300):
         text = "".join(rng.choice(marks) + rng.choice(["", " ", "\n", "\t\r", "\x0b"]) for _ in range(rng.randint(0, 30)))
-        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        ids = np.frombuffer(encoder.encode(["".encode(), text.encode()])[1], "<u4")
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_forgetting_encoder_gives_the_same_ids(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_CHUNKS", 5)
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 7)
+    encoder, fresh = packing.ChunkEncoder(tokenizer_path()), packing.ChunkEncoder
+    rng = random.Random(4)
+    for _ in range(40):
+        text = " ".join(rng.choice("abcdefgh") * rng.randint(1, 4) + rng.choice(["", ",", "%%%"]) for _ in range(30)).encode()
+        assert encoder.encode([text]) == fresh(tokenizer_path()).encode([text])
 
 
 def check_packing(rows, size):

@@ -28,21 +28,34 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tierflow.llm.common import map_rows, stored, texts_utf8
 
-#: Chunks whose ids a worker remembers; it forgets all of them beyond that.
-REMEMBERED_CHUNKS = 400_000
+#: Chunks and words whose ids a worker remembers (words: twice as many at most).
+REMEMBERED_CHUNKS = 300_000
+REMEMBERED_WORDS = 600_000
+#: Words encoded in one call.
+TOGETHER = 400
+#: ASCII marks that can stand behind a word.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class ChunkEncoder:
     """Token ids of texts, remembering those of chunks between white space.
 
-    For tokenizers that drop white space and never join what it separates.
+    For tokenizers that lower-case, drop white space, take runs of letters and runs of
+    marks apart and end every word's last token with ``</w>``.  So a chunk's ids do not
+    depend on its neighbours, and those of a word with marks behind it are the word's
+    and the marks'.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> ChunkEncoder:
@@ -53,22 +66,63 @@ class ChunkEncoder:
         return kept[path]
 
     def learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > REMEMBERED_CHUNKS:
-            self.known.clear()
-            new = list(chunks)
-        for low in range(0, len(new), 5_000):
-            part = new[low : low + 5_000]
-            encoded = self.tokenizer.encode_batch([c.decode(errors="replace") for c in part], add_special_tokens=False)
-            for chunk, found in zip(part, encoded):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        chunks = text.split()  # at ASCII white space
-        self.learn(set(chunks))
-        known = self.known
-        return b"".join([known[c] for c in chunks])
+        """Make ``chunks`` known."""
+        if len(self.chunks) > REMEMBERED_CHUNKS:
+            self.chunks = {}
+        new = [c for c in chunks if c not in self.chunks]
+        parts = [_word_and_marks(c) for c in new]
+        if len(self.words) > REMEMBERED_WORDS:
+            # Words in use are taken over from the older half when they next occur.
+            self.older, self.words = self.words, {}
+        words, missing = self.words, set()
+        for part in parts:
+            for word in part:
+                if word not in words:
+                    if word in self.older:
+                        words[word] = self.older[word]
+                    else:
+                        missing.add(word)
+        self._encode_words([w for w in missing if w.decode(errors="replace").isalpha()])
+        self._encode_each([w for w in missing if w not in words])
+        for chunk, part in zip(new, parts):
+            self.chunks[chunk] = b"".join([words[w] for w in part])
+
+    def _encode_words(self, words: list[bytes]) -> None:
+        """Words of letters only, many in a call, told apart by the ends of words."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        encoded = self.tokenizer.encode_batch([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, encoded):
+            ids = np.array(found.ids, "<u4")
+            ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
+            if len(ends) != len(group):
+                continue  # left to be encoded one by one
+            data, at = ids.tobytes(), 0
+            for word, end in zip(group, ends.tolist()):
+                self.words[word] = data[at:end]
+                at = end
+
+    def _encode_each(self, parts: list[bytes]) -> None:
+        encoded = self.tokenizer.encode_batch([c.decode(errors="replace") for c in parts], add_special_tokens=False)
+        for part, found in zip(parts, encoded):
+            self.words[part] = np.array(found.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        split = [text.split() for text in texts]  # at ASCII white space
+        self.learn(set().union(*split))
+        known = self.chunks
+        return [b"".join([known[c] for c in chunks]) for chunks in split]
+
+
+def _word_and_marks(chunk: bytes) -> tuple[bytes, ...]:
+    """A chunk as a word and the marks behind it, where these are encoded apart; else whole."""
+    if b"<|" in chunk:
+        return (chunk,)  # might be a special token
+    chunk = chunk.lower()  # A-Z only
+    word = chunk.rstrip(MARKS)
+    if len(word) == len(chunk) or not word.decode(errors="replace").isalpha():
+        return (chunk,)
+    return word, chunk[len(word) :]
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1) -> DataFrame:
@@ -79,11 +133,13 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1) -
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder.of(tokenizer)
         out = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts_utf8(batch.column(1))):
-            ids = encoder.encode(text) + end
-            for k, at in enumerate(range(0, len(ids), 4 * size)):
-                part = ids[at : at + 4 * size]
-                out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
+        texts, doc_ids = texts_utf8(batch.column(1)), batch.column(0).to_pylist()
+        for low in range(0, len(texts), 200):
+            for doc_id, ids in zip(doc_ids[low : low + 200], encoder.encode(texts[low : low + 200])):
+                ids += end
+                for k, at in enumerate(range(0, len(ids), 4 * size)):
+                    part = ids[at : at + 4 * size]
+                    out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
         columns = list(zip(*out))
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
