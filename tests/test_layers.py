@@ -24,7 +24,7 @@ from tierflow.plans import (
     team_report,
 )
 from tierflow.plans.gold import gold_stage
-from tierflow.sources import scan_csv
+from tierflow.sources import scan_csv, write_landing
 from tierflow.specs import (
     BY_NAME,
     GALLERY,
@@ -413,9 +413,9 @@ def test_archive_and_tally(store, land, spark, folder):
     day = dt.date(2024, 1, 1)
     assert archive(store, sources, day) == ["a", "b"]
     assert rows(archive_tally(store, sources, day)) == sorted(
-        [("a", 2, 0), ("b", 1, 0), (None, 3, 0)], key=str)
+        [("a", 2, 0, False), ("b", 1, 0, False), (None, 3, 0, True)], key=str)
     assert rows(archive_tally(store, sources, dt.date(2024, 1, 2))) == sorted(
-        [("a", 0, 2), ("b", 0, 1), (None, 0, 3)], key=str)
+        [("a", 0, 2, False), ("b", 0, 1, False), (None, 0, 3, True)], key=str)
 
     kept = store.read("archive", "a").filter("file = 'x y.v2.csv'").orderBy("block_start", "line_id")
     with open(f"{a}/x y.v2.csv", newline="") as f:
@@ -481,3 +481,51 @@ def test_repeated_stream_batch_replaces_itself(store, spark):
     for _ in range(2):
         store.append_bronze(batch, "t", replay=True)
     assert store.read("bronze", "t").count() == 1
+
+
+# --- landed batches -------------------------------------------------------------------------------
+
+
+def test_source_folder_gives_its_batches_and_relanding_replaces(store, spark, folder):
+    """The documented path: land, load the source's folder, refresh; then the same day again."""
+    landing = f"{folder}/landing/{TEAM_RANKINGS.name}"
+    columns = "rank string, name string"
+
+    def land_day(rows, day):
+        write_landing(spark.createDataFrame(rows, columns), landing, day, TEAM_RANKINGS.landing)
+
+    land_day([("1", "A"), ("2", "B")], "20240101")
+    land_day([("9", "Z")], "20240102")
+    load_bronze(store, TEAM_RANKINGS, landing, DAY[0])
+    refresh_silver(store, TEAM_RANKINGS)
+    land_day([("3", "C")], "20240101")
+    load_bronze(store, TEAM_RANKINGS, landing, DAY[1])
+    refresh_silver(store, TEAM_RANKINGS)
+    assert ranks(store) == [
+        ("ranking_teams_20240101", Decimal(3), "C"), ("ranking_teams_20240102", Decimal(9), "Z")]
+
+
+def test_a_batch_of_many_part_files_is_one_load(store, spark, folder):
+    landing = f"{folder}/landing/{TEAM_RANKINGS.name}"
+    rows = spark.range(40).selectExpr("cast(id as string) as rank", "'n' as name").repartition(20)
+    write_landing(rows, landing, "20240101", TEAM_RANKINGS.landing)
+    ingest_stream(spark, TEAM_RANKINGS, landing, store, f"{folder}/stream", refresh=True).awaitTermination()
+    assert store.bronze(TEAM_RANKINGS).select("load_id").distinct().count() == 1
+    assert store.silver(TEAM_RANKINGS).count() == 40
+
+
+def test_archive_tells_equal_names_apart(store, land, spark, folder):
+    land("a/20240101", "a.csv", ["h"], [["1"]])
+    land("a/20240201", "a.csv", ["h"], [["2"], ["3"]])
+    source = {"a": f"{folder}/landing/a"}
+    archive(store, source, dt.date(2024, 1, 1))
+    kept = store.read("archive", "a").groupBy("file").count()
+    assert rows(kept) == [("20240101/a.csv", 2), ("20240201/a.csv", 3)]
+
+
+def test_several_hundred_layouts_are_one_plan(spark, land):
+    for i in range(200):
+        path = land("wide", f"f{i}.csv", [f"x{i}", "rank", f"y{i}"][:: 1 if i % 2 else -1], [["a", str(i), "b"][:: 1 if i % 2 else -1]])
+    got = scan_csv(spark, path, ("rank", "name"), bind="name")
+    assert rows(got) == sorted([(str(i), None) for i in range(200)], key=str)
+    assert str(got._jdf.queryExecution().optimizedPlan()).count("CASE") == 0

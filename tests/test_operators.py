@@ -274,6 +274,11 @@ def test_json_rows(spark):
     ]
 
 
+def test_json_rows_within_structs(spark):
+    df = json_frame(spark).select(F.struct("n", "s", F.struct("n").alias("in")).alias("a b"), F.lit(None).cast("struct<n:decimal(38,9)>").alias("none"))
+    assert [r.row_json for r in json_rows(df, "x").collect()][1] == '{"a b":{"n":19.4,"s":null,"in":{"n":19.4}},"none":null}'
+
+
 def test_json_document_small_and_empty(spark):
     df = spark.createDataFrame([(2,), (1,), (2,)], "a int")
     assert rows(json_document(df, "t")) == [("t", 0, '[{"a":1},{"a":2},{"a":2}]')]
@@ -285,20 +290,20 @@ def test_json_document_parts_hold_every_row_once(spark):
     import json
 
     df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("a"))
-    got = json_document(df, "t", rows_per_part=50).collect()
+    got = json_document(df, "t", parts=40).collect()
     sizes = [len(json.loads(r.rows_json)) for r in got]
-    assert sum(sizes) == 2000
-    assert max(sizes) < 400
+    assert len(got) == 40 and sum(sizes) == 2000
+    assert max(sizes) < 100
     values = sorted(x["a"] for r in got for x in json.loads(r.rows_json))
     assert values == sorted([-1] * 1000 + list(range(1, 2000, 2)))
-    again = json_document(df.repartition(3), "t", rows_per_part=50)
+    again = json_document(df.repartition(3), "t", parts=40)
     assert rows(again) == sorted((tuple(r) for r in got), key=str)
 
 
-def test_json_report(spark):
+def test_json_report_has_one_form_at_any_size(spark):
     a = spark.createDataFrame([(1,), (2,)], "x int")
-    got = json_report({"a": a, "b": a.filter("x > 9")}, {"a": "a_rows", "b": "b_rows"})
-    assert rows(got) == [(0, '[{"x":1},{"x":2}]', "[]")]
+    got = json_report({"a": a, "b": a.filter("x > 9"), "c": a.filter("x = 1")})
+    assert rows(got) == [("a", '{"x":1}'), ("a", '{"x":2}'), ("c", '{"x":1}')]
 
 
 # --- audit ------------------------------------------------------------------------------
@@ -306,10 +311,10 @@ def test_json_report(spark):
 
 def test_load_tally(spark):
     df = spark.createDataFrame(
-        [("a", True), ("a", False), ("b", True), ("b", None)], "source string, ok boolean"
+        [("a", True), ("a", False), ("b", True), ("b", None), (None, True)], "source string, ok boolean"
     )
     assert rows(load_tally(df, "source", F.col("ok"))) == sorted(
-        [("a", 1, 1), ("b", 1, 1), (None, 2, 2)], key=str
+        [("a", 1, 1, False), ("b", 1, 1, False), (None, 1, 0, False), (None, 3, 2, True)], key=str
     )
 
 

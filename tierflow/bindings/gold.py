@@ -36,7 +36,7 @@ from tierflow.specs import (
     metadata_label,
 )
 
-DOCUMENT_ROWS = 100
+DOCUMENT_PARTS = 16
 
 
 def gold_frames(spark, sf_dir):
@@ -139,14 +139,14 @@ def json_lines(spark, sf_dir):
 
 
 def json_pack(spark, sf_dir):
-    """The customers as JSON arrays of about a hundred rows."""
-    return json_document(table(spark, sf_dir, "customer"), "customer", DOCUMENT_ROWS)
+    """The customers' segments and nations, many of them equal, as sixteen JSON arrays."""
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment")
+    return json_document(rows, "customer", DOCUMENT_PARTS)
 
 
 def json_side_by_side(spark, sf_dir):
-    """Nine tables as JSON arrays, one column each, one row per part."""
-    got = json_report(gold_frames(spark, sf_dir), JSON_REPORT_COLUMNS, rows_per_part=1000)
-    return got.select("part", *[F.md5(c).alias(c) for c in JSON_REPORT_COLUMNS.values()])
+    """Nine tables as one frame of JSON rows."""
+    return json_report(gold_frames(spark, sf_dir))
 
 
 QUERIES = {
@@ -164,21 +164,40 @@ QUERIES = {
 # --- the same in SQL ---------------------------------------------------------------------
 
 TEAMS_SQL = silver_sql(INTERNATIONAL_TEAMS)
+def _matches(own: str, side: str) -> str:
+    """Teams with the markets that agree on one of the three keys."""
+    return f"SELECT t.*, m.alpha2, m.alpha3 FROM team t JOIN market m ON {own} = lower(m.{side})"
+
+
+# Each key is joined by itself; a team that agrees with no market on any key keeps its own
+# codes.  The pick is the least tuple of a team and country, which needs no window.
 ENRICHED_SQL = f"""
-    WITH teams AS (SELECT *, CASE WHEN length(trim(market_code)) = 2 THEN trim(market_code) END AS own2,
-                             CASE WHEN length(trim(market_code)) = 3 THEN trim(market_code) END AS own3
-                   FROM ({TEAMS_SQL}) WHERE team_id IS NOT NULL),
-         market AS ({MARKET_SQL})
-    SELECT market_code, coalesce(m.alpha2, t.own2) AS market_code2,
-           coalesce(m.alpha3, t.own3) AS market_code3, team_id, country_name, image_id,
-           file_name, update_timestamp
-    FROM teams t LEFT JOIN market m
-      ON lower(t.own2) = lower(m.alpha2) OR lower(t.own3) = lower(m.alpha3)
-         OR lower(t.country_name) = lower(m.country)
-    QUALIFY row_number() OVER (
-        PARTITION BY team_id, country_name
-        ORDER BY update_timestamp DESC NULLS LAST, alpha2 NULLS LAST, alpha3 NULLS LAST,
-                 file_name, market_code, image_id) = 1"""
+    WITH market AS ({MARKET_SQL}),
+    team AS (
+        SELECT s.*, trim(market_code) AS code,
+               if(len(trim(market_code)) = 2, trim(market_code), NULL) AS two,
+               if(len(trim(market_code)) = 3, trim(market_code), NULL) AS three
+        FROM ({TEAMS_SQL}) s WHERE team_id IS NOT NULL),
+    agreed AS (
+        {_matches("lower(t.two)", "alpha2")} UNION ALL
+        {_matches("lower(t.three)", "alpha3")} UNION ALL
+        {_matches("lower(t.country_name)", "country")}),
+    candidate AS (
+        SELECT * FROM agreed UNION ALL
+        SELECT t.*, NULL, NULL FROM team t
+        WHERE NOT EXISTS (SELECT 1 FROM agreed a
+                          WHERE (a.team_id, a.file_name) IS NOT DISTINCT FROM (t.team_id, t.file_name)
+                            AND a.country_name IS NOT DISTINCT FROM t.country_name
+                            AND a.market_code IS NOT DISTINCT FROM t.market_code)),
+    pick AS (
+        SELECT team_id, country_name,
+               arg_min(candidate, row(-epoch_us(update_timestamp::timestamp), coalesce(alpha2, '~'), coalesce(alpha3, '~'),
+                                      file_name, coalesce(market_code, '~'), coalesce(image_id, 1e18))) AS best
+        FROM candidate GROUP BY team_id, country_name)
+    SELECT best.market_code AS market_code, coalesce(best.alpha2, best.two) AS market_code2,
+           coalesce(best.alpha3, best.three) AS market_code3, team_id, country_name, best.image_id AS image_id,
+           best.file_name AS file_name, best.update_timestamp AS update_timestamp
+    FROM pick"""
 
 
 def _gold_sql(spec) -> str:
@@ -262,38 +281,18 @@ def _json_object(columns: dict[str, str]) -> str:
     return "'{' || " + " || ',' || ".join(pieces) + " || '}'"
 
 
-def _document_sql(rows_sql: str, size: int) -> str:
-    """Parts of (row_json) rows: copies are counted, split in runs, and hashed to a part."""
-    return f"""
-        WITH text AS ({rows_sql}),
-        size AS (SELECT greatest(ceil(count(*) / {size}.0), 1)::bigint AS parts FROM text),
-        copies AS (SELECT row_json, count(*) AS n FROM text GROUP BY row_json),
-        runs AS (SELECT row_json, n, unnest(range(0, ceil(n / {size}.0)::bigint)) AS run FROM copies),
-        placed AS (
-            SELECT ('0x' || substr(md5(row_json || ':' || run), 1, 8))::bigint % parts AS part,
-                   row_json, unnest(range(least({size}, n - run * {size})::bigint)) AS copy
-            FROM runs, size)
-        SELECT part, '[' || string_agg(row_json, ',' ORDER BY row_json) || ']' AS rows_json
-        FROM placed GROUP BY part"""
-
-
-CUSTOMER_JSON = _json_object(
-    {"c_custkey": "plain", "c_name": "text", "c_nationkey": "plain", "c_acctbal": "plain", "c_mktsegment": "text"}
-)
+PAIR_JSON = _json_object({"c_nationkey": "plain", "c_mktsegment": "text"})
 
 
 def _report_sql() -> str:
-    documents = []
+    branches = []
     for spec in SOURCES:
         columns = {n: "number" if number else "text" for n, number in _gold_columns(spec).items()}
         columns |= {"file_name": "text", "update_timestamp": "time"}
-        rows = f"SELECT {_json_object(columns)} AS row_json FROM ({_gold_sql(spec)})"
-        documents.append(f"SELECT '{spec.tag}' AS tag, * FROM ({_document_sql(rows, 1000)})")
-    cells = ", ".join(
-        f"md5(max(CASE WHEN tag = '{tag}' THEN rows_json END)) AS {name}"
-        for tag, name in JSON_REPORT_COLUMNS.items()
-    )
-    return f"SELECT part, {cells} FROM ({' UNION ALL '.join(documents)}) GROUP BY part"
+        branches.append(
+            f"SELECT '{spec.tag}' AS source_table, {_json_object(columns)} AS row_json FROM ({_gold_sql(spec)})"
+        )
+    return " UNION ALL ".join(branches)
 
 
 ORACLES = {
@@ -322,7 +321,13 @@ ORACLES = {
                               "value": "plain", "props": "text", "buyer": "plain"})} AS row_json
         FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN user_id END AS buyer FROM events)""",
     "json_pack": f"""
-        SELECT 'customer' AS source_table, part, rows_json
-        FROM ({_document_sql(f"SELECT {CUSTOMER_JSON} AS row_json FROM customer", DOCUMENT_ROWS)})""",
+        WITH text AS (
+            SELECT row_json, row_number() OVER (PARTITION BY row_json) - 1 AS nth
+            FROM (SELECT {PAIR_JSON} AS row_json FROM customer)),
+        dealt AS (
+            SELECT (('0x' || substr(md5(row_json), 1, 8))::bigint + nth) % {DOCUMENT_PARTS} AS part, row_json FROM text)
+        SELECT 'customer' AS source_table, p.part AS part,
+               '[' || coalesce(string_agg(row_json, ',' ORDER BY row_json), '') || ']' AS rows_json
+        FROM range({DOCUMENT_PARTS}) AS p(part) LEFT JOIN dealt ON dealt.part = p.part GROUP BY p.part""",
     "json_report": _report_sql(),
 }

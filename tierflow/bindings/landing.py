@@ -87,16 +87,48 @@ def market_scan(spark, sf_dir):
 def bronze_load(spark, sf_dir):
     """The same landing folder loaded twice: every row, every run."""
     store = TableStore(spark, _run_dir(spark))
-    batch = write_landing(landing_frame(spark, sf_dir, BATSMEN.name), f"{store.root}/landing", "20240101")
+    landing = f"{store.root}/landing/{BATSMEN.name}"
+    write_landing(landing_frame(spark, sf_dir, BATSMEN.name), landing, "20240101")
     for load in (FIRST_LOAD, SECOND_LOAD):
-        bronze = load_bronze(store, BATSMEN, batch, F.lit(load).cast("timestamp"))
+        bronze = load_bronze(store, BATSMEN, landing, F.lit(load).cast("timestamp"))
     return bronze.select(
-        *BATSMEN.landing,
-        F.col("file_name").startswith("part-").cast("int").alias("has_file_name"),
-        F.col(LOAD_TS).cast("string").alias(LOAD_TS),
+        *BATSMEN.landing, "file_name", F.col(LOAD_TS).cast("string").alias(LOAD_TS)
     )
 
 
+def _landed_again(spark, sf_dir, landing):
+    """The day's batch as a second extraction wrote it: the rows in credit, another rating."""
+    rows = landing_frame(spark, sf_dir, BATSMEN.name).filter("cast(rating as double) >= 0")
+    write_landing(rows.withColumn("rating", F.lit("1000.50")), landing, "20240101", BATSMEN.landing)
+
+
+def reland_batch(spark, sf_dir):
+    """Two days landed, loaded and refreshed; the first day landed again, loaded, refreshed."""
+    store = TableStore(spark, _run_dir(spark))
+    landing = f"{store.root}/landing/{BATSMEN.name}"
+    rows = landing_frame(spark, sf_dir, BATSMEN.name)
+    write_landing(rows, landing, "20240101", BATSMEN.landing)
+    write_landing(rows.limit(0).union(rows.filter("cast(rating as double) < 0")), landing, "20240102", BATSMEN.landing)
+    load_bronze(store, BATSMEN, landing, F.lit(FIRST_LOAD).cast("timestamp"))
+    refresh_silver(store, BATSMEN)
+    _landed_again(spark, sf_dir, landing)
+    load_bronze(store, BATSMEN, landing, F.lit(SECOND_LOAD).cast("timestamp"))
+    return _silver_text(refresh_silver(store, BATSMEN))
+
+
+def stream_reland(spark, sf_dir):
+    """A batch taken in by the stream, landed again and taken again."""
+    store = TableStore(spark, _run_dir(spark))
+    landing = f"{store.root}/landing/{BATSMEN.name}"
+    write_landing(landing_frame(spark, sf_dir, BATSMEN.name), landing, "20240101", BATSMEN.landing)
+    for again in (False, True):
+        if again:
+            _landed_again(spark, sf_dir, landing)
+        query = ingest_stream(spark, BATSMEN, landing, store, f"{store.root}/stream", refresh=True)
+        query.awaitTermination()
+    return _silver_text(store.silver(BATSMEN)).drop(LOAD_TS)
+
+
 def _second_load(spark, sf_dir):
     """Files landed again, with the rows in credit only and another rating."""
     rows = bronze_frame(spark, sf_dir, BATSMEN.name, SECOND_LOAD)
@@ -156,34 +188,45 @@ def truncated_tables(spark, sf_dir):
 
 
 def archived_batches(spark, sf_dir):
-    """Three sources archived, one of them not landed: lines kept, files failed."""
+    """Two days of a source and one of another archived, a third source not landed.
+
+    One file of the second source was archived in part, which the tally must find.  Every
+    archived line is compared.
+    """
     store = TableStore(spark, _run_dir(spark))
     names = ("ranking_allrounders", "ranking_batsmen", "ranking_bowlers")
-    sources = {n: f"{store.root}/landing/{n}/20240101" for n in names}
-    for n in names[:2]:
-        write_landing(landing_frame(spark, sf_dir, n), f"{store.root}/landing/{n}", "20240101")
+    sources = {n: f"{store.root}/landing/{n}" for n in names}
+    whole = {n: landing_frame(spark, sf_dir, n) for n in names[:2]}
+    for name, day, rows in (
+        (names[0], "20240101", whole[names[0]]),
+        (names[0], "20240102", whole[names[0]].limit(3)),
+        (names[1], "20240101", whole[names[1]].filter("cast(rating as double) >= 0")),
+    ):
+        write_landing(rows.coalesce(1), sources[name], day)
     day = dt.date(2024, 1, 1)
-    found = archive(store, sources, day)
+    archive(store, sources, day)
+    # The batch has grown since: what the archive holds is no longer all of it.
+    write_landing(whole[names[1]].coalesce(1), f"{sources[names[1]]}/late", "20240103")
     lines = [
         store.read("archive", n)
         .filter(~F.col("line").startswith("rank,id,name,"))
-        .agg(F.count("*").alias("lines"))
-        .select(F.lit(n).alias("source"), "lines")
-        for n in found
+        .filter(F.col("file").startswith("20240101/"))
+        .select(F.lit(n).alias("source"), F.col("line"), F.lit(None).cast("long").alias("moved"), F.lit(None).cast("long").alias("failed"))
+        for n in names[:2]
     ]
-    tally = archive_tally(store, sources, day).filter("source is not null")
-    return lines[0].union(lines[1]).join(tally, "source").select(
-        "source", "lines", (F.col("moved") > 0).cast("int").alias("has_files"), "failed"
+    tally = archive_tally(store, sources, day).filter("not is_total").select(
+        "source", F.lit(None).cast("string").alias("line"), "moved", "failed"
     )
+    return lines[0].unionByName(lines[1]).unionByName(tally)
 
 
 def stream_ingest(spark, sf_dir):
     """A landing folder taken in by a stream, twice: each file is loaded once."""
     store = TableStore(spark, _run_dir(spark))
     landing = f"{store.root}/landing"
-    batch = write_landing(landing_frame(spark, sf_dir, BATSMEN.name), landing, "20240101")
+    write_landing(landing_frame(spark, sf_dir, BATSMEN.name), landing, "20240101")
     for _ in range(2):
-        query = ingest_stream(spark, BATSMEN, batch, store, f"{store.root}/stream", refresh=True)
+        query = ingest_stream(spark, BATSMEN, landing, store, f"{store.root}/stream", refresh=True)
         query.awaitTermination()
     silver = store.silver(BATSMEN)
     return silver.select(
@@ -206,6 +249,8 @@ QUERIES = {
     "csv_free_text": csv_free_text,
     "market_scan": market_scan,
     "bronze_load": bronze_load,
+    "reland_batch": reland_batch,
+    "stream_reland": stream_reland,
     "silver_refresh": silver_refresh,
     "all_layers": all_layers,
     "truncated_tables": truncated_tables,
@@ -224,6 +269,18 @@ _REFRESHED = ", ".join(
     else (f"{plain_number(c)} AS {c}" if c in BATSMEN.numeric else f"{c} AS {c}")
     for c in BATSMEN.columns
 )
+
+
+def _csv_line(name: str) -> str:
+    """SQL text of a landed row as its CSV line; cells with commas or quotes are quoted."""
+    cells = [
+        f"""CASE WHEN regexp_matches("{c}", '[",\\n]') THEN '"' || replace("{c}", '"', '""') || '"' """
+        f"""ELSE coalesce("{c}", '') END"""
+        for c in BATSMEN.landing
+    ]
+    return " || ',' || ".join(cells)
+
+
 ORACLES = {
     "csv_by_position": f"SELECT {_CELLS} FROM ({landing_sql(BATSMEN.name)})",
     "csv_by_name": f"""
@@ -235,8 +292,18 @@ ORACLES = {
                source AS gallery_published_time, md5(text) AS text_md5 FROM documents""",
     "market_scan": MARKET_SQL,
     "bronze_load": f"""
-        SELECT {_CELLS}, 1 AS has_file_name, load AS update_timestamp
+        SELECT {_CELLS}, 'ranking_batsmen_20240101' AS file_name, load AS update_timestamp
         FROM ({landing_sql(BATSMEN.name)}), (VALUES ('{FIRST_LOAD}'), ('{SECOND_LOAD}')) AS loads(load)""",
+    "reland_batch": f"""
+        WITH silver AS ({silver_sql(BATSMEN)})
+        SELECT {_REFRESHED}, 'ranking_batsmen_20240101' AS file_name, '{SECOND_LOAD}' AS update_timestamp
+        FROM silver WHERE rating >= 0
+        UNION ALL
+        SELECT {_SILVER}, 'ranking_batsmen_20240102' AS file_name, '{SECOND_LOAD}' AS update_timestamp
+        FROM silver WHERE rating < 0""",
+    "stream_reland": f"""
+        SELECT {_REFRESHED}, 'ranking_batsmen_20240101' AS file_name
+        FROM ({silver_sql(BATSMEN)}) WHERE rating >= 0""",
     "silver_refresh": f"""
         WITH silver AS ({silver_sql(BATSMEN)}),
         again AS (SELECT * FROM silver WHERE rating >= 0)
@@ -250,9 +317,14 @@ ORACLES = {
         FROM (SELECT count(*) AS n FROM customer),
              (VALUES ('bronze'), ('silver'), ('gold')) AS layers(layer),
              (VALUES ('before'), ('after')) AS stages(stage)""",
-    "archived_batches": """
-        SELECT 'ranking_allrounders' AS source, count(*) AS lines, 1 AS has_files, 0 AS failed FROM supplier
-        UNION ALL SELECT 'ranking_batsmen', count(*), 1, 0 FROM customer""",
+    "archived_batches": f"""
+        SELECT 'ranking_allrounders' AS source, {_csv_line('ranking_allrounders')} AS line,
+               NULL::bigint AS moved, NULL::bigint AS failed FROM ({landing_sql('ranking_allrounders')})
+        UNION ALL
+        SELECT 'ranking_batsmen', {_csv_line('ranking_batsmen')}, NULL, NULL
+        FROM ({landing_sql('ranking_batsmen')}) WHERE rating::double >= 0
+        UNION ALL SELECT 'ranking_allrounders', NULL, 2, 0
+        UNION ALL SELECT 'ranking_batsmen', NULL, 1, 1""",
     "responses_to_silver": f"""
         SELECT * EXCLUDE (team2_wickets) REPLACE (nullif(series_name, '') AS series_name),
                team2_wickets AS team2_wicket

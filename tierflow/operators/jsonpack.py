@@ -13,107 +13,97 @@ JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timeZone": "UTC",
 }
-ROWS_PER_PART = 10_000
 
 
 def json_row(df: DataFrame) -> Column:
     """The row as a JSON object: NULLs kept, decimals plain, microsecond times.
 
-    ``to_json`` would print a decimal with all its zeros, so decimals are written
-    by ``numeric_text``; runs of other columns go through one ``to_json`` each.
+    ``to_json`` would print a decimal with all its zeros, so decimals, also those within
+    structs, are written by ``numeric_text``; runs of other columns go through one
+    ``to_json`` each.
     """
+    return _object(df.schema, "")
+
+
+def _object(fields: T.StructType, path: str) -> Column:
     pieces: list[Column] = []
     run: list[str] = []
 
     def close_run():
         if run:
-            packed = F.to_json(F.struct(*[F.col(f"`{c}`") for c in run]), JSON_OPTIONS)
+            packed = F.to_json(F.struct(*[F.col(f"{path}`{c}`").alias(c) for c in run]), JSON_OPTIONS)
             pieces.append(F.substr(packed, F.lit(2), F.length(packed) - 2))
             run.clear()
 
-    for f in df.schema:
+    def add(name: str, text: Column):
+        close_run()
+        label = F.to_json(F.array(F.lit(name)))
+        label = F.substr(label, F.lit(2), F.length(label) - 2)
+        pieces.append(F.concat(label, F.lit(":"), F.coalesce(text, F.lit("null"))))
+
+    for f in fields:
+        at = f"{path}`{f.name}`"
         if isinstance(f.dataType, T.DecimalType):
-            close_run()
-            text = F.coalesce(numeric_text(f"`{f.name}`"), F.lit("null"))
-            pieces.append(F.concat(F.lit(f'"{f.name}":'), text))
+            add(f.name, numeric_text(at))
+        elif isinstance(f.dataType, T.StructType) and _has_decimal(f.dataType):
+            add(f.name, F.when(F.col(at).isNotNull(), _object(f.dataType, f"{at}.")))
         else:
             run.append(f.name)
     close_run()
     return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
 
 
+def _has_decimal(kind: T.StructType) -> bool:
+    return any(
+        isinstance(f.dataType, T.DecimalType)
+        or isinstance(f.dataType, T.StructType)
+        and _has_decimal(f.dataType)
+        for f in kind
+    )
+
+
 def json_rows(df: DataFrame, tag: str) -> DataFrame:
     """(source_table, row_json), one object per row: no shuffle, any size."""
     return df.select(F.lit(tag).alias("source_table"), json_row(df).alias("row_json"))
 
 
-def json_document(df: DataFrame, tag: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """(source_table, part, rows_json): the table as JSON arrays.
+def json_report(frames: dict[str, DataFrame]) -> DataFrame:
+    """All tables in one frame of (source_table, row_json), the same form at any size.
 
-    A table of up to ``rows_per_part`` rows is one array, an empty one ``[]``.  A
-    larger table comes as several arrays of about that many rows, so no task or
-    cell ever holds the whole table; together the parts hold every row once.
+    A table without rows has none here.  No step shuffles.
     """
-    placed = _placed(df, tag, rows_per_part)
-    return placed.groupBy("source_table", "part").agg(_array_text(tag).alias("rows_json"))
+    return reduce(DataFrame.unionByName, [json_rows(df, tag) for tag, df in frames.items()])
 
 
-def json_report(
-    frames: dict[str, DataFrame], columns: dict[str, str], rows_per_part: int = ROWS_PER_PART
-) -> DataFrame:
-    """All tables side by side, one column of JSON arrays per table.
+def json_document(df: DataFrame, tag: str, parts: int = 1) -> DataFrame:
+    """(source_table, part, rows_json): the table as so many JSON arrays.
 
-    One row if every table fits one part; else one row per part number, NULL
-    where a table has fewer parts.
+    The caller says how many, whatever the table holds; an array without rows is ``[]``.
+    A part is gathered in one cell, so give a large table many parts or use ``json_rows``.
+    Rows are dealt by a hash of their text, copies of a row in turn, so that equal rows do
+    not fill one part and parts do not depend on how the data was split.
     """
-    placed = reduce(
-        DataFrame.unionByName, [_placed(df, tag, rows_per_part) for tag, df in frames.items()]
+    text = df.select(json_row(df).alias("row_json")).groupBy("row_json").agg(F.count("*").alias("copies"))
+    nth = F.sequence(F.lit(0), F.least(F.col("copies"), F.lit(parts)) - 1)
+    dealt = text.select("row_json", "copies", F.explode(nth).alias("nth")).select(
+        F.pmod(_head(F.col("row_json")) + F.col("nth"), F.lit(parts)).alias("part"),
+        "row_json",
+        # Of the copies each part in turn has one, the first of them one more.
+        F.floor((F.col("copies") - F.col("nth") - 1) / parts + 1).cast("int").alias("times"),
     )
-    return placed.groupBy("part").agg(*[_array_text(tag).alias(columns[tag]) for tag in frames])
-
-
-def _placed(df: DataFrame, tag: str, rows_per_part: int) -> DataFrame:
-    """(source_table, part, row_json, times): each distinct row text and its place.
-
-    Rows are placed by a hash of their text, so parts do not depend on how the
-    data was split.  Copies of a row are counted first and then spread in runs,
-    so that many equal rows do not fill one part.
-    """
-    size = F.lit(rows_per_part)
-    text = df.select(json_row(df).alias("row_json"))
-    parts = F.greatest(F.ceil(df.agg(F.count("*").alias("n")).scalar() / size), F.lit(1))
-    runs = (
-        text.groupBy("row_json")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("run", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / size) - 1)))
-        .select(
-            F.lit(tag).alias("source_table"),
-            _part(F.concat_ws(":", "row_json", "run"), parts).alias("part"),
-            "row_json",
-            F.least(size, F.col("copies") - F.col("run") * size).cast("int").alias("times"),
-        )
+    blank = df.sparkSession.range(parts).select(
+        F.col("id").alias("part"), F.lit(None).cast("string").alias("row_json"), F.lit(0).alias("times")
     )
-    # An empty table still is a document.
-    blank = df.sparkSession.range(1).select(
-        F.lit(tag).alias("source_table"),
-        F.lit(0).cast("bigint").alias("part"),
-        F.lit(None).cast("string").alias("row_json"),
-        F.lit(0).alias("times"),
-    )
-    return runs.unionByName(blank)
-
-
-def _array_text(tag: str) -> Column:
-    """Aggregate: one table's rows of a part as a JSON array; NULL if it has no such part."""
-    own = F.col("source_table") == tag
-    listed = F.sort_array(
-        F.collect_list(F.when(own & F.col("row_json").isNotNull(), F.struct("row_json", "times")))
-    )
-    repeated = F.flatten(F.transform(listed, lambda r: F.array_repeat(r["row_json"], r["times"])))
+    rows = F.sort_array(F.collect_list(F.when(F.col("row_json").isNotNull(), F.struct("row_json", "times"))))
+    repeated = F.flatten(F.transform(rows, lambda r: F.array_repeat(r["row_json"], r["times"])))
     text = F.concat(F.lit("["), F.array_join(repeated, ","), F.lit("]"))
-    return F.when(F.bool_or(own), text)
+    return (
+        dealt.unionByName(blank)
+        .groupBy("part")
+        .agg(text.alias("rows_json"))
+        .select(F.lit(tag).alias("source_table"), "part", "rows_json")
+    )
 
 
-def _part(text: Column, parts: Column) -> Column:
-    head = F.conv(F.substr(F.md5(text), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
-    return F.pmod(head, parts.cast("bigint"))
+def _head(text: Column) -> Column:
+    return F.conv(F.substr(F.md5(text), F.lit(1), F.lit(8)), 16, 10).cast("bigint")

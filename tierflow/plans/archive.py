@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tierflow.functions import split_literal, uri_text
 from tierflow.operators import load_tally, missing_sources
@@ -16,19 +17,27 @@ ARCHIVE_LAYER = "archive"
 FILES = T.StructType(
     [T.StructField("source", T.StringType()), T.StructField("file", T.StringType())]
 )
+COUNTED = T.StructType([*FILES, T.StructField("lines", T.LongType())])
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame | None:
+def file_below(path: str, uri: Column) -> Column:
+    """A file's path below the folder ``path``, which tells equal names apart; else its name."""
+    folder = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/"
+    at = F.instr(uri, folder)
+    name = F.element_at(split_literal(uri, "/"), -1)
+    return F.when(at > 0, F.substr(uri, at + len(folder))).otherwise(name)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame | None:
     """Every line of every landed file with its place; None if nothing landed."""
     try:
-        lines = spark.read.text(path, lineSep="\n")
+        lines = spark.read.option("recursiveFileLookup", True).text(path, lineSep="\n")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    segments = split_literal(uri_text(F.col("_metadata.file_path")), "/")
     return lines.select(
-        F.element_at(segments, -1).alias("file"),
+        file_below(path, uri_text(F.col("_metadata.file_path"))).alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"),
         F.col("value").alias("line"),
@@ -39,8 +48,8 @@ def archive(store: TableStore, sources: dict[str, str], date: dt.date) -> list[s
     """Copy each source's landed files under a date.  Returns the sources found.
 
     Files are kept line by line, so a file of any size is spread over tasks; its
-    text is the lines in (block_start, line_id) order.  A file of the same name
-    and date is replaced.  Sources whose folder is missing are passed over.
+    text is the lines in (block_start, line_id) order.  A file is known by its path below
+    the source's folder; one of the same path and date is replaced.  Sources whose folder is missing are passed over.
     """
     found = []
     for source, path in sources.items():
@@ -54,7 +63,7 @@ def archive(store: TableStore, sources: dict[str, str], date: dt.date) -> list[s
 
 
 def archived_files(store: TableStore, sources: list[str], date: dt.date) -> DataFrame:
-    """(source, file) archived under a date."""
+    """(source, file, lines) archived under a date."""
     schema = T.StructType(
         [
             T.StructField("block_start", T.LongType()),
@@ -67,11 +76,11 @@ def archived_files(store: TableStore, sources: list[str], date: dt.date) -> Data
     files = [
         store.read(ARCHIVE_LAYER, source, schema)
         .filter(F.col("archive_date") == date.isoformat())
-        .select(F.lit(source).alias("source"), "file")
-        .distinct()
+        .groupBy(F.lit(source).alias("source"), "file")
+        .agg(F.count("*").alias("lines"))
         for source in sources
     ]
-    return reduce(DataFrame.unionByName, files, store.spark.createDataFrame([], FILES))
+    return reduce(DataFrame.unionByName, files, store.spark.createDataFrame([], COUNTED))
 
 
 def landed_files(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
@@ -82,24 +91,38 @@ def landed_files(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
     files = []
     for source, path in sources.items():
         try:
-            listing = spark.read.format("binaryFile").load(path)
+            listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        name = F.element_at(split_literal("path", "/"), -1)
+        name = file_below(path, F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:", ""))
         files.append(
             listing.filter("length > 0").select(F.lit(source).alias("source"), name.alias("file"))
         )
     return reduce(DataFrame.unionByName, files, spark.createDataFrame([], FILES))
 
 
+def landed_lines(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
+    """(source, file, lines) now in landing; empty files do not count."""
+    files = []
+    for source, path in sources.items():
+        lines = _lines(spark, path)
+        if lines is not None:
+            of_file = lines.groupBy(F.lit(source).alias("source"), "file")
+            files.append(of_file.agg(F.count("*").alias("lines")))
+    return reduce(DataFrame.unionByName, files, spark.createDataFrame([], COUNTED))
+
+
 def archive_tally(store: TableStore, sources: dict[str, str], date: dt.date) -> DataFrame:
-    """Files moved and failed per source, with a total row (source NULL)."""
-    landed = landed_files(store.spark, sources)
-    kept = archived_files(store, list(sources), date).withColumn("kept", F.lit(True))
+    """Files moved and failed per source, and a total row, which ``is_total`` marks.
+
+    A file counts as moved only if the archive has as many lines of it as landing.
+    """
+    landed = landed_lines(store.spark, sources).withColumnRenamed("lines", "landed")
+    kept = archived_files(store, list(sources), date)
     checked = landed.join(kept, ["source", "file"], "left")
-    return load_tally(checked, "source", F.coalesce(F.col("kept"), F.lit(False)))
+    return load_tally(checked, "source", F.coalesce(F.col("lines") == F.col("landed"), F.lit(False)))
 
 
 def arrival_audit(spark: SparkSession, sources: dict[str, str]) -> DataFrame:

@@ -46,7 +46,7 @@ def land_responses(
     Returns the batch folder, or None if the responses held no record.
     """
     rows = FLATTENERS[spec.name](read_documents(spark, responses))
-    return write_landing(rows, f"{landing}/{spec.name}", batch_stamp(spec, when))
+    return write_landing(rows, f"{landing}/{spec.name}", batch_stamp(spec, when), spec.landing)
 
 
 def land_gallery(

@@ -19,7 +19,6 @@ from tierflow.sources.csv_landing import scan_csv
 from tierflow.sources.tables import TableStore
 from tierflow.specs import (
     INTERNATIONAL_TEAMS,
-    JSON_REPORT_COLUMNS,
     MARKET_LANDING,
     SOURCES,
 )
@@ -72,9 +71,9 @@ def nested_gold(frames: dict[str, DataFrame], guarded: bool = False) -> DataFram
     return nested_union(frames, guarded)
 
 
-def json_gold(frames: dict[str, DataFrame], **options) -> DataFrame:
-    """The nine tables as JSON arrays, one column each."""
-    return json_report(frames, JSON_REPORT_COLUMNS, **options)
+def json_gold(frames: dict[str, DataFrame]) -> DataFrame:
+    """The nine tables as (source_table, row_json)."""
+    return json_report(frames)
 
 
 def team_report(teams: DataFrame, players: DataFrame, results: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # The nested Gold row has more leaves than the default limit for generated code.
     "spark.sql.codegen.maxFields": "1000",
+    # Beyond this many bytes the JVM does not compile a method; such code is not generated.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets a rebalanced write split one hot file over many tasks.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierflow.session import measured
 from tierflow.specs import FILE_PATH, SourceSpec, string_schema
@@ -31,6 +30,7 @@ def scan_csv(
     ``bind="position"`` gives the n-th cell the n-th declared name.  Short rows
     are padded with NULL and surplus cells dropped.  ``bind="name"`` follows each
     file's own header, whatever its order; names it lacks are NULL.
+    Folders are read with all below them, so a source's folder gives all its batches.
     ``with_path`` adds the file each row came from as ``file_path``.
     """
     if isinstance(columns, SourceSpec):
@@ -49,7 +49,7 @@ def scan_csv(
 def _read(spark, path, names, multiline) -> DataFrame:
     return (
         spark.read.schema(string_schema(names))
-        .options(**CSV_DIALECT, enforceSchema=True, multiLine=multiline)
+        .options(**CSV_DIALECT, enforceSchema=True, multiLine=multiline, recursiveFileLookup=True)
         .csv(path)
         .select(*names, F.col("_metadata.file_path").alias(FILE_PATH))
     )
@@ -61,7 +61,7 @@ def headers_by_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
     The first line is the one with the lowest row id in the split at offset 0.
     Map-side aggregation leaves one row per file before the shuffle.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
         F.col("_metadata.file_path").alias(FILE_PATH),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),
@@ -75,56 +75,71 @@ def headers_by_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _scan_by_name(spark, path, columns, multiline) -> DataFrame:
-    headers = measured(headers_by_file(spark, path))
-    # The driver sees the distinct layouts only, never the rows or the file list.
-    layouts = [row.header for row in headers.select("header").distinct().collect()]
-    if not layouts:
+    """One scan, each row choosing its cells by the header of its file.
+
+    A small row per file holds the place of every wanted column, so the plan is the
+    same however many layouts there are, and the driver sees only the widest one's size.
+    """
+    names = _header_cells(F.regexp_replace("header", "^\ufeff", ""))
+    headers = measured(headers_by_file(spark, path).select(FILE_PATH, names.alias("_names")))
+    width = headers.agg(F.max(F.size("_names"))).first()[0]
+    if not width:
         return _read(spark, path, columns, multiline)
-    names = [_header_names(h) for h in layouts]
-    slots = [f"_slot{i}" for i in range(max(len(n) for n in names))]
-    raw = _read(spark, path, slots, multiline)
-    if len(layouts) == 1:
-        return raw.select(*[_slot(names[0], slots, c).alias(c) for c in columns], FILE_PATH)
-    # Files of several layouts: one scan, each row choosing its cells by the
-    # layout of its file (one small row per file).
-    layout_of_file = headers.select(
-        FILE_PATH,
-        F.array_position(F.lit(layouts), F.col("header")).alias("_layout"),
+    slots = [f"_slot{i}" for i in range(width)]
+    places = headers.select(
+        FILE_PATH, F.array(*[_place(F.col("_names"), c) for c in columns]).alias("_places")
     )
-    return raw.join(layout_of_file, FILE_PATH).select(
+    raw = _read(spark, path, slots, multiline).select(
+        F.array(*slots).alias("_cells"), FILE_PATH
+    )
+    return raw.join(measured(places), FILE_PATH).select(
         *[
-            F.coalesce(
-                *[
-                    F.when(F.col("_layout") == i, _slot(n, slots, c))
-                    for i, n in enumerate(names, start=1)
-                ]
-            ).alias(c)
-            for c in columns
+            # Place 0 is a column the file lacks.
+            F.get("_cells", F.get("_places", F.lit(i)) - 1).alias(c)
+            for i, c in enumerate(columns)
         ],
         FILE_PATH,
     )
 
 
-def _header_names(line: str) -> list[str]:
-    return next(csv.reader([line.lstrip("\ufeff")]))
+def _header_cells(line: Column) -> Column:
+    """The names in a header line; a quoted name may hold commas and doubled quotes."""
+    cells = F.regexp_extract_all(
+        F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1)
+    )
+    return F.transform(
+        cells,
+        lambda c: F.when(
+            c.rlike('^".*"$'),
+            F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"')),
+        ).otherwise(c),
+    )
 
 
-def _slot(names: list[str], slots: list[str], wanted: str):
-    """The first column of that name; letter case decides only between several."""
-    if wanted in names:
-        return F.col(slots[names.index(wanted)])
-    folded = [n.strip().lower() for n in names]
-    if wanted.lower() in folded:
-        return F.col(slots[folded.index(wanted.lower())])
-    return F.lit(None).cast("string")
+def _place(names: Column, wanted: str) -> Column:
+    """Where the first column of that name is, from 1; letter case decides only between several."""
+    exact = F.array_position(names, wanted)
+    folded = F.array_position(F.transform(names, lambda n: F.lower(F.trim(n))), wanted.lower())
+    return F.when(exact > 0, exact).otherwise(folded).cast("int")
 
 
-def write_landing(df: DataFrame, source_path: str, stamp: str) -> str | None:
+def write_landing(
+    df: DataFrame, source_path: str, stamp: str, columns: tuple[str, ...] | None = None
+) -> str | None:
     """Write one batch as CSV with a header under ``source_path/stamp``.
 
-    Cells keep their outer blanks, quotes are doubled, and NULL and '' are both
-    empty cells.  An empty batch writes nothing and returns None.
+    Landing the same stamp again replaces that batch, as a second run of a day's
+    extraction does.  With ``columns`` the batch is written in that order, columns it
+    lacks being empty; others of its own follow.  Cells keep their outer blanks, quotes
+    are doubled, and NULL and '' are both empty cells.  An empty batch writes nothing
+    and returns None.
     """
+    if columns is not None:
+        own = {c.lower() for c in df.columns}
+        df = df.select(
+            *[c if c.lower() in own else F.lit(None).cast("string").alias(c) for c in columns],
+            *[c for c in df.columns if c.lower() not in {x.lower() for x in columns}],
+        )
     if df.isEmpty():
         return None
     target = f"{source_path}/{stamp}"
@@ -134,7 +149,9 @@ def write_landing(df: DataFrame, source_path: str, stamp: str) -> str | None:
             emptyValue="",
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
-        ).csv(target)
+        )
+        .mode("overwrite")
+        .csv(target)
     )
     return target
 

@@ -9,14 +9,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierflow.functions import file_stem, uri_text
 from tierflow.specs import FILE_NAME, FILE_PATH, LOAD_TS
 
+#: Path of a part file of a landed batch: source folder, stamp, part.
+BATCH_PART = r"([^/]+)/([0-9]{8}(?:_[0-9]{6})?)/part-[^/]*$"
+
 
 def with_file_name(df: DataFrame) -> DataFrame:
-    """Add ``file_name``, the stem of the file each row was read from.
+    """Add ``file_name``: the batch a row was read from, else the stem of its file.
 
-    Takes the path column of a scan if there is one, else Spark's own metadata.
+    A batch of our own is a folder ``<source>/<stamp>`` of part files whose names differ
+    on every write.  Its name is source and stamp, so that landing it again gives the
+    same name.  Any other file is named by its stem.  Takes the path column of a scan if
+    there is one, else Spark's own metadata.
     """
-    path = FILE_PATH if FILE_PATH in df.columns else "_metadata.file_path"
-    return df.withColumn(FILE_NAME, file_stem(uri_text(path)))
+    path = uri_text(FILE_PATH if FILE_PATH in df.columns else "_metadata.file_path")
+    return df.withColumn(FILE_NAME, F.coalesce(batch_name(path), file_stem(path)))
+
+
+def batch_name(path: Column) -> Column:
+    """``<source>_<stamp>`` of a part file of a landed batch; NULL for any other file."""
+    source = F.regexp_extract(path, BATCH_PART, 1)
+    return F.when(source != "", F.concat_ws("_", source, F.regexp_extract(path, BATCH_PART, 2)))
 
 
 def with_load_ts(df: DataFrame, load_ts: dt.datetime | Column | None = None) -> DataFrame:

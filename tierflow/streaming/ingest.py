@@ -15,7 +15,6 @@ from tierflow.sources.lineage import stage_bronze, with_load_ts
 from tierflow.sources.tables import TableStore
 from tierflow.specs import LOAD_TS, SourceSpec
 
-FILES_PER_BATCH = 1_000
 FILE_LIST = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -34,17 +33,18 @@ def ingest_stream(
     checkpoint: str | None = None,
     archive_dir: str | None = None,
     refresh: bool = False,
-    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Take every new landing file into Bronze, then stop.
+    """Take every new landing file into Bronze as one load, then stop.
 
-    The checkpoint remembers the files taken.  A batch that is repeated after a
-    failure has the same load timestamp (the stream records it) and so replaces
-    its own load.  ``refresh=True`` also brings Silver up to date per batch.
+    The checkpoint remembers the paths taken.  A batch landed again has new part files
+    and is taken again; a foreign file rewritten under the same path is not.  All new
+    files of a run are one load with one timestamp, so no batch is divided.  A run that
+    is repeated after a failure has the same load timestamp (the stream records it) and
+    so replaces its own load.  ``refresh=True`` also brings Silver up to date.
     With ``archive_dir``, files already taken are moved there by the file source.
     """
     checkpoint = checkpoint or f"{shared_dir(spark)}/streams/{spec.name}"
-    options = {"maxFilesPerTrigger": files_per_batch}
+    options = {"recursiveFileLookup": True}
     if archive_dir:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
     reader = spark.readStream.options(**options)
@@ -91,7 +91,7 @@ def refresh_batch(
 
 
 def _scan_files(batch: DataFrame, spec: SourceSpec) -> DataFrame:
-    # At most files_per_batch rows.
+    # The paths Spark's own listing of the run's files has on the driver.
     files = batch.select("path", LOAD_TS).collect()
     paths = [_literal_path(f.path) for f in files]
     scanned = scan_csv(batch.sparkSession, paths, spec, with_path=True)
