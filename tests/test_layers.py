@@ -29,7 +29,6 @@ from tierflow.specs import (
     BY_NAME,
     GALLERY,
     INTERNATIONAL_TEAMS,
-    JSON_REPORT_COLUMNS,
     LAYER_TABLES,
     MARKET_LANDING,
     PHOTOS,
@@ -361,14 +360,13 @@ def test_all_layers(store, land):
 
     frames = gold_stage(store, scan_csv(store.spark, market, MARKET_LANDING))
     report = json_gold(frames)
-    assert report.columns == ["part", *JSON_REPORT_COLUMNS.values()]
-    packed = report.collect()
-    assert len(packed) == 1
-    assert packed[0].ranking_teams_rows_string == (
-        '[{"rank":3,"name":"3","rating":3,"points":3,"difference":3,"trend":"3",'
+    assert report.columns == ["source_table", "row_json"]
+    tag = TEAM_RANKINGS.tag
+    assert [r.row_json for r in report.filter(F.col("source_table") == tag).collect()] == [
+        '{"rank":3,"name":"3","rating":3,"points":3,"difference":3,"trend":"3",'
         '"last_updated_on":"3","file_name":"ranking_teams_20240101",'
-        '"update_timestamp":"2024-01-01T03:30:00.000000Z"}]'
-    )
+        '"update_timestamp":"2024-01-01T03:30:00.000000Z"}'
+    ]
 
 
 # --- table maintenance ------------------------------------------------------------------------

@@ -29,7 +29,6 @@ from tierflow.plans import enrich_international, team_report
 from tierflow.specs import (
     GOLD_STRUCTS,
     INTERNATIONAL_TEAMS,
-    JSON_REPORT_COLUMNS,
     SOURCES,
     WIDE_COLUMNS,
     WIDE_NUMERIC,

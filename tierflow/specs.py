@@ -368,19 +368,6 @@ RANKING_OWNER = {
     "ICCRANKING_TEAMS": TEAM_RANKINGS.tag,
 }
 
-# Column of the packed JSON report holding each source's rows.
-JSON_REPORT_COLUMNS = {
-    "stg_gold_team_international": "team_rows_string",
-    "stg_gold_team_players": "player_rows_string",
-    "stg_gold_team_results": "team_results_rows_string",
-    "stg_gold_photos": "photos_rows_string",
-    "stg_gold_photos_galary": "photos_galary_rows_string",
-    "stg_gold_ranking_allrounders": "ranking_allrounders_rows_string",
-    "stg_gold_ranking_batsmens": "ranking_batsmens_rows_string",
-    "stg_gold_ranking_bowlers": "ranking_bowlers_rows_string",
-    "stg_gold_ranking_teams": "ranking_teams_rows_string",
-}
-
 
 def metadata_label(tag: str) -> str:
     """``stg_gold_photos`` -> ``photos``, the prefix of its METADATA fields."""
