@@ -527,3 +527,16 @@ def test_several_hundred_layouts_are_one_plan(spark, land):
     got = scan_csv(spark, path, ("rank", "name"), bind="name")
     assert rows(got) == sorted([(str(i), None) for i in range(200)], key=str)
     assert str(got._jdf.queryExecution().optimizedPlan()).count("CASE") == 0
+
+
+def test_refresh_of_given_loads_reads_only_them(store, land, spark):
+    first = land("teams", "a.csv", TEAM_RANKINGS.landing, [team("1", "A")])
+    load_bronze(store, TEAM_RANKINGS, f"{first}/a.csv", DAY[0])
+    second = land("more", "b.csv", TEAM_RANKINGS.landing, [team("2", "B")])
+    bronze = load_bronze(store, TEAM_RANKINGS, f"{second}/b.csv", DAY[1])
+    loads = sorted(r.load_id for r in bronze.select("load_id").distinct().collect())
+    refresh_silver(store, TEAM_RANKINGS, loads[1:])
+    assert ranks(store) == [("b", Decimal(2), "B")]
+    refresh_silver(store, TEAM_RANKINGS, loads[1:])
+    refresh_silver(store, TEAM_RANKINGS)
+    assert ranks(store) == [("a", Decimal(1), "A"), ("b", Decimal(2), "B")]

@@ -20,27 +20,37 @@ def pending_batches(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     return newer_than(newest, silver.select(FILE_NAME, LOAD_TS))
 
 
-def incoming_rows(bronze: DataFrame, silver: DataFrame, spec: SourceSpec) -> DataFrame:
+def incoming_rows(
+    bronze: DataFrame, silver: DataFrame, spec: SourceSpec, loads: list[str] | None = None
+) -> DataFrame:
     """Silver-shaped rows of the pending batches.
 
+    With ``loads``, the ids of the loads just written, only those are looked at: no other
+    file can have become pending.  Without, all of Bronze is.
+
     The pending batches (one row per file) are worked out and written first, so
     the planner knows their size.  Where Bronze has its load partition, only the
     loads they name are then read in full; the driver sees the ids of those
     loads, not files or rows.
     """
+    if loads is not None:
+        bronze = bronze.filter(F.col(LOAD_ID).isin(loads))
     pending = measured(pending_batches(bronze, silver))
-    if LOAD_ID in bronze.columns:
+    if loads is None and LOAD_ID in bronze.columns:
         loads = pending.select(load_id().alias(LOAD_ID)).distinct().collect()
         bronze = bronze.filter(F.col(LOAD_ID).isin([r[LOAD_ID] for r in loads]))
     return to_silver(bronze.join(pending, [FILE_NAME, LOAD_TS]), spec)
 
 
-def refresh_silver(store: TableStore, spec: SourceSpec) -> DataFrame:
+def refresh_silver(
+    store: TableStore, spec: SourceSpec, loads: list[str] | None = None
+) -> DataFrame:
     """Replace the pending files in Silver in one write.  Returns Silver.
 
-    Running it again changes nothing; after a failure half-way it completes what
+    ``loads`` names the loads just written, so that the cost follows them and not Bronze's
+    history; without it everything pending is found, also what a failure left.  Running it again changes nothing; after a failure half-way it completes what
     is missing, since a file absent from Silver counts as pending.
     """
-    rows = incoming_rows(store.bronze(spec), store.silver(spec), spec)
+    rows = incoming_rows(store.bronze(spec), store.silver(spec), spec, loads)
     store.replace_by_file(rows, spec.name)
     return store.silver(spec)

@@ -12,7 +12,7 @@ from tierflow.plans.silver import refresh_silver
 from tierflow.session import shared_dir
 from tierflow.sources.csv_landing import CSV_DIALECT, scan_csv
 from tierflow.sources.lineage import stage_bronze, with_load_ts
-from tierflow.sources.tables import TableStore
+from tierflow.sources.tables import TableStore, load_id
 from tierflow.specs import LOAD_TS, SourceSpec
 
 FILE_LIST = T.StructType(
@@ -85,7 +85,8 @@ def refresh_batch(
         rows = batch if to_rows is None else to_rows(batch)
         store.append_bronze(rows, spec.name, replay=True)
         if refresh:
-            refresh_silver(store, spec)
+            # A batch has one load timestamp, and so one load.
+            refresh_silver(store, spec, [batch.select(load_id()).first()[0]])
 
     return run
 
