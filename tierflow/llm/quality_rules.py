@@ -34,9 +34,10 @@ MORE_COUNTS = ("n_lines", "n_upper", "n_marks", "n_distinct")
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the counts of ``COUNTS`` and ``MORE_COUNTS`` in a struct ``stats``.
+    """(row, stat_<count>...): the counts of ``COUNTS`` and ``MORE_COUNTS``, and the other columns.
 
-    A null text has none of anything.
+    A null text has none of anything.  The counts come out of a generator: a filter on them
+    would otherwise be pushed into their making, and worked out once per word.
     """
     plain = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(plain, f"[{BLANK}]+"), lambda w: w != "")
@@ -89,17 +90,21 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_marks": F.col("n_marks"),
         "n_distinct": F.size(F.array_distinct("words")),
     }
-    stats = F.struct(*[value.cast("long").alias(name) for name, value in counts.items()])
-    return fourth.select("row", stats.alias("stats"))
+    found = F.struct(*[value.cast("long").alias(stat(name)) for name, value in counts.items()])
+    return fourth.select("row", F.inline(F.array(found)))
+
+
+def stat(name: str) -> str:
+    return f"stat_{name}"
 
 
 def _removed(plain: Column, characters: str) -> Column:
     return (F.length(plain) - F.length(F.translate(plain, characters, ""))).cast("long")
 
 
-def features(stats: str = "stats") -> dict[str, Column]:
+def features() -> dict[str, Column]:
     """The numbers rules are made of."""
-    s = F.col(stats)
+    s = {name: F.col(stat(name)) for name in (*COUNTS, *MORE_COUNTS)}
     words, chars = F.greatest(s["n_words"], F.lit(1)), F.greatest(s["word_chars"], F.lit(1))
     return {
         "words": s["n_words"].cast("double"),
@@ -113,9 +118,9 @@ def features(stats: str = "stats") -> dict[str, Column]:
     }
 
 
-def base_failed(stats: str = "stats") -> Column:
-    s = F.col(stats)
-    return (s["n_words"] < 20) | (100 * s["n_repeat_words"] > 30 * s["n_words"])
+def base_failed() -> Column:
+    words, repeated = F.col(stat("n_words")), F.col(stat("n_repeat_words"))
+    return (words < 20) | (100 * repeated > 30 * words)
 
 
 @dataclass(frozen=True)
@@ -197,9 +202,9 @@ def _prune(rule: Rule, rows: list) -> Rule:
     return max(cuts, key=lambda c: (worth(c), -len(c)), default=())
 
 
-def verdict(rules: list[Rule], stats: str = "stats") -> tuple[Column, Column]:
+def verdict(rules: list[Rule]) -> tuple[Column, Column]:
     """(kept, number of the first rule that holds, null if none) as ordered conditionals."""
-    found = features(stats)
+    found = features()
     kept, which = None, None
     for i, rule in enumerate(rules, 1):
         holds = F.lit(True)
@@ -247,7 +252,7 @@ def judged(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     added = (*COUNTS, "base_failed", "kept", "rule")
     return stats.select(
         *[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (text, *added)],
-        *[F.col(f"stats.{c}") for c in COUNTS],
+        *[F.col(stat(c)).alias(c) for c in COUNTS],
         base_failed().alias("base_failed"),
         F.when(base_failed(), F.lit(False)).otherwise(kept).alias("kept"),
         which.alias("rule"),
