@@ -41,6 +41,18 @@ def id_order(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
 
 
+def copy_key(text: str = "text") -> Column:
+    """With the id, what tells rows apart: rows that share both are copies of one row."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
+
+
+def one_row_of(docs: DataFrame, keys: DataFrame, id_column: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each of ``keys`` (id, copy); all columns stay."""
+    keyed = docs.withColumns({"__id": id_order(id_column), "__copy": copy_key(text)})
+    same = (keyed["__id"] == keys["id"]) & (keyed["__copy"] == keys["copy"])
+    return keyed.join(keys, same, "left_semi").dropDuplicates(["__id", "__copy"]).drop("__id", "__copy")
+
+
 def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with a function over one batch."""
 

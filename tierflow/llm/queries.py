@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierflow.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality_rules, sharding, simhash, suffix_dedup, toxicity
+from tierflow.llm import decontaminate, html_extract, language_id, line_dedup, near_copies, packing, quality_rules, sharding, simhash, suffix_dedup, toxicity
 from tierflow.llm.common import documents
 
 
@@ -85,7 +85,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    return near_copies.one_of_each(docs)
 
 
 STAGES = [
