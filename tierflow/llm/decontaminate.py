@@ -15,9 +15,9 @@ than the item.  All steps are DataFrame functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tierflow.llm.common import id_order
+from tierflow.llm.common import copy_key, id_order
 
 WINDOW = 12
 SUBSTITUTIONS = 2
@@ -74,6 +74,12 @@ def overlaps(
     document; items with a null id are left out, those that share one are each compared.
     Repeated passages give one row.  Empty tables give no rows.
     """
+    tokens = docs.select(id_order(id_column).alias("id"), token_hashes(text).alias("tokens"))
+    return _found(tokens, benchmark, item_column, item_text, block_seeds)
+
+
+def _found(tokens: DataFrame, benchmark: DataFrame, item_column: str, item_text: str, block_seeds: int) -> DataFrame:
+    """``overlaps`` of rows (id, tokens), whose ids may be of any type."""
     items = (
         benchmark.select(F.col(item_column).alias("item_id"), token_hashes(item_text).alias("item"))
         .filter((F.size("item") >= WINDOW) & F.col("item_id").isNotNull())
@@ -81,11 +87,9 @@ def overlaps(
     )
     total = items.agg(F.sum(F.size("item"))).first()[0]
     if not total:
-        return docs.sparkSession.createDataFrame(
-            [], "id long, item_id long, n_tokens int, n_equal int, start int"
-        )
+        kind = T.StructType.fromDDL("item_id long, n_tokens int, n_equal int, start int")
+        return tokens.sparkSession.createDataFrame([], T.StructType([tokens.schema["id"], *kind]))
     blocks = -(-total * len(MASKS) // block_seeds)
-    tokens = docs.select(id_order(id_column).alias("id"), token_hashes(text).alias("tokens"))
     places = seeded(tokens, "tokens", "at")
     found = None
     for block in range(blocks):
@@ -126,6 +130,10 @@ def verified(hits: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents in which no benchmark item was found; all their columns stay."""
-    bad = overlaps(docs, benchmark, id_column, text).select("id").distinct()
-    return docs.join(bad, id_order(id_column) == bad["id"], "left_anti")
+    """The documents in which no benchmark item was found; all their columns stay.
+
+    Each row is judged by its own text, whatever its id.
+    """
+    tokens = docs.select(copy_key(text).alias("id"), token_hashes(text).alias("tokens"))
+    bad = _found(tokens, benchmark, "item_id", "text", BLOCK_SEEDS).select("id").distinct()
+    return docs.join(bad, copy_key(text) == bad["id"], "left_anti")

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_right
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -184,9 +186,23 @@ def _deal(held: list[tuple[int, int, int, int]], split: set[int], shards: int) -
 
 
 def write_shards(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", **options) -> None:
-    """Write ``docs`` under ``path``, a folder ``shard=<n>`` per shard, rows of an id kept once."""
+    """Write every row of ``docs`` under ``path``, a folder ``shard=<n>`` per shard, with its slot.
+
+    Rows meet their places by id, size and checksum of the text; copies are counted off.
+    """
+    names = ["__id", "__size", "__crc"]
+    value = F.col(text)
+    nth = F.row_number().over(Window.partitionBy(*names).orderBy("__id"))
     placed = shard_by_bytes(docs, id_column, text, **options).select(
-        F.col("doc_id").alias("__id"), "shard", "slot"
-    ).dropDuplicates(["__id"])
-    same: Column = docs[id_column].eqNullSafe(placed["__id"])
-    docs.dropDuplicates([id_column]).join(placed, same).drop("__id").write.partitionBy("shard").parquet(path)
+        F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("text_crc32").alias("__crc"), "shard", "slot"
+    ).withColumn("__nth", nth)
+    keyed = docs.withColumns(
+        {
+            "__id": F.col(id_column),
+            "__size": (F.coalesce(F.octet_length(value), F.lit(0)) + 8).cast("long"),
+            "__crc": F.coalesce(F.crc32(value), F.lit(0)),
+        }
+    ).withColumn("__nth", nth)
+    names.append("__nth")
+    same: Column = reduce(and_, [keyed[c].eqNullSafe(placed[c]) for c in names])
+    keyed.join(placed, same).select(*[keyed[c] for c in docs.columns], "shard", "slot").write.partitionBy("shard").parquet(path)

@@ -27,9 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tierflow.llm.common import id_order, map_rows, stored, texts_utf8
+from tierflow.llm.common import copy_key, id_order, map_rows, one_row_of, stored, texts_utf8
 from tierflow.llm.components import components
 from tierflow.operators.joins import join_per_key
 
@@ -98,7 +98,8 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
         fp = bit_majority(np.concatenate(hashes), np.array(starts))
         yield pa.record_batch([batch.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
-    return map_rows(docs.select("id", "text"), run, "id long, fp long")
+    rows = docs.select("id", "text")
+    return map_rows(rows, run, T.StructType([rows.schema["id"], T.StructField("fp", T.LongType())]))
 
 
 def boxes(fp: str = "fp") -> list[Column]:
@@ -175,7 +176,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     behind all others; rows that share an id each give a row.  An empty table gives an
     empty table.
     """
-    rows = docs.select(id_order(id_column).alias("id"), F.col(text).alias("text"))
+    return _grouped(docs.select(id_order(id_column).alias("id"), F.col(text).alias("text")), words, radius)
+
+
+def _grouped(rows: DataFrame, words: int, radius: int) -> DataFrame:
+    """(id, fp, component_id) for every row of ``rows`` (id, text); ids may be of any ordered type."""
     marked = stored(fingerprints(rows, words))
     distinct = marked.groupBy("fp").agg(F.min("id").alias("first"))
     distinct = stored(distinct)
@@ -196,9 +201,10 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
     """The documents without near-duplicates: of each component the one with the smallest id.
 
-    All columns stay.  Of rows that share that id one stays.
+    All columns stay.  Rows are told apart by id and text: a row goes only with its own
+    component, and of rows with the same id and text one stays.
     """
-    marked = near_duplicates(docs, id_column, text, words, radius)
-    stay = marked.filter("id = component_id").select("id").distinct()
-    keyed = docs.withColumn("__id", id_order(id_column))
-    return keyed.join(stay, keyed["__id"] == stay["id"], "left_semi").dropDuplicates(["__id"]).drop("__id")
+    key = F.struct(id_order(id_column).alias("id"), copy_key(text).alias("copy"))
+    marked = _grouped(docs.select(key.alias("id"), F.col(text).alias("text")), words, radius)
+    stay = marked.filter("id = component_id").select("id.id", "id.copy").distinct()
+    return one_row_of(docs, stay, id_column, text)
