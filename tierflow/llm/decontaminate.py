@@ -7,23 +7,24 @@ counts if some window of ``WINDOW`` tokens has at most ``SUBSTITUTIONS`` unequal
 The three masks together hit every such window: wherever two substitutions fall, one of
 them has a place inside the window that avoids both (a test tries all places).
 
-Only the benchmark's seeds are broadcast, in blocks of items holding at most
-``BLOCK_SEEDS`` seeds, one pass over the documents per block.  A document's tokens never
-leave its row: each hit carries the stretch of token hashes under the item, no longer
-than the item.  All steps are DataFrame functions.
+Only the benchmark's seeds are broadcast, each with its item's name, length and place, in
+blocks by seed of about ``BLOCK_SEEDS``, one pass over the documents per block.  A
+document's tokens never leave its row: each hit carries the stretch of token hashes under
+the item, no longer than the item.  The item's own tokens are fetched once the diagonals
+are distinct.  All steps are DataFrame functions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tierflow.llm.common import copy_key, id_order
+from tierflow.llm.common import copy_key, id_order, stored
 
 WINDOW = 12
 SUBSTITUTIONS = 2
 #: Positions a mask looks at, weight six in spans of up to eleven tokens.
 MASKS = ((0, 2, 3, 4, 5, 7), (0, 1, 2, 7, 8, 9), (0, 1, 3, 7, 9, 10))
-#: Seeds in one broadcast: about 20 MB.
+#: Seeds in one broadcast, whatever the items' lengths: four numbers each.
 BLOCK_SEEDS = 400_000
 
 
@@ -80,23 +81,26 @@ def overlaps(
 
 def _found(tokens: DataFrame, benchmark: DataFrame, item_column: str, item_text: str, block_seeds: int) -> DataFrame:
     """``overlaps`` of rows (id, tokens), whose ids may be of any type."""
-    items = (
+    items = stored(
         benchmark.select(F.col(item_column).alias("item_id"), token_hashes(item_text).alias("item"))
         .filter((F.size("item") >= WINDOW) & F.col("item_id").isNotNull())
         .distinct()
+        .select(F.xxhash64("item_id", "item").alias("item_key"), "item_id", "item", F.size("item").alias("n"))
     )
-    total = items.agg(F.sum(F.size("item"))).first()[0]
+    total = items.agg(F.sum("n")).first()[0]
     if not total:
         kind = T.StructType.fromDDL("item_id long, n_tokens int, n_equal int, start int")
         return tokens.sparkSession.createDataFrame([], T.StructType([tokens.schema["id"], *kind]))
     blocks = -(-total * len(MASKS) // block_seeds)
     places = seeded(tokens, "tokens", "at")
-    found = None
+    index = seeded(items, "item", "item_at").select("seed", "item_key", "n", "item_at")
+    index = stored(index) if blocks > 1 else index
+    hits = None
     for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == block)
-        index = seeded(part, "item", "item_at").select("seed", "item_id", "item", "item_at")
-        hits = places.join(F.broadcast(index), "seed")
-        found = verified(hits) if found is None else found.unionAll(verified(hits))
+        part = index.filter(F.pmod("seed", F.lit(blocks)) == block)
+        found = laid(places.join(F.broadcast(part), "seed"))
+        hits = found if hits is None else hits.unionAll(found)
+    found = verified(hits, items)
     best = F.max(F.struct("n_equal", (-F.col("start")).alias("late"))).alias("best")
     return (
         found.groupBy("id", "item_id", "n_tokens")
@@ -105,16 +109,21 @@ def _found(tokens: DataFrame, benchmark: DataFrame, item_column: str, item_text:
     )
 
 
-def verified(hits: DataFrame) -> DataFrame:
+def laid(hits: DataFrame) -> DataFrame:
+    """(id, item_key, start, under): the diagonal of each hit, and the document's stretch under the item."""
+    start = F.col("at") - F.col("item_at")
+    under = F.slice("tokens", F.greatest(start, F.lit(0)) + 1, F.col("n"))
+    return hits.select("id", "item_key", start.alias("start"), under.alias("under"))
+
+
+def verified(hits: DataFrame, items: DataFrame) -> DataFrame:
     """The diagonals of ``hits`` that hold a window with few enough substitutions.
 
-    A diagonal is kept once, with the stretch of the document under the item, before its
-    tokens are compared; so the rows of the seed join stay in generated code.
+    A diagonal is kept once, with the stretch of the document under the item, before the
+    item is fetched and compared; so the rows of the seed join stay in generated code.
     """
-    start = F.col("at") - F.col("item_at")
-    begin = F.greatest(start, F.lit(0))
-    laid = hits.select("id", "item_id", "item", start.alias("start"), F.slice("tokens", begin + 1, F.size("item")).alias("under"))
-    once = laid.groupBy("id", "item_id", "item", "start").agg(F.first("under").alias("under"))
+    once = hits.groupBy("id", "item_key", "start").agg(F.first("under").alias("under"))
+    once = once.join(items, "item_key")
     skipped = F.greatest(-F.col("start"), F.lit(0))
     equal = F.transform(
         "item",
