@@ -20,13 +20,18 @@ cloudpickle.register_pickle_by_value(sys.modules["tierflow.llm"])
 LAST_ID = 2**63 - 1
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder's path under the shared one."""
+    return f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, *sort: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage: what follows does not depend on the executors that computed
     it, and the planner knows its true size.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm/{uuid.uuid4().hex}"
+    path = work_folder(df.sparkSession)
     out = df.sortWithinPartitions(*sort) if sort else df
     out.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
