@@ -40,6 +40,8 @@ FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 64 * 1024 * 1024
 BUNDLE_RECORDS = 50_000
 LEVEL = 3
+#: Frames a task reads.  A frame's row is small, so their rows alone say nothing of the work.
+FRAMES_A_TASK = 100
 #: Fixed values of the seekable format: skippable frame, footer, footer's length, checksum flag.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 FOOTER, WITH_CHECKSUMS = 9, 0x80
@@ -300,14 +302,19 @@ def read(bundles: DataFrame, payloads: bool = True) -> DataFrame:
 
         return batched(rows(), RECORD)
 
-    every = bundles.select("bundle").distinct().mapInArrow(frames, "bundle string, frame int")
-    return every.repartition("bundle", "frame").mapInArrow(records, RECORD)
+    every = stored(bundles.select("bundle").distinct().mapInArrow(frames, "bundle string, frame int"))
+    return every.repartition(tasks(every), "bundle", "frame").mapInArrow(records, RECORD)
+
+
+def tasks(frames: DataFrame) -> int:
+    return 1 + frames.count() // FRAMES_A_TASK
 
 
 def fetch(index: DataFrame, wanted: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of ``index`` whose ``record_id`` is in ``wanted``; each frame they are in is read once."""
-    found = index.join(wanted.select("record_id").distinct(), "record_id", "left_semi").select("bundle", "frame", "offset")
-    found = found.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
+    found = stored(index.join(wanted.select("record_id").distinct(), "record_id", "left_semi").select("bundle", "frame", "offset"))
+    n = tasks(found.select("bundle", "frame").distinct())
+    found = found.repartition(n, "bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
 
     def records(batches):
         opened, at, data = Opened(), None, b""
