@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -173,6 +174,28 @@ def test_left_join_any_equals_or_join(spark, seed):
         assert "Cartesian" not in plan(got)
 
 
+def test_left_join_any_moves_wide_rows_once(spark, folder):
+    """Of the left side the keys and locators are spread; its other columns cross one exchange."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.range(200).selectExpr("id % 50 as a", "id % 7 as b", "concat('wide', id % 100) as wide").write.parquet(f"{folder}/l")
+        spark.range(60).selectExpr("id as x", "id % 9 as y", "concat('far', id) as far").write.parquet(f"{folder}/r")
+        l, r = spark.read.parquet(f"{folder}/l").filter("a >= 0"), spark.read.parquet(f"{folder}/r")
+        got = left_join_any(l, r, [(F.col("a"), F.col("x")), (F.col("b"), F.col("y"))], scanned=(True, True))
+        l.createOrReplaceTempView("l")
+        r.createOrReplaceTempView("r")
+        assert rows(got) == rows(spark.sql("select * from l left join r on a = x or b = y"))
+        text = got._jdf.queryExecution().optimizedPlan().toString()
+        # Two scans of each side, one of them of the keys alone.
+        assert text.count("Relation [") == 4
+        physical = got._jdf.queryExecution().executedPlan().toString().split("AdaptiveSparkPlan")[-1]
+        schemas = re.findall(r"ReadSchema: struct<([^>]*)>", physical)
+        assert sum("wide" in s for s in schemas) == 1 and sum("far" in s for s in schemas) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_left_join_any_empty_sides(spark):
     l = spark.createDataFrame([(1,), (None,)], "a int")
     none = spark.createDataFrame([], "x int")

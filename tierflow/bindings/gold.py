@@ -44,7 +44,7 @@ def gold_frames(spark, sf_dir):
     frames = {}
     for spec in SOURCES:
         if spec is INTERNATIONAL_TEAMS:
-            frames[spec.tag] = enrich_international(silver[spec.name], market_frame(spark, sf_dir))
+            frames[spec.tag] = enrich_international(silver[spec.name], market_frame(spark, sf_dir), scanned=True)
         else:
             frames[spec.tag] = require_key(silver[spec.name], spec.key)
     return frames
@@ -61,6 +61,7 @@ def or_join_pairs(spark, sf_dir):
             (F.lower("code"), F.lower("alpha3")),
             (F.lower("country_name"), F.lower("country")),
         ],
+        scanned=(True, True),
     )
     return pairs.select(
         numeric_text("team_id").alias("team_id"), "code", "country_name", "alpha2", "alpha3", "country"
@@ -69,7 +70,7 @@ def or_join_pairs(spark, sf_dir):
 
 def gold_international(spark, sf_dir):
     teams = to_silver(bronze_frame(spark, sf_dir, "team_international"), INTERNATIONAL_TEAMS)
-    got = enrich_international(teams, market_frame(spark, sf_dir))
+    got = enrich_international(teams, market_frame(spark, sf_dir), scanned=True)
     return got.select(
         "market_code", "market_code2", "market_code3", numeric_text("team_id").alias("team_id"),
         "country_name", numeric_text("image_id").alias("image_id"), "file_name",
@@ -90,7 +91,7 @@ def or_join_two_key(spark, sf_dir):
     results = table(spark, sf_dir, "orders").select(
         (F.col("o_orderkey") * 2).alias("match_id"), F.col("o_orderpriority").alias("match_desc")
     )
-    return team_report(teams, players, results)
+    return team_report(teams, players, results, scanned=True)
 
 
 def wide(spark, sf_dir):

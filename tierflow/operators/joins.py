@@ -35,18 +35,21 @@ def left_join_any(
     left: DataFrame,
     right: DataFrame,
     conditions: list[tuple[Column, Column]],
-    measure: bool = False,
+    scanned: tuple[bool, bool] = (False, False),
 ) -> DataFrame:
     """Left join on ``l1 = r1 OR l2 = r2 OR ...``, as equi-joins.
 
-    Written as one OR, Spark compares every left row with every right row.  Here
-    both sides are spread over the conditions and joined on (condition, its key);
-    a pair is kept only at the first condition it meets, so each pair appears
-    once and duplicate input rows keep their own matches.  Left rows meeting no
-    condition are found by anti-joins on the distinct right keys (``measure`` as
-    in ``join_per_key``).
-
-    Column names must differ between the sides (see ``prefixed``).
+    Written as one OR, Spark compares every left row with every right row.  Here the
+    pairs are found on little: of each side only the keys and a row locator (file and
+    place in it) are spread over the conditions and joined on (condition, its key).  A
+    pair is kept only at the first condition it meets, so it appears once, and copies of
+    a row, having locators of their own, keep their own matches.  The rows in full are
+    then fetched by locator: the right ones for the pairs, the left ones once, those
+    without a pair with NULLs.
+
+    ``scanned`` says of each side that it is one Parquet scan under filters and
+    projections only, whose rows have locators already.  Any other side is first written
+    to the shared folder.  Column names must differ between the sides (see ``prefixed``).
     """
     clash = set(left.columns) & set(right.columns)
     if clash:
@@ -54,23 +57,23 @@ def left_join_any(
     n = range(len(conditions))
     left_keys = [f"_left_key{i}" for i in n]
     right_keys = [f"_right_key{i}" for i in n]
-    lhs = left.withColumns({left_keys[i]: conditions[i][0] for i in n})
-    rhs = right.withColumns({right_keys[i]: conditions[i][1] for i in n})
-
-    matched = _spread(lhs, left_keys, "_left").join(
-        _spread(rhs, right_keys, "_right"), _first_match(left_keys, right_keys)
-    )
-    unmatched = lhs
-    for lk, rk in zip(left_keys, right_keys):
-        keys = rhs.select(rk).filter(F.col(rk).isNotNull()).distinct()
-        unmatched = unmatched.join(
-            _per_key_side(keys, measure), F.col(lk) == F.col(rk), "left_anti"
-        )
-
-    no_partner = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
-    return matched.select(*left.columns, *right.columns).unionByName(
-        unmatched.select(*left.columns, *no_partner)
+    lhs = _located(left, "_left_at", scanned[0])
+    rhs = _located(right, "_right_at", scanned[1])
+    left_side = lhs.select("_left_at", *[conditions[i][0].alias(left_keys[i]) for i in n])
+    right_side = rhs.select("_right_at", *[conditions[i][1].alias(right_keys[i]) for i in n])
+    pairs = _spread(left_side, left_keys, "_left").join(
+        _spread(right_side, right_keys, "_right"), _first_match(left_keys, right_keys)
     )
+    partners = pairs.select("_left_at", "_right_at").join(rhs, "_right_at").drop("_right_at")
+    return lhs.join(partners, "_left_at", "left").select(*left.columns, *right.columns)
+
+
+def _located(df: DataFrame, name: str, scanned: bool) -> DataFrame:
+    """The rows with the file they are in and their place there."""
+    # A table that does not exist yet is an empty frame and no scan.
+    source = df if scanned and df.inputFiles() else measured(df)
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return source.select("*", at.alias(name))
 
 
 def _spread(side: DataFrame, keys: list[str], name: str) -> DataFrame:

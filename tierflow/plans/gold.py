@@ -29,12 +29,13 @@ TEAM_COLUMNS = (
 )
 
 
-def enrich_international(teams: DataFrame, market: DataFrame) -> DataFrame:
+def enrich_international(teams: DataFrame, market: DataFrame, scanned: bool = False) -> DataFrame:
     """International teams with both market codes, one row per team and country.
 
     A market matches by two-letter code, three-letter code or country name, in
     any letter case.  Of several matches and loads the newest load wins, then the
     first market code; the further columns only make the pick repeatable.
+    ``scanned`` says that ``teams`` is a Parquet scan (see ``left_join_any``).
     """
     own2, own3 = market_codes("market_code")
     keyed = require_key(teams, INTERNATIONAL_TEAMS.key)
@@ -46,6 +47,7 @@ def enrich_international(teams: DataFrame, market: DataFrame) -> DataFrame:
             (F.lower(own3), F.lower("alpha3")),
             (F.lower("country_name"), F.lower("country")),
         ],
+        scanned=(scanned, False),
     )
     order = [F.desc_nulls_last("update_timestamp")] + [
         F.asc_nulls_last(c) for c in ("alpha2", "alpha3", "file_name", "market_code", "image_id")
@@ -60,7 +62,7 @@ def gold_stage(store: TableStore, market: DataFrame) -> dict[str, DataFrame]:
     for spec in SOURCES:
         silver = store.silver(spec)
         if spec is INTERNATIONAL_TEAMS:
-            frames[spec.tag] = enrich_international(silver, market)
+            frames[spec.tag] = enrich_international(silver, market, scanned=True)
         else:
             frames[spec.tag] = require_key(silver, spec.key)
     return frames
@@ -76,11 +78,19 @@ def json_gold(frames: dict[str, DataFrame]) -> DataFrame:
     return json_report(frames)
 
 
-def team_report(teams: DataFrame, players: DataFrame, results: DataFrame) -> DataFrame:
-    """Teams with players (by id or image) and results, columns prefixed by side."""
+def team_report(
+    teams: DataFrame, players: DataFrame, results: DataFrame, scanned: bool = False
+) -> DataFrame:
+    """Teams with players (by id or image) and results, columns prefixed by side.
+
+    ``scanned`` says that teams and players are Parquet scans (see ``left_join_any``).
+    """
     i, p, r = prefixed(teams, "i_"), prefixed(players, "p_"), prefixed(results, "r_")
     with_players = left_join_any(
-        i, p, [(F.col("i_team_id"), F.col("p_id")), (F.col("i_image_id"), F.col("p_image_id"))]
+        i,
+        p,
+        [(F.col("i_team_id"), F.col("p_id")), (F.col("i_image_id"), F.col("p_image_id"))],
+        scanned=(scanned, scanned),
     )
     return with_players.join(r, F.col("i_team_id") == F.col("r_match_id"), "left")
 
