@@ -14,6 +14,7 @@ from tierflow.sources import (
     flatten_team_rankings,
     gallery_details,
     gallery_photos,
+    headers_by_file,
     read_documents,
     scan_csv,
     stage_bronze,
@@ -281,6 +282,32 @@ def test_gallery_detail(spark, folder):
     assert set(gallery_photos(index, frame).columns) == set(GALLERY.landing)
 
 
+def test_number_text_is_as_the_extractor_writes_it(spark):
+    cells = ["5.0", "1000.0", "1e3", "12", "true", "false", "0.00001", "1.50", "12345678901234567890", "1E16", "-7.10", '"5"', '"true"']
+    ranks = ", ".join(f'{{"rank": {i}, "rating": {cell}}}' for i, cell in enumerate(cells))
+    raw = spark.createDataFrame([(f'{{"rank": [{ranks}]}}',)], "value string")
+    got = {int(r["rank"]): r.rating for r in flatten_player_rankings(raw).collect()}
+    assert got == {i: str(json.loads(cell)) for i, cell in enumerate(cells)}
+
+
+def test_photos_keep_all_their_keys_in_first_seen_order(spark, folder):
+    detail = {
+        "8": {"headline": "H8", "photoGalleryDetails": [{"zeta": 1, "caption": "c"}, {"Caption": "other case", "alpha": True}]},
+        "5": {"headline": "H5", "photoGalleryDetails": [{"imageId": 2.0, "zeta": None, "beta": [1]}, 7, {}]},
+    }
+    frame = spark.createDataFrame([(k, json.dumps(v)) for k, v in detail.items()], "gallery_id string, value string")
+    index = docs(spark, {"photoGalleryInfoList": [{"photoGalleryInfo": {"galleryId": g}} for g in (8, 5)]})
+    got = gallery_photos(index, frame)
+    assert got.columns[5:] == ["zeta", "caption", "alpha", "imageId", "beta"]
+    assert rows(got, "gallery_id", *got.columns[5:]) == sorted([
+        ("8", "1", "c", None, None, None), ("8", None, "other case", "True", None, None),
+        ("5", None, None, None, "2.0", "[1]"), ("5",) + (None,) * 5, ("5",) + (None,) * 5], key=str)
+    write_landing(got, f"{folder}/gallery", "20240101_000000")
+    header = headers_by_file(spark, f"{folder}/gallery").first().header
+    assert header.split(",")[-5:] == ["zeta", "caption", "alpha", "imageId", "beta"]
+    assert len(gallery_photos(index, frame.filter("false")).columns) == 5
+
+
 def test_union_ragged_keeps_first_seen_order(spark):
     a = spark.createDataFrame([(1, 2)], "b int, a int")
     b = spark.createDataFrame([(3, 4)], "c int, a int")

@@ -31,14 +31,17 @@ def _obj(**fields):
 
 
 def player_rankings(spark, sf_dir):
-    """Two entries per customer; the second, and overdrawn ones, lack ``difference``."""
+    """Two entries per customer; the second, and overdrawn ones, lack ``difference``.
+
+    ``points`` are numbers with a point and ``trend`` is a truth value.
+    """
     c = table(spark, sf_dir, "customer")
 
     def entry(rank, difference):
         return _obj(
             rank=rank, id="c_custkey", name="c_name", country="c_mktsegment", countryId="c_nationkey",
-            rating="c_acctbal", points=F.col("c_custkey") * 2, difference=difference,
-            trend=F.lit("Flat"), lastUpdatedOn=F.lit("2024-01-01"), faceImageId=F.lit(None).cast("int"),
+            rating="c_acctbal", points=F.col("c_custkey").cast("double") * 2, difference=difference,
+            trend=F.col("c_acctbal") >= 0, lastUpdatedOn=F.lit("2024-01-01"), faceImageId=F.lit(None).cast("int"),
         )
 
     owing = F.when(F.col("c_acctbal") >= 0, F.lit(5))
@@ -123,12 +126,14 @@ def _index(spark, sf_dir):
 
 
 def _details(spark, sf_dir):
-    """Only pages served over https answered."""
+    """Only pages served over https answered.  Photos have keys that no table declares."""
     pages = table(spark, sf_dir, "pages").filter(F.col("url").startswith("https:"))
     nothing = F.lit(None).cast("string")
     photos = F.array(
-        _obj(caption="url", imageId="page_id", imageHash=F.md5("html"), gallery_intro=nothing),
-        _obj(caption=nothing, imageId="page_id", imageHash=nothing, gallery_intro=F.lit("own intro")),
+        _obj(caption="url", imageId="page_id", imageHash=F.md5("html"), gallery_intro=nothing,
+             width=F.length("html").cast("double"), credit=nothing),
+        _obj(caption=nothing, imageId="page_id", imageHash=nothing, gallery_intro=F.lit("own intro"),
+             width=F.lit(None).cast("double"), credit=F.when(F.col("page_id") % 2 == 0, F.col("url"))),
     )
     return pages.select(
         F.col("page_id").cast("string").alias("gallery_id"),
@@ -143,7 +148,11 @@ def gallery_index(spark, sf_dir):
 
 def index_detail_join(spark, sf_dir):
     listed = gallery_details(gallery_index(spark, sf_dir), _details(spark, sf_dir))
-    return listed.select("gallery_id", F.md5("value").isNotNull().cast("int").alias("answered"))
+    return listed.select(
+        "gallery_id",
+        F.get_json_object("value", "$.headline").alias("headline"),
+        F.get_json_object("value", "$.photoGalleryDetails[0].imageHash").alias("first_hash"),
+    )
 
 
 def gallery_detail(spark, sf_dir):
@@ -165,14 +174,15 @@ ORACLES = {
     "flatten_player_rankings": """
         SELECT r AS rank, cast(c_custkey AS varchar) AS id, c_name AS name, c_mktsegment AS country,
                cast(c_nationkey AS varchar) AS "countryId",
-               regexp_replace(cast(c_acctbal AS varchar), '\\.0$', '') AS rating,
-               cast(c_custkey * 2 AS varchar) AS points,
+               cast(c_acctbal AS varchar) AS rating,
+               cast(c_custkey::double * 2 AS varchar) AS points,
                CASE WHEN r = '1' AND c_acctbal >= 0 THEN '5' ELSE '' END AS difference,
-               'Flat' AS trend, '2024-01-01' AS "lastUpdatedOn", cast(NULL AS varchar) AS "faceImageId"
+               CASE WHEN c_acctbal >= 0 THEN 'True' ELSE 'False' END AS trend, '2024-01-01' AS "lastUpdatedOn",
+               cast(NULL AS varchar) AS "faceImageId"
         FROM customer, (VALUES ('1'), ('2')) AS ranks(r)""",
     "flatten_team_rankings": """
         SELECT cast(s_suppkey AS varchar) AS rank, s_name AS name,
-               regexp_replace(cast(s_acctbal AS varchar), '\\.0$', '') AS rating,
+               cast(s_acctbal AS varchar) AS rating,
                cast(s_nationkey AS varchar) AS points,
                CASE WHEN s_acctbal < 0 THEN 'down' ELSE '' END AS difference,
                'Up' AS trend, '2024-01-01' AS "lastUpdatedOn"
@@ -204,14 +214,17 @@ ORACLES = {
         FROM orders""",
     "gallery_index": "SELECT cast(page_id AS varchar) AS gallery_id FROM pages WHERE page_id <> 0",
     "index_detail_join": """
-        SELECT cast(page_id AS varchar) AS gallery_id, 1 AS answered FROM pages
+        SELECT cast(page_id AS varchar) AS gallery_id, split_part(url, '/', 3) AS headline, md5(html) AS first_hash
+        FROM pages
         WHERE page_id <> 0 AND starts_with(url, 'https:')""",
     "gallery_detail": """
         SELECT cast(page_id AS varchar) AS gallery_id, split_part(url, '/', 3) AS gallery_headline,
                CASE WHEN photo = 1 THEN 'intro' ELSE 'own intro' END AS gallery_intro,
                '' AS gallery_published_time, '' AS gallery_state,
                CASE WHEN photo = 1 THEN url END AS caption, cast(page_id AS varchar) AS "imageId",
-               CASE WHEN photo = 1 THEN md5(html) END AS "imageHash"
+               CASE WHEN photo = 1 THEN md5(html) END AS "imageHash",
+               CASE WHEN photo = 1 THEN cast(length(html)::double AS varchar) END AS width,
+               CASE WHEN photo = 2 AND page_id % 2 = 0 THEN url END AS credit
         FROM pages, (VALUES (1), (2)) AS photos(photo)
         WHERE page_id <> 0 AND starts_with(url, 'https:')""",
 }

@@ -15,6 +15,7 @@ from tierflow.functions.variants import (
     is_object,
     is_truthy,
     field_or_blank,
+    value_text,
 )
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "safe_numeric_sql",
     "split_literal",
     "uri_text",
+    "value_text",
 ]

@@ -19,8 +19,52 @@ def is_array(v: Column) -> Column:
 
 
 def field_text(v: Column, path: str) -> Column:
-    """The value under a dotted path as text; NULL if absent or null."""
-    return F.try_variant_get(v, f"$.{path}", "string")
+    """The value under a dotted path as text (see ``value_text``); NULL if absent or null."""
+    return value_text(F.try_variant_get(v, f"$.{path}", "variant"))
+
+
+def value_text(x: Column) -> Column:
+    """A value as the extractor's CSV writer spells it.
+
+    Text and whole numbers as they are, ``True`` and ``False``, and a number with a point
+    or an exponent with at least one decimal (``5.0``, ``1000.0``) or, where it is very
+    large or small, an exponent (``1e+16``).  Lists and objects stay JSON.  VARIANT itself
+    does not tell ``-0.0`` from ``0.0``, nor a number of 19 digits before a bare ``.0``
+    from a whole one.
+    """
+    text = F.try_variant_get(x, "$", "string")
+    kind = F.schema_of_variant(x)
+    # A decimal of 19 digits and no point is a whole number too long for 64 bits.
+    digits = F.length(F.regexp_replace(text, "[^0-9]", ""))
+    whole = ~F.contains(text, F.lit(".")) & (digits >= 19)
+    exact = (digits <= 15) & ((F.abs(F.try_variant_get(x, "$", "double")) >= 1e-4) | (text == "0"))
+    decimal = (
+        F.when(whole, text)
+        .when(exact, F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0"))))
+        .otherwise(double_text(F.try_variant_get(x, "$", "double")))
+    )
+    return (
+        F.when(kind == "BOOLEAN", F.initcap(text))
+        .when(kind.startswith("DECIMAL"), decimal)
+        .when(kind == "DOUBLE", double_text(F.try_variant_get(x, "$", "double")))
+        .otherwise(text)
+    )
+
+
+def double_text(d: Column) -> Column:
+    """A double with a point below 1e16 and from 1e-4 on, else with an exponent of two digits at least."""
+    java = d.cast("string")
+    size = F.abs(d)
+    plain = F.regexp_replace(java.try_cast("decimal(38,21)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    mantissa = F.regexp_replace(F.split_part(java, F.lit("E"), F.lit(1)), r"\.0$", "")
+    power = F.split_part(java, F.lit("E"), F.lit(2)).try_cast("int")
+    sign = F.when(power < 0, F.lit("-")).otherwise(F.lit("+"))
+    return (
+        F.when(F.isnan(d) | size.isin(float("inf")), F.replace(F.lower(java), F.lit("infinity"), F.lit("inf")))
+        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), java)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.concat(mantissa, F.lit("e"), sign, F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0"))))
+    )
 
 
 def has_field(v: Column, path: str) -> Column:

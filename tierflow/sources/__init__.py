@@ -10,6 +10,7 @@ from tierflow.sources.responses import (
     flatten_team_rankings,
     gallery_details,
     gallery_photos,
+    ragged_table,
     read_documents,
     union_ragged,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "gallery_details",
     "gallery_photos",
     "headers_by_file",
+    "ragged_table",
     "read_documents",
     "scan_csv",
     "stage_bronze",

@@ -19,9 +19,9 @@ from tierflow.functions.variants import (
     is_array,
     is_object,
     is_truthy,
+    value_text,
 )
 from tierflow.specs import (
-    GALLERY,
     INTERNATIONAL_TEAMS,
     PLAYER_RANKING_LANDING,
     PLAYERS,
@@ -145,11 +145,19 @@ def flatten_results(raw: DataFrame) -> DataFrame:
 
 def flatten_gallery_index(raw: DataFrame) -> DataFrame:
     """``gallery_id`` of every listed gallery that has one."""
+    return listed_galleries(raw).select("gallery_id")
+
+
+def listed_galleries(raw: DataFrame) -> DataFrame:
+    """(gallery_id, listed): the galleries and where in which document they are listed."""
     gid = F.try_variant_get(F.col("_item"), "$.photoGalleryInfo.galleryId", "variant")
+    file = F.col("file_name") if "file_name" in raw.columns else F.lit("")
+    documents = raw.select(file.alias("_file"), F.try_parse_json("value").alias("_doc"))
+    items = documents.select("_file", F.posexplode(_doc_list("photoGalleryInfoList")).alias("_place", "_item"))
     return (
-        _records(raw, _doc_list("photoGalleryInfoList"))
+        items.filter(is_object(F.col("_item")))
         .filter(gid.isNotNull() & is_truthy(gid))
-        .select(F.try_variant_get(gid, "$", "string").alias("gallery_id"))
+        .select(value_text(gid).alias("gallery_id"), F.struct("_file", "_place").alias("listed"))
     )
 
 
@@ -183,10 +191,61 @@ def flatten_gallery_detail(
 
 
 def gallery_photos(index_raw: DataFrame, detail: DataFrame) -> DataFrame:
-    """Index documents and detail documents to photo records, gallery columns."""
-    listed = flatten_gallery_index(index_raw)
-    own = tuple(c for c in GALLERY.landing if not c.startswith("gallery_"))
-    return flatten_gallery_detail(gallery_details(listed, detail), own)
+    """Index documents and detail documents to photo records, with all keys any photo has.
+
+    The columns are the header's, then the photos' keys in first-seen order (see
+    ``ragged_table``), in the order the galleries are listed.
+    """
+    answers = listed_galleries(index_raw).join(detail.select("gallery_id", "value"), "gallery_id")
+    doc, photo = F.col("_doc"), F.col("_photo")
+    header = [field_or_blank(doc, key).alias(name) for name, key in GALLERY_HEADER.items()]
+    photos = answers.select(
+        "gallery_id",
+        "listed",
+        F.try_parse_json("value").alias("_doc"),
+        # As text, one by one: a photo that is no object keeps the header only.
+        F.from_json("value", "photoGalleryDetails array<string>")["photoGalleryDetails"].alias("_photos"),
+    ).select("gallery_id", "listed", *header, F.posexplode("_photos").alias("_photo_place", "_photo"))
+    own = F.when(photo.startswith("{"), F.from_json(photo, "map<string,variant>"))
+    records = photos.select(
+        F.struct("listed", "gallery_id", "_photo_place").alias("_order"), "gallery_id", *GALLERY_HEADER, own.alias("_own")
+    )
+    return ragged_table(records, "_own", "_order")
+
+
+def ragged_table(records: DataFrame, fields: str, order: str) -> DataFrame:
+    """Records with a map of further fields (name to VARIANT) as one table.
+
+    The columns are those of ``records``, then the names found in any map, in first-seen
+    order: by the record's ``order`` and the place in its map.  A field with the name of a
+    column replaces its value where the record has it, also by null; a record without
+    a field leaves its cell null.  Names that differ in letter case only are one column,
+    spelled as first seen.  Only the names, found by a grouped minimum, pass the driver:
+    they are the schema.
+    """
+    place = F.struct(F.col(order).alias("record"), F.col("_place").alias("place"), F.col("_name").alias("name"))
+    names = (
+        records.select(order, F.posexplode(F.map_keys(fields)).alias("_place", "_name"))
+        .groupBy(F.lower("_name").alias("_folded"))
+        .agg(F.min(place).alias("_first"), F.collect_set("_name").alias("_spellings"))
+        .orderBy("_first")
+        .select(F.col("_first.name").alias("name"), "_folded", "_spellings")
+        .collect()
+    )
+    fixed = [c for c in records.columns if c not in (fields, order)]
+    spelled = {r["_folded"]: sorted(r["_spellings"], key=lambda s: (s != r["name"], s)) for r in names}
+
+    def own(name: str, otherwise: Column) -> Column:
+        out = otherwise
+        for spelling in reversed(spelled.get(name.lower(), [])):
+            out = F.when(F.map_contains_key(fields, spelling), value_text(F.try_element_at(fields, F.lit(spelling)))).otherwise(out)
+        return out
+
+    taken = {c.lower() for c in fixed}
+    return records.select(
+        *[own(c, F.col(c)).alias(c) for c in fixed],
+        *[own(r["name"], F.lit(None).cast("string")).alias(r["name"]) for r in names if r["_folded"] not in taken],
+    )
 
 
 def union_ragged(frames: list[DataFrame]) -> DataFrame:
