@@ -115,9 +115,7 @@ def test_silver_repairs_a_lost_file(store, land):
     path = land("teams", "a.csv", TEAM_RANKINGS.landing, [team("1", "A")])
     path = land("teams", "b.csv", TEAM_RANKINGS.landing, [team("2", "B")])
     load_bronze(store, TEAM_RANKINGS, path, DAY[0])
-    only_a = incoming_rows(
-        store.bronze(TEAM_RANKINGS), store.silver(TEAM_RANKINGS), TEAM_RANKINGS
-    ).filter("file_name = 'a'")
+    only_a = incoming_rows(store, TEAM_RANKINGS).filter("file_name = 'a'")
     store.replace_by_file(only_a, TEAM_RANKINGS.name)
     refresh_silver(store, TEAM_RANKINGS)
     assert [r[0] for r in ranks(store)] == ["a", "b"]
@@ -136,11 +134,39 @@ def test_refresh_reads_only_pending_loads(store, land, spark):
         load_bronze(store, TEAM_RANKINGS, path, DAY[n])
         if n < 3:
             refresh_silver(store, TEAM_RANKINGS)
-    rows_in = incoming_rows(store.bronze(TEAM_RANKINGS), store.silver(TEAM_RANKINGS), TEAM_RANKINGS)
+    rows_in = incoming_rows(store, TEAM_RANKINGS)
     assert [r.file_name for r in rows_in.collect()] == ["f3"]
     plan = rows_in._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^]]*load_id#\d+ = L20240104", plan)
+    assert re.search(r"PartitionFilters: \[[^]]*dynamicpruning", plan)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert store.latest(TEAM_RANKINGS).count() == 4
+
+
+def test_latest_rows_come_from_the_manifest(store, land):
+    path = land("teams", "a.csv", TEAM_RANKINGS.landing, [team("1", "A"), team("1", "A"), team("2", "B")])
+    land("teams", "b.csv", TEAM_RANKINGS.landing, [team("3", "C")])
+    load_bronze(store, TEAM_RANKINGS, path, DAY[0])
+    os.remove(f"{path}/b.csv")
+    land("teams", "a.csv", TEAM_RANKINGS.landing, [team("7", "New"), team("7", "New")])
+    load_bronze(store, TEAM_RANKINGS, path, DAY[1])
+    entries = store.manifest(TEAM_RANKINGS.name)
+    assert rows(entries, "file_name", "n_rows") == sorted([("a", 2), ("a", 3), ("b", 1)])
+    assert rows(store.latest(TEAM_RANKINGS), "file_name", "rank") == [("a", "7"), ("a", "7"), ("b", "3")]
+    plan = store.latest(TEAM_RANKINGS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("bronze/ranking_teams") == 1 and re.search(r"PartitionFilters: \[[^]]*dynamicpruning", plan)
+
+
+def test_a_load_without_its_entry_is_found(store, land, spark, folder):
+    path = land("teams", "a.csv", TEAM_RANKINGS.landing, [team("1", "A")])
+    load_bronze(store, TEAM_RANKINGS, path, DAY[0])
+    refresh_silver(store, TEAM_RANKINGS)
+    entry = store._enter
+    store._enter = lambda *_: None  # the driver is lost before the entry is written
+    land("teams", "b.csv", TEAM_RANKINGS.landing, [team("2", "B")])
+    load_bronze(store, TEAM_RANKINGS, path, DAY[1])
+    store._enter = entry
+    refresh_silver(store, TEAM_RANKINGS)
+    assert [r[0] for r in ranks(store)] == ["a", "b"]
 
 
 @pytest.mark.parametrize("spec", SOURCES, ids=lambda s: s.name)

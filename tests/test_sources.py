@@ -1,5 +1,7 @@
+import gzip
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from tierflow.sources import (
     union_ragged,
     write_landing,
 )
+from tierflow.sources.csv_landing import first_line
 from tierflow.specs import (
     GALLERY,
     MARKET_LANDING,
@@ -282,6 +285,45 @@ def test_gallery_detail(spark, folder):
     assert set(gallery_photos(index, frame).columns) == set(GALLERY.landing)
 
 
+def test_headers_are_read_from_the_beginning_of_files(spark, folder):
+    """300 layouts: one scan of the rows, and of each file no more than its first bytes."""
+    rng = random.Random(5)
+    os.makedirs(f"{folder}/in")
+    for n in range(300):
+        names = list(TEAM_RANKINGS.landing) + [f"extra{n}"]
+        rng.shuffle(names)
+        with open(f"{folder}/in/f {n}+.csv", "w") as f:
+            f.write("\n" * (n % 2) + ",".join(names) + "\n" + ",".join(f"{c}{n}" for c in names) + "\n")
+    got = scan_csv(spark, f"{folder}/in", TEAM_RANKINGS, header_index=f"{folder}/index")
+    assert sorted(r.rank for r in got.collect()) == sorted(f"rank{n}" for n in range(300))
+    assert all(set(r.asDict().values()) == {f"{c}{r.rank[4:]}" for c in TEAM_RANKINGS.landing} for r in got.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan csv") == 1 and "FileScan text" not in plan
+    # A file known by path, size and time is not opened again; a changed one is.
+    index = spark.read.parquet(f"{folder}/index")
+    assert index.count() == 300
+    with open(f"{folder}/in/f 7+.csv", "w") as f:
+        f.write("name,rank\nnew,first\n")
+    again = scan_csv(spark, f"{folder}/in", TEAM_RANKINGS, header_index=f"{folder}/index")
+    assert again.filter("rank = 'first' and name = 'new'").count() == 1
+    assert spark.read.parquet(f"{folder}/index").count() == 301
+
+
+def test_first_line(folder):
+    for n, (content, want) in enumerate([
+        (b"", None), (b"\n \r\n", None), (b"a,b", "a,b"), (b"\r\na,b\rc", "a,b"), (b"x" * 500 + b"\nrow\n", "x" * 500),
+        ("é,ü\n".encode(), "é,ü"),
+    ]):
+        path = f"{folder}/{n}.csv"
+        with open(path, "wb") as f:
+            f.write(content)
+        for step in (1, 7, 64_000):
+            assert first_line(f"file:{path}", step) == want
+    with gzip.open(f"{folder}/z.csv.gz", "wt") as f:
+        f.write("h1,h2\n1,2\n")
+    assert first_line(f"file:{folder}/z.csv.gz") == "h1,h2"
+
+
 def test_number_text_is_as_the_extractor_writes_it(spark):
     cells = ["5.0", "1000.0", "1e3", "12", "true", "false", "0.00001", "1.50", "12345678901234567890", "1E16", "-7.10", '"5"', '"true"']
     ranks = ", ".join(f'{{"rank": {i}, "rating": {cell}}}' for i, cell in enumerate(cells))

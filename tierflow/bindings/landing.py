@@ -108,7 +108,7 @@ def reland_batch(spark, sf_dir):
     landing = f"{store.root}/landing/{BATSMEN.name}"
     rows = landing_frame(spark, sf_dir, BATSMEN.name)
     write_landing(rows, landing, "20240101", BATSMEN.landing)
-    write_landing(rows.limit(0).union(rows.filter("cast(rating as double) < 0")), landing, "20240102", BATSMEN.landing)
+    write_landing(rows.filter("cast(rating as double) < 0"), landing, "20240102", BATSMEN.landing)
     load_bronze(store, BATSMEN, landing, F.lit(FIRST_LOAD).cast("timestamp"))
     refresh_silver(store, BATSMEN)
     _landed_again(spark, sf_dir, landing)
@@ -151,6 +151,16 @@ def _silver_text(silver):
     )
 
 
+def latest_batch_manifest(spark, sf_dir):
+    """Two loads, of which each file's newest is read in its partition alone."""
+    store = TableStore(spark, _run_dir(spark))
+    for rows in (bronze_frame(spark, sf_dir, BATSMEN.name), _second_load(spark, sf_dir)):
+        store.append_bronze(rows, BATSMEN.name)
+    return store.latest(BATSMEN).select(
+        *BATSMEN.landing, "file_name", F.col(LOAD_TS).cast("string").alias(LOAD_TS)
+    )
+
+
 def all_layers(spark, sf_dir):
     """Nine sources through Bronze, Silver and Gold tables; the master table leaf by leaf."""
     store = TableStore(spark, _run_dir(spark))
@@ -252,6 +262,7 @@ QUERIES = {
     "reland_batch": reland_batch,
     "stream_reland": stream_reland,
     "silver_refresh": silver_refresh,
+    "latest_batch_manifest": latest_batch_manifest,
     "all_layers": all_layers,
     "truncated_tables": truncated_tables,
     "archived_batches": archived_batches,
@@ -311,6 +322,13 @@ ORACLES = {
         UNION ALL
         SELECT {_SILVER}, file_name, '{FIRST_LOAD}' AS update_timestamp FROM silver
         WHERE file_name NOT IN (SELECT file_name FROM again)""",
+    "latest_batch_manifest": f"""
+        WITH landed AS ({landing_sql(BATSMEN.name)}),
+        again AS (SELECT * REPLACE ('1000.50' AS rating) FROM landed WHERE rating::double >= 0),
+        loads AS (
+            SELECT * EXCLUDE (update_timestamp), '{FIRST_LOAD}' AS update_timestamp FROM landed
+            UNION ALL SELECT * EXCLUDE (update_timestamp), '{SECOND_LOAD}' FROM again)
+        SELECT * FROM loads QUALIFY rank() OVER (PARTITION BY file_name ORDER BY update_timestamp DESC) = 1""",
     "all_layers": GOLD_ORACLES["gold_nested"],
     "truncated_tables": """
         SELECT layer, stage, CASE WHEN stage = 'before' THEN n ELSE 0 END AS n

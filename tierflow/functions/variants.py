@@ -34,20 +34,22 @@ def value_text(x: Column) -> Column:
     """
     text = F.try_variant_get(x, "$", "string")
     kind = F.schema_of_variant(x)
+    point = kind.startswith("D")  # DECIMAL or DOUBLE
+    # Rare and long: as a function over an array it stays out of the generated code.
+    number = F.get(F.transform(F.array(x), _point_text), F.lit(0))
+    return F.when(point, number).when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+
+
+def _point_text(x: Column) -> Column:
+    text, double = F.try_variant_get(x, "$", "string"), F.try_variant_get(x, "$", "double")
     # A decimal of 19 digits and no point is a whole number too long for 64 bits.
     digits = F.length(F.regexp_replace(text, "[^0-9]", ""))
-    whole = ~F.contains(text, F.lit(".")) & (digits >= 19)
-    exact = (digits <= 15) & ((F.abs(F.try_variant_get(x, "$", "double")) >= 1e-4) | (text == "0"))
-    decimal = (
-        F.when(whole, text)
-        .when(exact, F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0"))))
-        .otherwise(double_text(F.try_variant_get(x, "$", "double")))
-    )
+    decimal, whole = F.schema_of_variant(x) != "DOUBLE", ~F.contains(text, F.lit("."))
+    exact = (digits <= 15) & ((F.abs(double) >= 1e-4) | (text == "0"))
     return (
-        F.when(kind == "BOOLEAN", F.initcap(text))
-        .when(kind.startswith("DECIMAL"), decimal)
-        .when(kind == "DOUBLE", double_text(F.try_variant_get(x, "$", "double")))
-        .otherwise(text)
+        F.when(decimal & whole & (digits >= 19), text)
+        .when(decimal & exact, F.when(whole, F.concat(text, F.lit(".0"))).otherwise(text))
+        .otherwise(double_text(double))
     )
 
 

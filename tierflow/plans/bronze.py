@@ -21,8 +21,10 @@ def load_bronze(
     """Append every row now in landing, with file name and load timestamp.
 
     Nothing is skipped or compared: a file still in landing is loaded again, and
-    Silver later keeps its newest batch.  Returns the Bronze table.
+    Silver later keeps its newest batch.  Headers of files seen before are not read
+    again.  Returns the Bronze table.
     """
-    rows = stage_bronze(scan_csv(store.spark, landing, spec, with_path=True), load_ts)
+    headers = store.path("headers", spec.name)
+    rows = stage_bronze(scan_csv(store.spark, landing, spec, with_path=True, header_index=headers), load_ts)
     store.append_bronze(rows, spec.name)
     return store.bronze(spec)

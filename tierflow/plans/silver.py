@@ -6,40 +6,31 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierflow.operators import newer_than, to_silver
 from tierflow.session import measured
-from tierflow.sources.tables import LOAD_ID, TableStore, load_id
+from tierflow.sources.tables import LOAD_ID, TableStore, in_loads, newest_loads
 from tierflow.specs import FILE_NAME, LOAD_TS, SourceSpec
 
 
-def pending_batches(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+def pending_batches(manifest: DataFrame, silver: DataFrame) -> DataFrame:
     """(file_name, update_timestamp): newest batch per file that Silver lacks.
 
-    Both tables are reduced to a row per file before they meet, reading two
-    columns of Bronze and one (plus the partition value) of Silver.
+    The manifest has a row per load and file; of Silver one column (plus the partition
+    value) is read.
     """
-    newest = bronze.groupBy(FILE_NAME).agg(F.max(LOAD_TS).alias(LOAD_TS))
-    return newer_than(newest, silver.select(FILE_NAME, LOAD_TS))
+    return newer_than(newest_loads(manifest), silver.select(FILE_NAME, LOAD_TS))
 
 
-def incoming_rows(
-    bronze: DataFrame, silver: DataFrame, spec: SourceSpec, loads: list[str] | None = None
-) -> DataFrame:
+def incoming_rows(store: TableStore, spec: SourceSpec, loads: list[str] | None = None) -> DataFrame:
     """Silver-shaped rows of the pending batches.
 
-    With ``loads``, the ids of the loads just written, only those are looked at: no other
-    file can have become pending.  Without, all of Bronze is.
-
-    The pending batches (one row per file) are worked out and written first, so
-    the planner knows their size.  Where Bronze has its load partition, only the
-    loads they name are then read in full; the driver sees the ids of those
-    loads, not files or rows.
+    The pending batches come from Bronze's manifest and are worked out first; Bronze is
+    then read in their partitions only.  With ``loads``, the ids of the loads just written,
+    no other is looked at: no other file can have become pending.
     """
+    manifest = store.manifest(spec.name)
     if loads is not None:
-        bronze = bronze.filter(F.col(LOAD_ID).isin(loads))
-    pending = measured(pending_batches(bronze, silver))
-    if loads is None and LOAD_ID in bronze.columns:
-        loads = pending.select(load_id().alias(LOAD_ID)).distinct().collect()
-        bronze = bronze.filter(F.col(LOAD_ID).isin([r[LOAD_ID] for r in loads]))
-    return to_silver(bronze.join(pending, [FILE_NAME, LOAD_TS]), spec)
+        manifest = manifest.filter(F.col(LOAD_ID).isin(loads))
+    pending = measured(pending_batches(manifest, store.silver(spec)))
+    return to_silver(in_loads(store.bronze(spec), pending), spec)
 
 
 def refresh_silver(
@@ -47,10 +38,12 @@ def refresh_silver(
 ) -> DataFrame:
     """Replace the pending files in Silver in one write.  Returns Silver.
 
-    ``loads`` names the loads just written, so that the cost follows them and not Bronze's
-    history; without it everything pending is found, also what a failure left.  Running it again changes nothing; after a failure half-way it completes what
-    is missing, since a file absent from Silver counts as pending.
+    ``loads`` names the loads just written; without it everything pending is found, also
+    what a failure left between a load and its entry in the manifest.  Running it again
+    changes nothing; after a failure half-way it completes what is missing, since a file
+    absent from Silver counts as pending.
     """
-    rows = incoming_rows(store.bronze(spec), store.silver(spec), spec, loads)
-    store.replace_by_file(rows, spec.name)
+    if loads is None:
+        store.complete_manifest(spec.name)
+    store.replace_by_file(incoming_rows(store, spec, loads), spec.name)
     return store.silver(spec)

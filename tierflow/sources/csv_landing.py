@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from urllib.parse import quote, urlsplit
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierflow.session import measured
@@ -24,6 +29,7 @@ def scan_csv(
     bind: str | None = None,
     multiline: bool | None = None,
     with_path: bool = False,
+    header_index: str | None = None,
 ) -> DataFrame:
     """Landing files as text columns, header row skipped.
 
@@ -31,7 +37,8 @@ def scan_csv(
     are padded with NULL and surplus cells dropped.  ``bind="name"`` follows each
     file's own header, whatever its order; names it lacks are NULL.
     Folders are read with all below them, so a source's folder gives all its batches.
-    ``with_path`` adds the file each row came from as ``file_path``.
+    ``with_path`` adds the file each row came from as ``file_path``; ``header_index`` is
+    a table of known headers (see ``headers_by_file``).
     """
     if isinstance(columns, SourceSpec):
         bind = columns.bind if bind is None else bind
@@ -40,7 +47,7 @@ def scan_csv(
     if (bind or "position") == "position":
         rows = _read(spark, path, columns, bool(multiline))
     elif bind == "name":
-        rows = _scan_by_name(spark, path, columns, bool(multiline))
+        rows = _scan_by_name(spark, path, columns, bool(multiline), header_index)
     else:
         raise ValueError(f"bind must be 'name' or 'position', not {bind!r}")
     return rows if with_path else rows.drop(FILE_PATH)
@@ -55,8 +62,84 @@ def _read(spark, path, names, multiline) -> DataFrame:
     )
 
 
-def headers_by_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file_path, header): the first line of each landing file.
+def headers_by_file(spark: SparkSession, path: str | list[str], index: str | None = None) -> DataFrame:
+    """(file_path, header): the first line of each landing file that has one.
+
+    Spark lists the files; tasks open each and read its beginning only, step by step until
+    the line ends.  With ``index``, a table in the shared folder remembers the headers by
+    path, size and time, and only files it does not know are opened.  A file system that
+    the tasks cannot open by themselves is read through Spark's text source, in full.
+    """
+    if not _can_open(spark, path):
+        return _headers_by_scan(spark, path)
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select(F.col("_metadata.file_path").alias(FILE_PATH), "path", "length", F.col("modificationTime").alias("modified"))
+    )
+    if index is None:
+        return _first_lines(files).select(FILE_PATH, "header").filter("header is not null")
+    key = [FILE_PATH, "length", "modified"]
+    known = _known_headers(spark, index)
+    fresh = files if known is None else files.join(known.select(*key), key, "left_anti")
+    # Every run adds the files it saw; two runs at once may both add one.
+    _first_lines(fresh).write.mode("append").parquet(index)
+    known = _known_headers(spark, index).filter("header is not null").dropDuplicates(key)
+    return files.select(*key).join(known, key).select(FILE_PATH, "header")
+
+
+HEADER_STEP = 64 * 1024
+#: Schemes that pyarrow opens.
+OPEN_SCHEMES = {"file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss"}
+_HEADER_ROW = f"{FILE_PATH} string, length long, modified timestamp, header string"
+
+
+def _can_open(spark: SparkSession, path: str | list[str]) -> bool:
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+    paths = [path] if isinstance(path, str) else path
+    return all((urlsplit(p).scheme or urlsplit(default).scheme) in OPEN_SCHEMES for p in paths)
+
+
+def _known_headers(spark: SparkSession, index: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(_HEADER_ROW).parquet(index)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _first_lines(files: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            headers = [first_line(p) for p in batch.column(1).to_pylist()]
+            columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(headers, pa.string())]
+            yield pa.record_batch(columns, [FILE_PATH, "length", "modified", "header"])
+
+    return files.select(FILE_PATH, "path", "length", "modified").mapInArrow(run, _HEADER_ROW)
+
+
+def first_line(path: str, step: int = HEADER_STEP) -> str | None:
+    """The first line of a file that is not blank; compression as its name says."""
+    local = re.sub("^file:/+", "/", path)
+    where, name = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(quote(re.sub("^s3a:", "s3:", path), safe=":/@"))
+    begun = b""
+    with where.open_input_stream(name) as stream:
+        while True:
+            more = stream.read(step)
+            begun += more
+            lines = re.split(rb"\r\n|\r|\n", begun)
+            for line in lines if not more else lines[:-1]:
+                if line.strip():
+                    return line.decode("utf-8", "replace")
+            if not more:
+                return None
+            begun = lines[-1]
+
+
+def _headers_by_scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """As ``headers_by_file``, by a scan of the whole files.
 
     The first line is the one with the lowest row id in the split at offset 0.
     Map-side aggregation leaves one row per file before the shuffle.
@@ -74,14 +157,14 @@ def headers_by_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _scan_by_name(spark, path, columns, multiline) -> DataFrame:
+def _scan_by_name(spark, path, columns, multiline, index) -> DataFrame:
     """One scan, each row choosing its cells by the header of its file.
 
     A small row per file holds the place of every wanted column, so the plan is the
     same however many layouts there are, and the driver sees only the widest one's size.
     """
     names = _header_cells(F.regexp_replace("header", "^\ufeff", ""))
-    headers = measured(headers_by_file(spark, path).select(FILE_PATH, names.alias("_names")))
+    headers = measured(headers_by_file(spark, path, index).select(FILE_PATH, names.alias("_names")))
     width = headers.agg(F.max(F.size("_names"))).first()[0]
     if not width:
         return _read(spark, path, columns, multiline)
@@ -92,7 +175,7 @@ def _scan_by_name(spark, path, columns, multiline) -> DataFrame:
     raw = _read(spark, path, slots, multiline).select(
         F.array(*slots).alias("_cells"), FILE_PATH
     )
-    return raw.join(measured(places), FILE_PATH).select(
+    return raw.join(places, FILE_PATH).select(
         *[
             # Place 0 is a column the file lacks.
             F.get("_cells", F.get("_places", F.lit(i)) - 1).alias(c)

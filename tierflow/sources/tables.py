@@ -5,9 +5,9 @@ from __future__ import annotations
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tierflow.session import shared_dir
+from tierflow.session import measured, shared_dir
 from tierflow.specs import FILE_NAME, LOAD_TS, SourceSpec
 
 LOAD_ID = "load_id"
@@ -19,6 +19,40 @@ PUBLISHED = T.StructType(
 )
 
 
+#: The part of any Bronze table that its manifest is made of.
+BRONZE_LINEAGE = T.StructType(
+    [
+        T.StructField(FILE_NAME, T.StringType()),
+        T.StructField(LOAD_TS, T.TimestampType()),
+        T.StructField(LOAD_ID, T.StringType()),
+    ]
+)
+MANIFEST = T.StructType(
+    [
+        T.StructField(FILE_NAME, T.StringType()),
+        T.StructField(LOAD_TS, T.TimestampType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField(LOAD_ID, T.StringType()),
+    ]
+)
+
+
+def newest_loads(manifest: DataFrame) -> DataFrame:
+    """(file_name, update_timestamp): the newest timestamp of each file."""
+    return manifest.groupBy(FILE_NAME).agg(F.max(LOAD_TS).alias(LOAD_TS))
+
+
+def in_loads(bronze: DataFrame, batches: DataFrame) -> DataFrame:
+    """Bronze's rows of the given (file_name, update_timestamp).
+
+    The load is a partition of Bronze and follows from the timestamp, so Spark reads
+    only the partitions that ``batches`` name, which it finds out itself.
+    """
+    # Spark prunes by a side that has a filter.
+    named = batches.withColumn(LOAD_ID, load_id()).filter(F.col(LOAD_ID) > "L")
+    return bronze.join(named, [FILE_NAME, LOAD_TS, LOAD_ID]).select(*bronze.columns)
+
+
 def load_id(ts=LOAD_TS):
     """Partition value of a load: its timestamp, to the microsecond."""
     return F.concat(F.lit("L"), F.date_format(ts, "yyyyMMddHHmmssSSSSSS"))
@@ -27,7 +61,8 @@ def load_id(ts=LOAD_TS):
 class TableStore:
     """Tables by layer and name under one root folder.
 
-    Bronze  partitioned by load, so a refresh reads the loads it needs only
+    Bronze  partitioned by load, so a refresh reads the loads it needs only; its
+            manifest has a row for each load and file
     Silver  partitioned by file, so a file can be replaced on its own
     Gold    one new folder per build; readers move to it once it is complete
     """
@@ -68,13 +103,63 @@ class TableStore:
 
     def append_bronze(self, df: DataFrame, name: str, replay: bool = False) -> None:
         """Add one load.  ``replay=True`` replaces a load of the same timestamp,
-        which makes a repeated stream batch harmless."""
-        writer = df.withColumn(LOAD_ID, load_id()).write.partitionBy(LOAD_ID)
+        which makes a repeated stream batch harmless.
+
+        The load is then entered in the manifest: a row per file with its newest timestamp
+        and its rows, read back from this load's partition alone.
+        """
+        seen = Observation()
+        loads = df.withColumn(LOAD_ID, load_id())
+        loads = loads.observe(seen, F.min(LOAD_ID).alias("first"), F.max(LOAD_ID).alias("last"))
+        writer = loads.write.partitionBy(LOAD_ID)
         if replay:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         else:
             writer = writer.mode("append")
         writer.parquet(self.path("bronze", name))
+        between = seen.get
+        if between.get("first") is not None:
+            self._enter(name, F.col(LOAD_ID).between(between["first"], between["last"]))
+
+    def _enter(self, name: str, which: Column) -> None:
+        bronze = self.spark.read.schema(BRONZE_LINEAGE).parquet(self.path("bronze", name))
+        (
+            bronze.filter(which)
+            .groupBy(LOAD_ID, FILE_NAME)
+            .agg(F.max(LOAD_TS).alias(LOAD_TS), F.count("*").alias("n_rows"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(LOAD_ID)
+            .parquet(self.path("manifest", name))
+        )
+
+    def manifest(self, name: str) -> DataFrame:
+        """(file_name, update_timestamp, n_rows, load_id): what each Bronze load brought."""
+        return self.read("manifest", name, MANIFEST)
+
+    def complete_manifest(self, name: str) -> None:
+        """Enter the loads that a failure left without; their names come from the listing."""
+        try:
+            files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path("bronze", name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        if LOAD_ID not in files.columns:
+            return
+        entered = self.manifest(name).select(LOAD_ID).distinct()
+        missing = measured(files.select(F.col(LOAD_ID).cast("string")).distinct().join(entered, LOAD_ID, "left_anti"))
+        if not missing.isEmpty():
+            first, last = missing.agg(F.min(LOAD_ID), F.max(LOAD_ID)).first()
+            self._enter(name, F.col(LOAD_ID).between(first, last))
+
+    def latest(self, spec: SourceSpec) -> DataFrame:
+        """Bronze's rows of each file's newest load.
+
+        The loads come from the manifest, so Bronze is read once and only in their partitions.
+        """
+        newest = measured(newest_loads(self.manifest(spec.name)))
+        return in_loads(self.bronze(spec), newest)
 
     def replace_by_file(
         self, df: DataFrame, name: str, layer: str = "silver", by: tuple[str, ...] = (FILE_NAME,)
@@ -111,8 +196,10 @@ class TableStore:
             empty = self.spark.createDataFrame([], self.read(layer, name).schema)
             if layer == "gold":
                 self.rebuild(empty, name)
-            else:
-                empty.write.mode("overwrite").parquet(self.path(layer, name))
+                continue
+            if layer == "bronze":
+                self.spark.createDataFrame([], MANIFEST).write.mode("overwrite").parquet(self.path("manifest", name))
+            empty.write.mode("overwrite").parquet(self.path(layer, name))
 
     def _builds(self, name: str) -> str:
         # One folder per table: builds of several tables may be published at once.
