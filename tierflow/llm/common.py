@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -69,6 +70,20 @@ def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordB
     return df.mapInArrow(run, schema)
 
 
+def stretches(column: pa.Array, limit: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of stretches of a text column, each of ``limit`` bytes at most or one text."""
+    column = column.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    low = 0
+    while low < len(sizes):
+        high, total = low, 0
+        while high < len(sizes) and (high == low or total + sizes[high] <= limit):
+            total += sizes[high]
+            high += 1
+        yield low, [b"" if t is None else t for t in column.slice(low, high - low).to_pylist()]
+        low = high
+
+
 def texts_utf8(column: pa.Array) -> list[bytes]:
     """The texts of a batch as UTF-8 bytes; null is empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
