@@ -1,5 +1,7 @@
 """Rows that share an id, or have none, are each decided by their own text."""
 
+import pytest
+
 from tierflow.llm import decontaminate, sharding, simhash
 
 ROWS = [(None, "a b c d e f"), (None, "some other words here"), (None, None), (4, "a b c d e f"), (4, "yet one more text"), (4, "yet one more text")]
@@ -24,6 +26,29 @@ def test_decontamination_drops_no_clean_row_with_the_id_of_a_bad_one(spark):
     assert out.columns == docs.columns
 
 
+ITEM = " ".join(f"w{i}" for i in range(15))
+NEAR_MISS = " ".join(f"w{i}" if i % 4 else "x" for i in range(15)) + " w0 w2 w3 w4 w5 w7"
+
+
+@pytest.mark.parametrize("passes", [8, 0])
+@pytest.mark.parametrize("key", [5, None])
+@pytest.mark.parametrize("turned", [False, True])
+def test_overlaps_of_rows_that_share_an_id(spark, monkeypatch, passes, key, turned):
+    monkeypatch.setattr(decontaminate, "MAX_PASSES", passes)
+    rows = [(key, NEAR_MISS), (key, ITEM), (key, None), (7, "so " + ITEM), (7, "so " + ITEM), (8, NEAR_MISS)]
+    benchmark = spark.createDataFrame([(1, ITEM), (2, ITEM + " more")], "item_id long, text string")
+    out = decontaminate.overlaps(table(spark, rows[::-1] if turned else rows).coalesce(1), benchmark)
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted(
+        [(key, 1, 15, 15, 0), (key, 2, 16, 15, 0), (7, 1, 15, 15, 1), (7, 2, 16, 15, 1)], key=str
+    )
+
+
+def test_fingerprints_of_rows_without_an_id(spark):
+    rows = [(None, "a b c d e f"), (3, "a b c d e f"), (None, "something else altogether in here"), (None, None)]
+    found = simhash.near_duplicates(table(spark, rows)).collect()
+    assert sorted((str(r.id), str(r.component_id)) for r in found) == [("3", "3"), ("None", "3"), ("None", "None"), ("None", "None")]
+
+
 def test_every_row_is_written_to_its_shard(spark, folder):
     sharding.write_shards(table(spark, ROWS), f"{folder}/shards", shards=2)
     out = spark.read.parquet(f"{folder}/shards").collect()

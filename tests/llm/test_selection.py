@@ -145,6 +145,24 @@ def test_chunks_give_the_ids_of_the_whole_text():
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_words_that_lower_casing_changes():
+    """Texts over all of Unicode, with letters that become several code points when lower-cased."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(19)
+    encoder, whole = packing.ChunkEncoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    letters = ["İ", "ß", "ẞ", "ŉ", "ǰ", "ΐ", "ﬁ", "Σ", "ς", "I", "i", "Å", "é", "e\u0301", "\u0307", "K", "ª"]
+    marks = [".", ",", "!", "...", "'", "%", ")", "-", "‘", ""]
+    for _ in range(10_000):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            word = "".join(rng.choice([rng.choice(letters), chr(rng.choice([rng.randint(32, 0x2FF), rng.randint(0x300, 0xD7FF), rng.randint(0x10000, 0x1FFFF)]))]) for _ in range(rng.randint(1, 3)))
+            parts.append(word + rng.choice(["İ", "", ""]) + rng.choice(marks))
+        text = " ".join(parts)
+        got = np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist()
+        assert got == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_forgetting_encoder_gives_the_same_ids(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED_CHUNKS", 5)
     monkeypatch.setattr(packing, "REMEMBERED_WORDS", 7)
