@@ -8,7 +8,8 @@ The three masks together hit every such window: wherever two substitutions fall,
 them has a place inside the window that avoids both (a test tries all places).
 
 Only the benchmark's seeds are broadcast, each with its item's name, length and place, in
-blocks by seed of about ``BLOCK_SEEDS``, one pass over the documents per block.  A
+blocks by seed of about ``BLOCK_SEEDS``, one pass over the documents per block.  Beyond
+``MAX_PASSES`` blocks seeds are shuffled instead, with the same result.  A
 document's tokens never leave its row: each hit carries the stretch of token hashes under
 the item, no longer than the item.  The item's own tokens are fetched once the diagonals
 are distinct.  All steps are DataFrame functions.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tierflow.llm.common import copy_key, id_order, stored
+from tierflow.llm.common import copy_key, stored
 
 WINDOW = 12
 SUBSTITUTIONS = 2
@@ -26,6 +27,8 @@ SUBSTITUTIONS = 2
 MASKS = ((0, 2, 3, 4, 5, 7), (0, 1, 2, 7, 8, 9), (0, 1, 3, 7, 9, 10))
 #: Seeds in one broadcast, whatever the items' lengths: four numbers each.
 BLOCK_SEEDS = 400_000
+#: Passes over the documents, one for each block; a benchmark of more is joined by a shuffle.
+MAX_PASSES = 8
 
 
 def token_hashes(text: str) -> Column:
@@ -71,16 +74,22 @@ def overlaps(
     the document begins within the item).
 
     A null or empty text has no overlap, nor has an item of fewer than ``WINDOW`` tokens.
-    A null document id is reported as the last id, and rows that share an id as one
-    document; items with a null id are left out, those that share one are each compared.
-    Repeated passages give one row.  Empty tables give no rows.
+    Each row is compared by its own text; what rows that share an id, or have none, hold
+    is then reported as one document's, by its best overlap, under that id or null.  Items
+    with a null id are left out, those that share one are each compared.  Repeated
+    passages give one row.  Empty tables give no rows.
     """
-    tokens = docs.select(id_order(id_column).alias("id"), token_hashes(text).alias("tokens"))
-    return _found(tokens, benchmark, item_column, item_text, block_seeds)
+    # Rows are told apart by id and text, as copies of one row hold the same.
+    row = F.struct(F.col(id_column).alias("id"), copy_key(text).alias("copy"))
+    found = _found(docs.select(row.alias("id"), token_hashes(text).alias("tokens")), benchmark, item_column, item_text, block_seeds)
+    return _best(found.withColumn("id", F.col("id.id")))
 
 
-def _found(tokens: DataFrame, benchmark: DataFrame, item_column: str, item_text: str, block_seeds: int) -> DataFrame:
-    """``overlaps`` of rows (id, tokens), whose ids may be of any type."""
+def _found(
+    tokens: DataFrame, benchmark: DataFrame, item_column: str, item_text: str, block_seeds: int, max_passes: int | None = None
+) -> DataFrame:
+    """``overlaps`` of rows (id, tokens); rows with one id hold the same tokens, ids may be of any type."""
+    max_passes = MAX_PASSES if max_passes is None else max_passes
     items = stored(
         benchmark.select(F.col(item_column).alias("item_id"), token_hashes(item_text).alias("item"))
         .filter((F.size("item") >= WINDOW) & F.col("item_id").isNotNull())
@@ -92,15 +101,21 @@ def _found(tokens: DataFrame, benchmark: DataFrame, item_column: str, item_text:
         kind = T.StructType.fromDDL("item_id long, n_tokens int, n_equal int, start int")
         return tokens.sparkSession.createDataFrame([], T.StructType([tokens.schema["id"], *kind]))
     blocks = -(-total * len(MASKS) // block_seeds)
-    places = seeded(tokens, "tokens", "at")
     index = seeded(items, "item", "item_at").select("seed", "item_key", "n", "item_at")
+    if blocks > max_passes:
+        return _best(verified(shuffled_hits(tokens, index), items))
+    places = seeded(tokens, "tokens", "at")
     index = stored(index) if blocks > 1 else index
     hits = None
     for block in range(blocks):
         part = index.filter(F.pmod("seed", F.lit(blocks)) == block)
         found = laid(places.join(F.broadcast(part), "seed"))
         hits = found if hits is None else hits.unionAll(found)
-    found = verified(hits, items)
+    return _best(verified(hits, items))
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """The best overlap of each document and item, the first of equals."""
     best = F.max(F.struct("n_equal", (-F.col("start")).alias("late"))).alias("best")
     return (
         found.groupBy("id", "item_id", "n_tokens")
@@ -109,6 +124,21 @@ def _found(tokens: DataFrame, benchmark: DataFrame, item_column: str, item_text:
     )
 
 
+def shuffled_hits(tokens: DataFrame, index: DataFrame) -> DataFrame:
+    """The hits of a benchmark of any size, in one pass: seeds meet by a shuffle.
+
+    Only seed, row and place are shuffled; of a seed that many items share each item's
+    places are kept, since all of them are found.  The stretches of the documents are
+    fetched once the diagonals are distinct.
+    """
+    rows = tokens.dropDuplicates(["id"])
+    slim = seeded(rows, "tokens", "at").select("id", "at", "seed")
+    start = (F.col("at") - F.col("item_at")).alias("start")
+    diagonals = slim.join(index, "seed").select("id", "item_key", "n", start).distinct()
+    under = F.slice("tokens", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("n"))
+    return diagonals.join(rows, "id").select("id", "item_key", "start", under.alias("under"))
+
+
 def laid(hits: DataFrame) -> DataFrame:
     """(id, item_key, start, under): the diagonal of each hit, and the document's stretch under the item."""
     start = F.col("at") - F.col("item_at")
@@ -141,7 +171,8 @@ def verified(hits: DataFrame, items: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents in which no benchmark item was found; all their columns stay.
 
-    Each row is judged by its own text, whatever its id.
+    Each row is judged by its own text, whatever its id; a null or empty text stays, of
+    repeated rows all stay or none.  Empty tables and items as in ``overlaps``.
     """
     tokens = docs.select(copy_key(text).alias("id"), token_hashes(text).alias("tokens"))
     bad = _found(tokens, benchmark, "item_id", "text", BLOCK_SEEDS).select("id").distinct()
