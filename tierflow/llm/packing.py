@@ -18,9 +18,11 @@ range, offset) is applied to the pieces by rank on the executors.
 from __future__ import annotations
 
 import sys
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,10 @@ TOGETHER = 400
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+#: A module of a worker process's own that holds its encoders.
+WORKER_STATE = "tierflow_worker_state"
+
+
 class ChunkEncoder:
     """Token ids of texts, remembering those of chunks between white space.
 
@@ -60,7 +66,7 @@ class ChunkEncoder:
     @classmethod
     def of(cls, path: str) -> ChunkEncoder:
         """One encoder per worker process; code that travels by value has no globals that stay."""
-        kept = sys.modules["zlib"].__dict__.setdefault("_tierflow_encoders", {})
+        kept = sys.modules.setdefault(WORKER_STATE, ModuleType(WORKER_STATE)).__dict__
         if path not in kept:
             kept[path] = cls(path)
         return kept[path]
@@ -82,7 +88,7 @@ class ChunkEncoder:
                         words[word] = self.older[word]
                     else:
                         missing.add(word)
-        self._encode_words([w for w in missing if w.decode(errors="replace").isalpha()])
+        self._encode_words([w for w in missing if _only_letters(w)])
         self._encode_each([w for w in missing if w not in words])
         for chunk, part in zip(new, parts):
             self.chunks[chunk] = b"".join([words[w] for w in part])
@@ -114,13 +120,19 @@ class ChunkEncoder:
         return [b"".join([known[c] for c in chunks]) for chunks in split]
 
 
+def _only_letters(word: bytes) -> bool:
+    """Asked of the word as the tokenizer sees it, composed and lower-cased: both may turn a
+    letter into one with a mark behind it, and marks go with what follows."""
+    return word.isalpha() or not word.isascii() and unicodedata.normalize("NFC", word.decode(errors="replace")).lower().isalpha()
+
+
 def _word_and_marks(chunk: bytes) -> tuple[bytes, ...]:
     """A chunk as a word and the marks behind it, where these are encoded apart; else whole."""
     if b"<|" in chunk:
         return (chunk,)  # might be a special token
     chunk = chunk.lower()  # A-Z only
     word = chunk.rstrip(MARKS)
-    if len(word) == len(chunk) or not word.decode(errors="replace").isalpha():
+    if len(word) == len(chunk) or not _only_letters(word):
         return (chunk,)
     return word, chunk[len(word) :]
 
