@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tierflow.llm.common import copy_key, id_order, map_rows, one_row_of, stored, texts_utf8
+from tierflow.llm.common import copy_key, id_order, LAST_ID, map_rows, one_row_of, stored, texts_utf8
 from tierflow.llm.components import components
 from tierflow.operators.joins import join_per_key
 
@@ -173,10 +173,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     ``component_id`` is the smallest id reachable over links.  A null or blank text has
     fingerprint zero, which links like any other.  A null id is returned as null and sorts
-    behind all others; rows that share an id each give a row.  An empty table gives an
+    behind all others, so a component of such rows alone has a null name; rows that share an id each give a row.  An empty table gives an
     empty table.
     """
-    return _grouped(docs.select(id_order(id_column).alias("id"), F.col(text).alias("text")), words, radius)
+    found = _grouped(docs.select(id_order(id_column).alias("id"), F.col(text).alias("text")), words, radius)
+    return found.withColumns({c: F.when(F.col(c) != LAST_ID, F.col(c)) for c in ("id", "component_id")})
 
 
 def _grouped(rows: DataFrame, words: int, radius: int) -> DataFrame:
