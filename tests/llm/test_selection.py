@@ -388,6 +388,39 @@ def test_extract(name):
     assert html_extract.main_blocks(html) == want
 
 
+PROSE = "First sentence of the story, with commas, and more. " * 6
+
+
+@pytest.mark.parametrize("wrapper", [
+    "class='page has-sidebar'", "id='shareholder-letter'", "class='commentary'", "class='correspondent'", "class='noticeboard-story'",
+    "class='story-with-related'", "class='post-sharing-enabled'", "class='widget'", "class='main-content no-banner'",
+    "class='article-footer-note'", "class='recommended-reading'", "class='unmodal'", "class='comments'",
+])
+def test_a_name_alone_loses_no_article(wrapper):
+    page = f"<body><nav><a href=x>Home</a></nav><div {wrapper}><p>{PROSE}</p><p>{PROSE}</p></div><footer>{PROSE}</footer></body>"
+    assert html_extract.extract(page) == f"{PROSE.strip()}\n\n{PROSE.strip()}"
+
+
+def test_names_inside_the_article():
+    page = (
+        f"<body><article><div class=commentary-text><p>A sentence with <span class='notice'>words in it</span>.</p><p>{PROSE}</p></div>"
+        "<h2>Sources</h2><ul><li><a href=a>One source</a></li><li><a href=b>Two source</a></li></ul>"
+        f"<div class='share-box'>Share this, please, with all</div><div class=comments><p>{PROSE}{PROSE}</p></div></article>"
+        "<div class=ad>An advert, of some length, about nothing</div><p>tail <a href='unclosed"
+    )
+    assert html_extract.extract(page) == f"A sentence with words in it.\n\n{PROSE.strip()}\n\nSources\n\nOne source\n\nTwo source"
+    assert html_extract.extract("<p>Some words here <b class='x") == "Some words here"
+
+
+@pytest.mark.parametrize("nest", ["<div><p>", "<div>", "<span><p>", "<div class=ad>", "<ul><li>", "<a href=x>"])
+def test_deep_nesting_is_linear(nest):
+    import time
+
+    started = time.time()
+    html_extract.extract(nest * 20_000 + PROSE + "<p>x</p>" * 5_000)
+    assert time.time() - started < 5
+
+
 def test_extraction_of_odd_pages(spark):
     pages = [(1, None), (2, ""), (3, "<"), (4, "<div>" * 3_000 + PARAGRAPH), (5, "<p>" + PARAGRAPH * 5_000), (None, "<p>x"), (5, "</p></div><a")]
     rows = spark.createDataFrame([(i, "u", h, "t") for i, h in pages], "page_id long, url string, html string, text string")
