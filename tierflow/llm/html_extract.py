@@ -1,8 +1,9 @@
 """Main text of web pages by tree scoring.
 
 A page is read into a tree of elements and a list of text blocks.  Elements that are never
-article text (menus, headers, footers, asides, forms, scripts, notices, adverts, comments,
-by tag, role or name) are left out.  Each block of some length passes points to its
+article text by tag or role (menus, headers, footers, asides, forms, scripts) are left
+out.  A name (notice, advert, comments) makes an element suspect; it is left out if its
+text is also short or in links.  Each block of some length passes points to its
 ancestors, for its length and its commas, fewer with distance; an element's points are
 discounted by the share of its text that is in links.  The best element is the article;
 siblings that score well, and headings beside it, are kept with it.
@@ -25,6 +26,7 @@ TAG = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>",
     re.DOTALL,
 )
+UNFINISHED = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b")
 
 #: Their content is not markup; it ends at the end tag.
@@ -52,15 +54,22 @@ DROPPED_TAGS = frozenset(
     "nav footer aside form button select menu dialog svg object canvas map audio video fieldset head".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
-DROPPED_NAMES = re.compile(
-    r"comment|disqus|respond|sidebar|side-bar|advert|adsense|sponsor|promo|cookie|consent|gdpr|notice|banner|popup|pop-up"
-    r"|modal|overlay|newsletter|subscri|share|sharing|social|related|recommend|breadcrumb|paginat|pager|navbar|navigation"
-    r"|\bnav\b|menu|footer|masthead|site-header|page-header|topbar|toolbar|widget|login|signup|sign-up|outbrain|taboola|skip-link|screen-reader"
-    r"|(?:^|[\s_-])ads?(?:$|[\s_-])|(?:^|\s)header(?:$|\s)",
-    re.IGNORECASE,
+#: Whole words of a class or id that make a block element suspect.
+SUSPECT_WORDS = frozenset(
+    "sidebar promo promotion cookie cookies consent gdpr notice banner "
+    "popup modal overlay newsletter subscribe subscription share sharing social related recommend recommended recommendations "
+    "breadcrumb breadcrumbs pagination paginator pager navbar navigation nav menu footer masthead topbar toolbar widget login "
+    "signup".split()
+)
+SUSPECT_NAMES = frozenset("header site-header page-header side-bar pop-up sign-up skip-link screen-reader screen-reader-text".split())
+#: The same for what readers wrote and what was paid for: much text does not speak for it.
+FOREIGN_WORDS = frozenset(
+    "comment comments disqus respond replies ad ads adsense advert adverts advertisement sponsor sponsored outbrain taboola".split()
 )
 GOOD_NAMES = re.compile(r"article|content|entry|main|post|story|text|body", re.IGNORECASE)
 
+#: Suspects within suspects that are looked at one by one.
+NESTED = 8
 #: A block of fewer characters passes no points.
 SCORED_CHARS = 25
 #: Points reach so many ancestors.
@@ -68,12 +77,14 @@ REACH = 5
 
 
 class Element:
-    __slots__ = ("tag", "parent", "names", "dropped", "inside", "points", "chars", "link_chars", "links")
+    __slots__ = ("tag", "parent", "names", "dropped", "inside", "points", "chars", "link_chars", "links", "suspect")
 
     def __init__(self, tag: str, parent: Element | None, names: str, dropped: bool, inside: bool):
         self.tag, self.parent, self.names = tag, parent, names
         self.dropped, self.inside = dropped, inside
         self.points, self.chars, self.link_chars, self.links = 0.0, 0, 0, 0
+        #: 1 if its name makes it suspect, 2 if it seems to hold comments or adverts.
+        self.suspect = 0
 
     def up(self) -> Iterator[Element]:
         at: Element | None = self
@@ -86,13 +97,15 @@ class Element:
         return self.link_chars / self.chars if self.chars else 0.0
 
 
-def parse(html: str) -> list[tuple[Element, str, int]]:
-    """(innermost block element, text, characters in links) of each block, in page order.
+def parse(html: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
+    """The elements, parents first, and (innermost block element, text, characters in links)
+    of each block, in page order.
 
     Blocks within dropped elements are left out.
     """
     root = Element("#root", None, "", False, False)
     stack = [root]
+    elements = [root]
     opened: dict[str, int] = {}
     blocks: list[tuple[Element, str, int]] = []
     run: list[str] = []
@@ -160,13 +173,12 @@ def parse(html: str) -> list[tuple[Element, str, int]]:
                 at = len(html)
         elif tag not in VOID and not attrs.rstrip().endswith("/") or tag in ("p", "div", "a", "span"):
             stack.append(element)
+            elements.append(element)
             opened[tag] = opened.get(tag, 0) + 1
-            if tag == "a":
-                for e in element.up():
-                    e.links += 1
-    text(html[at:])
+            element.links = int(tag == "a")
+    text(UNFINISHED.sub("", html[at:]))  # a tag that the page's end cuts off is no text
     flush()
-    return blocks
+    return elements, blocks
 
 
 def _open_depth(stack: list[Element], tags: set[str], stop: frozenset) -> int:
@@ -193,24 +205,75 @@ def _element(tag: str, attrs: str, parent: Element) -> Element:
                 dropped = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
                 dropped = True
-    if not dropped:
-        keep = tag in ("html", "body", "main", "article") and not re.search(r"comment", names, re.IGNORECASE)
-        dropped = (
-            tag in DROPPED_TAGS
-            or tag == "header" and not parent.inside
-            or bool(names) and not keep and tag not in HEADINGS and bool(DROPPED_NAMES.search(names))
-        )
-    return Element(tag, parent, names, dropped, inside)
+    element = Element(tag, parent, names, dropped or tag in DROPPED_TAGS or tag == "header" and not parent.inside, inside)
+    if names and tag not in INLINE and tag not in HEADINGS and tag not in ("html", "body", "#root"):
+        whole = names.lower().split()
+        words = {w for name in whole for w in re.split(r"[^a-z0-9]+", name)}
+        if words & FOREIGN_WORDS:
+            element.suspect = 2
+        elif tag not in ("main", "article") and (words & SUSPECT_WORDS or not SUSPECT_NAMES.isdisjoint(whole)):
+            element.suspect = 1
+    return element
+
+
+def add_up(elements: list[Element], blocks: list[tuple[Element, str, int]]) -> None:
+    """Give every element its text's characters, those in links, and its links, all counted once."""
+    for element in elements:
+        element.chars = element.link_chars = 0
+    for owner, value, linked in blocks:
+        owner.chars += len(value)
+        owner.link_chars += linked
+    for element in reversed(elements):
+        if element.parent is not None:
+            element.parent.chars += element.chars
+            element.parent.link_chars += element.link_chars
+            element.parent.links += element.links
+
+
+def without_suspects(elements: list[Element], blocks: list[tuple[Element, str, int]]) -> list[tuple[Element, str, int]]:
+    """The blocks outside the elements whose name and text both speak against them.
+
+    A name alone does not: an element stays whose text is mostly not in links and is at
+    least half as much as all text outside of suspects, or all there is.  Comments and adverts
+    stay only in the last case.  Where the page marks its article, nothing outside of it
+    stays.  An element that stays may hold others that do not, ``NESTED`` deep; names
+    within those are not believed.
+    """
+    cleared: set[int] = set()
+    for _ in range(NESTED):
+        # The outermost suspect around each element, parents first.
+        around: dict[int, Element | None] = {}
+        for element in elements:
+            above = around[id(element.parent)] if element.parent is not None else None
+            suspect = element if element.suspect and id(element) not in cleared else None
+            around[id(element)] = above or suspect
+        outside = [b for b in blocks if around[id(b[0])] is None]
+        prose = sum(len(value) - linked for owner, value, linked in outside if len(value) >= SCORED_CHARS and owner.tag not in HEADINGS)
+        held = {id(e): e for e in around.values() if e is not None and e.chars}
+        marked = any(owner.inside for owner, _, _ in outside)
+        loose = [e for e in held.values() if e.link_density < 0.4 and (e.inside or not marked)]
+        if not prose and not marked:
+            # All text is in suspects: the one with the most of it, comments and adverts last.
+            stay = sorted(loose, key=lambda e: (e.suspect, -e.chars))[:1]
+        else:
+            stay = [e for e in loose if e.suspect == 1 and e.chars - e.link_chars >= prose / 2]
+        if not stay:
+            return outside
+        cleared |= {id(e) for e in stay}
+    return blocks
 
 
 def main_blocks(html: str) -> list[str]:
     """The blocks of the article, in page order."""
-    blocks = parse(html)
+    elements, blocks = parse(html)
+    add_up(elements, blocks)
+    outside = without_suspects(elements, blocks)
+    if len(outside) < len(blocks):
+        blocks = outside
+        for element in elements:
+            element.links = int(element.tag == "a")
+        add_up(elements, blocks)
     scored: dict[int, Element] = {}
-    for owner, value, linked in blocks:
-        for element in owner.up():
-            element.chars += len(value)
-            element.link_chars += linked
     for owner, value, linked in blocks:
         if len(value) < SCORED_CHARS or owner.tag in HEADINGS:
             continue
@@ -245,11 +308,19 @@ def main_blocks(html: str) -> list[str]:
                 alike = best.names.strip() and element.names == best.names
                 if worth(element) + (worth(best) / 5 if alike else 0) >= threshold:
                     kept.add(id(element))
+    # Whether an element is in what is kept, and there in a list of links, parents first.
+    within: dict[int, bool] = {}
+    listed: dict[int, bool] = {}
+    for element in elements:
+        above = element.parent is not None and within[id(element.parent)]
+        within[id(element)] = above or id(element) in kept
+        listed[id(element)] = id(element) not in kept and (
+            _link_list(element) or element.parent is not None and listed[id(element.parent)]
+        )
     out = []
     for owner, value, linked in blocks:
-        line = list(owner.up())
-        if any(id(e) in kept for e in line):
-            if not _link_list(line, kept):
+        if within[id(owner)]:
+            if not listed[id(owner)]:
                 out.append(value)
         elif best.parent is not None and best.tag not in ("body", "html", "#root"):
             beside = owner.parent is best.parent
@@ -272,17 +343,19 @@ def _standing(element: Element) -> float:
         points -= 3
     if element.names and GOOD_NAMES.search(element.names):
         points += 25
+    if element.suspect:
+        points -= 25
     return points
 
 
-def _link_list(line: list[Element], kept: set[int]) -> bool:
-    """Whether a block is within a list that is mostly links, inside the article."""
-    for element in line:
-        if id(element) in kept:
-            return False
-        if element.tag in ("ul", "ol", "div", "table", "dl", "section") and element.links > 1 and element.link_density > 0.6:
-            return True
-    return False
+def _link_list(element: Element) -> bool:
+    """Whether an element is mostly links; one marked as the article's or the main part may list its sources."""
+    return (
+        element.tag in ("ul", "ol", "div", "table", "dl", "section")
+        and not element.inside
+        and element.links > 1
+        and element.link_density > 0.6
+    )
 
 
 def extract(html: str | None) -> str:
