@@ -218,9 +218,13 @@ def verdict(rules: list[Rule]) -> tuple[Column, Column]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", rows: int = LABELLED_ROWS) -> list[Rule]:
-    """Rules from at most ``rows`` labelled rows, taken by the order of a hash of their ids."""
+    """Rules from at most ``rows`` labelled rows, taken by the order of a hash of their ids.
+
+    Labels without a document are left out before the rows are taken.
+    """
     known = labels.select(F.col(id_column).alias("id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter(F.col("quality").isin(0, 1) & F.col("id").isNotNull()).distinct()
+    known = known.join(docs.select(F.col(id_column).alias("id")), "id", "left_semi")
     drawn = known.orderBy(F.xxhash64("id"), "id", "quality").limit(rows)
     source = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     stats = statistics(source.join(F.broadcast(drawn), "id"))
