@@ -28,11 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tierflow.llm.common import map_rows, stored, texts_utf8
+from tierflow.llm.common import map_rows, stored, stretches
 
 #: Chunks and words whose ids a worker remembers (words: twice as many at most).
 REMEMBERED_CHUNKS = 300_000
 REMEMBERED_WORDS = 600_000
+#: Bytes of text split into words at once; a longer text by itself.
+ENCODED_BYTES = 1_000_000
 #: Words encoded in one call.
 TOGETHER = 400
 #: ASCII marks that can stand behind a word.
@@ -145,9 +147,9 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1) -
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder.of(tokenizer)
         out = []
-        texts, doc_ids = texts_utf8(batch.column(1)), batch.column(0).to_pylist()
-        for low in range(0, len(texts), 200):
-            for doc_id, ids in zip(doc_ids[low : low + 200], encoder.encode(texts[low : low + 200])):
+        doc_ids = batch.column(0).to_pylist()
+        for low, texts in stretches(batch.column(1), ENCODED_BYTES):
+            for doc_id, ids in zip(doc_ids[low : low + len(texts)], encoder.encode(texts)):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
