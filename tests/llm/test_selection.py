@@ -164,7 +164,6 @@ def test_ids_of_words_that_lower_casing_changes():
 
 
 def test_forgetting_encoder_gives_the_same_ids(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED_CHUNKS", 5)
     monkeypatch.setattr(packing, "REMEMBERED_WORDS", 7)
     encoder, fresh = packing.ChunkEncoder(tokenizer_path()), packing.ChunkEncoder
     rng = random.Random(4)
