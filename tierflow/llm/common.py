@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -59,10 +60,28 @@ def one_row_of(docs: DataFrame, keys: DataFrame, id_column: str, text: str) -> D
     return keyed.join(keys, same, "left_semi").dropDuplicates(["__id", "__copy"]).drop("__id", "__copy")
 
 
-def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with a function over one batch."""
+#: A module of a worker process's own, for what its tasks share; code that travels by value has no globals that stay.
+WORKER_STATE = "tierflow_worker_state"
+
+
+def worker_state() -> dict:
+    return sys.modules.setdefault(WORKER_STATE, ModuleType(WORKER_STATE)).__dict__
+
+
+def forget() -> None:
+    """Let go of what tasks of another kind left in this worker."""
+    sys.modules.pop(WORKER_STATE, None)
+    pa.default_memory_pool().release_unused()
+
+
+def map_rows(
+    df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType, keep: bool = False
+) -> DataFrame:
+    """``mapInArrow`` with a function over one batch; ``keep`` says that its tasks share a state."""
 
     def run(batches):
+        if not keep:
+            forget()
         for batch in batches:
             if batch.num_rows:
                 yield from rows(batch)

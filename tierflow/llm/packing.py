@@ -17,21 +17,18 @@ range, offset) is applied to the pieces by rank on the executors.
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tierflow.llm.common import map_rows, stored, stretches
+from tierflow.llm.common import map_rows, stored, stretches, worker_state
 
-#: Chunks and words whose ids a worker remembers (words: twice as many at most).
-REMEMBERED_CHUNKS = 300_000
+#: Words whose ids a worker remembers, twice as many at most; of chunks half as many.  A word takes about 200 bytes.
 REMEMBERED_WORDS = 600_000
 #: Bytes of text split into words at once; a longer text by itself.
 ENCODED_BYTES = 1_000_000
@@ -41,10 +38,6 @@ TOGETHER = 400
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-#: A module of a worker process's own that holds its encoders.
-WORKER_STATE = "tierflow_worker_state"
-
-
 class ChunkEncoder:
     """Token ids of texts, remembering those of chunks between white space.
 
@@ -54,7 +47,8 @@ class ChunkEncoder:
     and the marks'.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int | None = None):
+        self.bound = words or REMEMBERED_WORDS
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -66,20 +60,20 @@ class ChunkEncoder:
         self.older: dict[bytes, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> ChunkEncoder:
-        """One encoder per worker process; code that travels by value has no globals that stay."""
-        kept = sys.modules.setdefault(WORKER_STATE, ModuleType(WORKER_STATE)).__dict__
-        if path not in kept:
-            kept[path] = cls(path)
-        return kept[path]
+    def of(cls, path: str, words: int) -> ChunkEncoder:
+        """One encoder per worker process."""
+        kept = worker_state()
+        if (path, words) not in kept:
+            kept[path, words] = cls(path, words)
+        return kept[path, words]
 
     def learn(self, chunks: set[bytes]) -> None:
         """Make ``chunks`` known."""
-        if len(self.chunks) > REMEMBERED_CHUNKS:
+        if len(self.chunks) > self.bound // 2:
             self.chunks = {}
         new = [c for c in chunks if c not in self.chunks]
         parts = [_word_and_marks(c) for c in new]
-        if len(self.words) > REMEMBERED_WORDS:
+        if len(self.words) > self.bound:
             # Words in use are taken over from the older half when they next occur.
             self.older, self.words = self.words, {}
         words, missing = self.words, set()
@@ -139,13 +133,13 @@ def _word_and_marks(chunk: bytes) -> tuple[bytes, ...]:
     return word, chunk[len(word) :]
 
 
-def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, remembered: int | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of ``docs`` (doc_id, text): its ids and
     ``end_id``, cut every ``size`` ids."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder.of(tokenizer)
+        encoder = ChunkEncoder.of(tokenizer, remembered or REMEMBERED_WORDS)
         out = []
         doc_ids = batch.column(0).to_pylist()
         for low, texts in stretches(batch.column(1), ENCODED_BYTES):
@@ -159,7 +153,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1) -
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return map_rows(docs.select("doc_id", "text"), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_rows(docs.select("doc_id", "text"), run, "doc_id long, piece int, start long, length long, ids_crc32 long", keep=True)
 
 
 def ranked(found: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
@@ -234,14 +228,16 @@ def pack(
     text: str = "text",
     size: int = 4096,
     end_id: int = 1,
+    remembered: int | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): a row per piece.
 
     A null or empty text is the end id alone.  A null id stays null, repeated rows are
     packed each.  Other columns of ``docs`` are not carried.  An empty table gives no rows.
+    ``remembered`` bounds the words a worker remembers: fewer take less memory and more time.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows, lengths = ranked(stored(pieces(source, tokenizer, size, end_id)))
+    rows, lengths = ranked(stored(pieces(source, tokenizer, size, end_id, remembered)))
     first, _, sequence, offset = (
         np.array(c, np.int64) for c in (zip(*best_fit(lengths, size)) if lengths else ([], [], [], []))
     )

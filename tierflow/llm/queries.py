@@ -102,7 +102,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    """The last stage: as ``packing.pack``, with less remembered, since earlier stages have filled the executors."""
+    return packing.pack(docs, tokenizer_path(), remembered=100_000)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
