@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tierflow.operators import latest_batch, require_key, to_silver
 from tierflow.plans import (
     archive,
+    archive_check,
     archive_tally,
+    archived_lines,
     arrival_audit,
     build_gold,
     enrich_international,
@@ -441,7 +443,7 @@ def test_archive_and_tally(store, land, spark, folder):
     assert rows(archive_tally(store, sources, dt.date(2024, 1, 2))) == sorted(
         [("a", 0, 2, False), ("b", 0, 1, False), (None, 0, 3, True)], key=str)
 
-    kept = store.read("archive", "a").filter("file = 'x y.v2.csv'").orderBy("block_start", "line_id")
+    kept = archived_lines(store, "a", day).filter("file = 'x y.v2.csv'").orderBy("block_start", "line_id")
     with open(f"{a}/x y.v2.csv", newline="") as f:
         assert "\n".join(r.line for r in kept.collect()) + "\n" == f.read()
 
@@ -449,13 +451,44 @@ def test_archive_and_tally(store, land, spark, folder):
     land("a", "z.csv", ["h"], [["33"], ["34"]])
     archive(store, sources, day)
     archive(store, sources, dt.date(2024, 1, 2))
-    table = store.read("archive", "a").filter("file = 'z.csv'")
+    table = archived_lines(store, "a").filter("file = 'z.csv'")
     assert rows(table.groupBy(F.col("archive_date").cast("string")).count()) == [
         ("2024-01-01", 3), ("2024-01-02", 3)]
 
     assert rows(arrival_audit(spark, sources)) == [("gone",)]
 
 
+def test_archive_check_sees_content_and_order(store, land, spark, folder):
+    """As many lines as before, but one changed, two exchanged, or a pair of copies for another."""
+    text = {"same": "abcaa", "changed": "abc", "order": "abc", "copies": "aabb", "gone": "ab"}
+    for name, cells in text.items():
+        land("a", f"{name}.csv", ["h"], [[c] for c in cells])
+    source, day = {"a": f"{folder}/landing/a"}, dt.date(2024, 1, 1)
+    archive(store, source, day)
+    for name, cells in {"changed": "abd", "order": "bac", "copies": "ccbb", "gone": "a", "new": "a"}.items():
+        land("a", f"{name}.csv", ["h"], [[c] for c in cells])
+    got = {r.file.split(".")[0]: r.moved for r in archive_check(store, source, day).collect()}
+    assert got == {"same": True, **dict.fromkeys(("changed", "order", "copies", "gone", "new"), False)}
+
+
+def test_archive_check_over_several_splits(store, land, spark, folder):
+    """A file's numbers do not depend on how it was split, when archived or when checked."""
+    land("a", "a.csv", ["h"], [[f"line {i % 7} {'x' * (i % 50)}"] for i in range(2000)])
+    land("a", "b.csv", ["h"], [["1"]])
+    source, day = {"a": f"{folder}/landing/a"}, dt.date(2024, 1, 1)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        archive(store, source, day)
+        assert archived_lines(store, "a", day).select("block_start").distinct().count() > 4
+        assert rows(archive_check(store, source, day)) == [("a", "a.csv", True), ("a", "b.csv", True)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows(archive_check(store, source, day)) == [("a", "a.csv", True), ("a", "b.csv", True)]
+    folders = spark.read.format("binaryFile").load(store.path("archive", "a")).select("archive_date", "run")
+    assert folders.distinct().count() == 1
+
+
 # --- stream ----------------------------------------------------------------------------------------
 
 
@@ -543,7 +576,7 @@ def test_archive_tells_equal_names_apart(store, land, spark, folder):
     land("a/20240201", "a.csv", ["h"], [["2"], ["3"]])
     source = {"a": f"{folder}/landing/a"}
     archive(store, source, dt.date(2024, 1, 1))
-    kept = store.read("archive", "a").groupBy("file").count()
+    kept = archived_lines(store, "a").groupBy("file").count()
     assert rows(kept) == [("20240101/a.csv", 2), ("20240201/a.csv", 3)]
 
 

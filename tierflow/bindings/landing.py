@@ -25,10 +25,11 @@ from tierflow.bindings.tables import (
     table,
 )
 from tierflow.functions import numeric_text
-from tierflow.operators import to_silver
+from tierflow.operators import load_tally, to_silver
 from tierflow.plans import (
     archive,
-    archive_tally,
+    archive_check,
+    archived_lines,
     build_gold,
     each_source,
     load_bronze,
@@ -200,34 +201,35 @@ def truncated_tables(spark, sf_dir):
 def archived_batches(spark, sf_dir):
     """Two days of a source and one of another archived, a third source not landed.
 
-    One file of the second source was archived in part, which the tally must find.  Every
-    archived line is compared.
+    Every archived line of both days is compared.  The tally counts batches: one moves if
+    the archive has all its files line for line.  A batch landed after the archiving has not.
     """
     store = TableStore(spark, _run_dir(spark))
     names = ("ranking_allrounders", "ranking_batsmen", "ranking_bowlers")
     sources = {n: f"{store.root}/landing/{n}" for n in names}
     whole = {n: landing_frame(spark, sf_dir, n) for n in names[:2]}
-    for name, day, rows in (
+    for name, batch, rows in (
         (names[0], "20240101", whole[names[0]]),
-        (names[0], "20240102", whole[names[0]].limit(3)),
+        (names[0], "20240102", whole[names[0]].withColumn("rating", F.lit("1000.5"))),
         (names[1], "20240101", whole[names[1]].filter("cast(rating as double) >= 0")),
     ):
-        write_landing(rows.coalesce(1), sources[name], day)
+        write_landing(rows, sources[name], batch)
     day = dt.date(2024, 1, 1)
     archive(store, sources, day)
-    # The batch has grown since: what the archive holds is no longer all of it.
-    write_landing(whole[names[1]].coalesce(1), f"{sources[names[1]]}/late", "20240103")
+    write_landing(whole[names[1]], sources[names[1]], "20240103")
+    batch = F.split_part("file", F.lit("/"), F.lit(1)).alias("batch")
+    unknown = F.lit(None).cast("long")
     lines = [
-        store.read("archive", n)
+        archived_lines(store, n, day)
         .filter(~F.col("line").startswith("rank,id,name,"))
-        .filter(F.col("file").startswith("20240101/"))
-        .select(F.lit(n).alias("source"), F.col("line"), F.lit(None).cast("long").alias("moved"), F.lit(None).cast("long").alias("failed"))
+        .select(F.lit(n).alias("source"), batch, "line", unknown.alias("moved"), unknown.alias("failed"))
         for n in names[:2]
     ]
-    tally = archive_tally(store, sources, day).filter("not is_total").select(
-        "source", F.lit(None).cast("string").alias("line"), "moved", "failed"
-    )
-    return lines[0].unionByName(lines[1]).unionByName(tally)
+    batches = archive_check(store, sources, day).groupBy("source", batch).agg(F.bool_and("moved").alias("moved"))
+    tally = load_tally(batches, "source", F.col("moved")).filter("not is_total")
+    nothing = F.lit(None).cast("string")
+    counted = tally.select("source", nothing.alias("batch"), nothing.alias("line"), "moved", "failed")
+    return lines[0].unionByName(lines[1]).unionByName(counted)
 
 
 def stream_ingest(spark, sf_dir):
@@ -282,7 +284,7 @@ _REFRESHED = ", ".join(
 )
 
 
-def _csv_line(name: str) -> str:
+def _csv_line() -> str:
     """SQL text of a landed row as its CSV line; cells with commas or quotes are quoted."""
     cells = [
         f"""CASE WHEN regexp_matches("{c}", '[",\\n]') THEN '"' || replace("{c}", '"', '""') || '"' """
@@ -336,13 +338,16 @@ ORACLES = {
              (VALUES ('bronze'), ('silver'), ('gold')) AS layers(layer),
              (VALUES ('before'), ('after')) AS stages(stage)""",
     "archived_batches": f"""
-        SELECT 'ranking_allrounders' AS source, {_csv_line('ranking_allrounders')} AS line,
+        SELECT 'ranking_allrounders' AS source, '20240101' AS batch, {_csv_line()} AS line,
                NULL::bigint AS moved, NULL::bigint AS failed FROM ({landing_sql('ranking_allrounders')})
         UNION ALL
-        SELECT 'ranking_batsmen', {_csv_line('ranking_batsmen')}, NULL, NULL
+        SELECT 'ranking_allrounders', '20240102', {_csv_line()}, NULL, NULL
+        FROM (SELECT * REPLACE ('1000.5' AS rating) FROM ({landing_sql('ranking_allrounders')}))
+        UNION ALL
+        SELECT 'ranking_batsmen', '20240101', {_csv_line()}, NULL, NULL
         FROM ({landing_sql('ranking_batsmen')}) WHERE rating::double >= 0
-        UNION ALL SELECT 'ranking_allrounders', NULL, 2, 0
-        UNION ALL SELECT 'ranking_batsmen', NULL, 1, 1""",
+        UNION ALL SELECT 'ranking_allrounders', NULL, NULL, 2, 0
+        UNION ALL SELECT 'ranking_batsmen', NULL, NULL, 1, 1""",
     "responses_to_silver": f"""
         SELECT * EXCLUDE (team2_wickets) REPLACE (nullif(series_name, '') AS series_name),
                team2_wickets AS team2_wicket

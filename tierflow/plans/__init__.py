@@ -1,4 +1,4 @@
-from tierflow.plans.archive import archive, archive_tally, arrival_audit
+from tierflow.plans.archive import archive, archive_check, archive_tally, archived_lines, arrival_audit
 from tierflow.plans.bronze import load_bronze
 from tierflow.plans.extract import land_gallery, land_responses
 from tierflow.plans.gold import build_gold, enrich_international, json_gold, nested_gold, team_report
@@ -7,7 +7,9 @@ from tierflow.plans.sources import each_source
 
 __all__ = [
     "archive",
+    "archive_check",
     "archive_tally",
+    "archived_lines",
     "arrival_audit",
     "build_gold",
     "each_source",
