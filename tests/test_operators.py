@@ -308,21 +308,35 @@ def test_json_document_small_and_empty(spark):
     assert rows(json_document(df.filter("a > 5"), "t")) == [("t", 0, "[]")]
 
 
-def test_json_document_parts_hold_every_row_once(spark):
-    """Half of the rows are copies of one row; no part may hold them all."""
+def test_json_document_arrays_are_bounded(spark):
+    """Half of the rows are copies of one row, some rows are longer than the bound."""
     import json
 
-    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("a"))
-    got = json_document(df, "t", parts=40).collect()
-    sizes = [len(json.loads(r.rows_json)) for r in got]
-    assert len(got) == 40 and sum(sizes) == 2000
-    assert max(sizes) < 100
-    values = sorted(x["a"] for r in got for x in json.loads(r.rows_json))
-    assert values == sorted([-1] * 1000 + list(range(1, 2000, 2)))
-    again = json_document(df.repartition(3), "t", parts=40)
+    long = F.when(F.col("id") % 400 == 1, F.repeat(F.lit("é"), F.lit(600)))
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("a"), long.alias("b")
+    )
+    got = sorted(json_document(df, "t", max_bytes=500).collect(), key=lambda r: r.part)
+    assert len({r.part for r in got}) == len(got)
+    for r in got:
+        assert len(r.rows_json.encode()) <= 500 or len(json.loads(r.rows_json)) == 1
+    # The arrays in order are the table in the order of its rows' text, not half empty.
+    texts = sorted(r.row_json for r in json_rows(df, "t").collect())
+    assert "[" + ",".join(r.rows_json[1:-1] for r in got) + "]" == "[" + ",".join(texts) + "]"
+    assert len(got) < 2 * sum(len(t.encode()) + 1 for t in texts) / 250
+    again = json_document(df.repartition(3), "t", max_bytes=500)
     assert rows(again) == sorted((tuple(r) for r in got), key=str)
 
 
+def test_json_document_of_copies_only(spark):
+    """A row of nine bytes with its comma, copied over many cuts, also cuts within it."""
+    for bound in (1, 7, 20, 64):
+        got = json_document(spark.range(300).select(F.lit(1).alias("a")), "t", bound).collect()
+        pieces = [r.rows_json for r in sorted(got, key=lambda r: r.part)]
+        assert ",".join(p[1:-1] for p in pieces) == ",".join(['{"a":1}'] * 300)
+        assert all(len(p) <= max(bound, 9) for p in pieces)
+
+
 def test_json_report_has_one_form_at_any_size(spark):
     a = spark.createDataFrame([(1,), (2,)], "x int")
     got = json_report({"a": a, "b": a.filter("x > 9"), "c": a.filter("x = 1")})

@@ -35,7 +35,7 @@ from tierflow.specs import (
     metadata_label,
 )
 
-DOCUMENT_PARTS = 16
+DOCUMENT_BYTES = 64 * 1024
 
 
 def gold_frames(spark, sf_dir):
@@ -139,9 +139,9 @@ def json_lines(spark, sf_dir):
 
 
 def json_pack(spark, sf_dir):
-    """The customers' segments and nations, many of them equal, as sixteen JSON arrays."""
-    rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment")
-    return json_document(rows, "customer", DOCUMENT_PARTS)
+    """All customers, balances as decimals, as JSON arrays of bounded bytes."""
+    rows = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
+    return json_document(rows, "customer", DOCUMENT_BYTES)
 
 
 def json_side_by_side(spark, sf_dir):
@@ -281,7 +281,9 @@ def _json_object(columns: dict[str, str]) -> str:
     return "'{' || " + " || ',' || ".join(pieces) + " || '}'"
 
 
-PAIR_JSON = _json_object({"c_nationkey": "plain", "c_mktsegment": "text"})
+CUSTOMER_JSON = _json_object(
+    {"c_custkey": "plain", "c_name": "text", "c_nationkey": "plain", "c_acctbal": "number", "c_mktsegment": "text"}
+)
 
 
 def _report_sql() -> str:
@@ -322,12 +324,16 @@ ORACLES = {
         FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN user_id END AS buyer FROM events)""",
     "json_pack": f"""
         WITH text AS (
-            SELECT row_json, row_number() OVER (PARTITION BY row_json) - 1 AS nth
-            FROM (SELECT {PAIR_JSON} AS row_json FROM customer)),
-        dealt AS (
-            SELECT (('0x' || substr(md5(row_json), 1, 8))::bigint + nth) % {DOCUMENT_PARTS} AS part, row_json FROM text)
-        SELECT 'customer' AS source_table, p.part AS part,
-               '[' || coalesce(string_agg(row_json, ',' ORDER BY row_json), '') || ']' AS rows_json
-        FROM range({DOCUMENT_PARTS}) AS p(part) LEFT JOIN dealt ON dealt.part = p.part GROUP BY p.part""",
+            SELECT {CUSTOMER_JSON} AS row_json
+            FROM (SELECT * REPLACE (c_acctbal::decimal(18,2) AS c_acctbal) FROM customer)),
+        sized AS (SELECT row_json, strlen(row_json) + 1 AS size FROM text),
+        placed AS (
+            SELECT row_json, size,
+                   sum(size) OVER (ORDER BY row_json ROWS UNBOUNDED PRECEDING)::bigint - size AS start
+            FROM sized)
+        SELECT 'customer' AS source_table,
+               start // {DOCUMENT_BYTES // 2} * 2 + (size > {DOCUMENT_BYTES // 2})::int AS part,
+               '[' || string_agg(row_json, ',' ORDER BY row_json) || ']' AS rows_json
+        FROM placed GROUP BY ALL""",
     "json_report": _report_sql(),
 }

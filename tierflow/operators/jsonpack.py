@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierflow.functions import numeric_text
+from tierflow.session import measured
 
 JSON_OPTIONS = {
     "ignoreNullFields": "false",
@@ -75,35 +76,47 @@ def json_report(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [json_rows(df, tag) for tag, df in frames.items()])
 
 
-def json_document(df: DataFrame, tag: str, parts: int = 1) -> DataFrame:
-    """(source_table, part, rows_json): the table as so many JSON arrays.
+def json_document(df: DataFrame, tag: str, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """(source_table, part, rows_json): the table as JSON arrays of at most ``max_bytes``.
 
-    The caller says how many, whatever the table holds; an array without rows is ``[]``.
-    A part is gathered in one cell, so give a large table many parts or use ``json_rows``.
-    Rows are dealt by a hash of their text, copies of a row in turn, so that equal rows do
-    not fill one part and parts do not depend on how the data was split.
+    The arrays in order of ``part``, which has gaps, hold the rows in the order of their
+    text; a table without rows is one ``[]``.  Only a row that is itself over half the bound
+    can exceed it, and stands alone.  Where the cuts fall depends on the rows only: a row goes
+    by the bytes of all rows before it, which are summed within range partitions and then
+    over these.  Equal rows are counted first, and their copies cut by arithmetic, so a row
+    with very many copies spreads over as many arrays as it takes.
     """
-    text = df.select(json_row(df).alias("row_json")).groupBy("row_json").agg(F.count("*").alias("copies"))
-    nth = F.sequence(F.lit(0), F.least(F.col("copies"), F.lit(parts)) - 1)
-    dealt = text.select("row_json", "copies", F.explode(nth).alias("nth")).select(
-        F.pmod(_head(F.col("row_json")) + F.col("nth"), F.lit(parts)).alias("part"),
-        "row_json",
-        # Of the copies each part in turn has one, the first of them one more.
-        F.floor((F.col("copies") - F.col("nth") - 1) / parts + 1).cast("int").alias("times"),
+    window = max(max_bytes // 2, 1)
+    rows = df.select(json_row(df).alias("row_json")).groupBy("row_json").agg(F.count("*").alias("copies"))
+    ranged = measured(
+        rows.repartitionByRange("row_json").select(
+            "row_json", "copies", (F.octet_length("row_json") + 1).cast("long").alias("size"),
+            F.spark_partition_id().alias("range"),
+        )
     )
-    blank = df.sparkSession.range(parts).select(
-        F.col("id").alias("part"), F.lit(None).cast("string").alias("row_json"), F.lit(0).alias("times")
+    of_range = ranged.groupBy("range").agg(F.sum(F.col("copies") * F.col("size")).alias("bytes"))
+    ahead = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = measured(of_range.select("range", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("ahead")))
+    before = Window.partitionBy("range").orderBy("row_json").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum(F.col("copies") * F.col("size")).over(before), F.lit(0))
+    placed = ranged.withColumn("own", own).join(ranges, "range").withColumn("start", F.col("own") + F.col("ahead"))
+
+    def up_to(edge: Column) -> Column:
+        """How many of a row's copies start before this place."""
+        return F.least(F.greatest(F.ceil((edge - F.col("start")) / F.col("size")), F.lit(0)), F.col("copies"))
+
+    last = F.col("start") + (F.col("copies") - 1) * F.col("size")
+    cut = F.sequence(F.floor(F.col("start") / window), F.floor(last / window))
+    dealt = placed.withColumn("window", F.explode(cut)).select(
+        (F.col("window") * 2 + (F.col("size") > window).cast("int")).alias("part"),
+        "row_json",
+        (up_to((F.col("window") + 1) * window) - up_to(F.col("window") * window)).cast("int").alias("times"),
     )
-    rows = F.sort_array(F.collect_list(F.when(F.col("row_json").isNotNull(), F.struct("row_json", "times"))))
-    repeated = F.flatten(F.transform(rows, lambda r: F.array_repeat(r["row_json"], r["times"])))
-    text = F.concat(F.lit("["), F.array_join(repeated, ","), F.lit("]"))
-    return (
-        dealt.unionByName(blank)
-        .groupBy("part")
-        .agg(text.alias("rows_json"))
-        .select(F.lit(tag).alias("source_table"), "part", "rows_json")
+    inner = F.sort_array(F.collect_list(F.struct("row_json", "times")))
+    repeated = F.flatten(F.transform(inner, lambda r: F.array_repeat(r["row_json"], r["times"])))
+    # A row longer than a window passes over whole ones, in which nothing starts.
+    arrays = dealt.filter("times > 0").groupBy("part").agg(
+        F.concat(F.lit("["), F.array_join(repeated, ","), F.lit("]")).alias("rows_json")
     )
-
-
-def _head(text: Column) -> Column:
-    return F.conv(F.substr(F.md5(text), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
+    empty = ranges.agg(F.count("*").alias("n")).filter("n = 0").select(F.lit(0).cast("long").alias("part"), F.lit("[]").alias("rows_json"))
+    return arrays.unionByName(empty).select(F.lit(tag).alias("source_table"), "part", "rows_json")
