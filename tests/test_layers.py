@@ -353,6 +353,17 @@ def test_team_report(spark):
     ], key=str)
 
 
+def test_team_report_with_hot_teams(spark):
+    """Teams with many players and many results, cut at a few rows: the same report."""
+    teams = spark.range(6).selectExpr("cast(id as int) as team_id", "cast(id + 100 as int) as image_id")
+    players = spark.range(90).selectExpr(
+        "cast(if(id % 3 = 0, 1, id % 9) as int) as id", "cast(100 + id % 5 as int) as image_id", "id as n")
+    results = spark.range(60).selectExpr("cast(if(id % 3 = 0, 1, id % 11) as int) as match_id", "id as m")
+    whole = rows(team_report(teams, players, results))
+    assert whole == rows(team_report(teams, players, results, hot_rows=4))
+    assert len(whole) > 700
+
+
 def land_all(land):
     paths = {}
     for spec in SOURCES:

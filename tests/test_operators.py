@@ -12,6 +12,7 @@ from tierflow.operators import (
     json_rows,
     latest_batch,
     left_join_any,
+    left_join_hot,
     load_tally,
     missing_sources,
     nest_gold,
@@ -25,6 +26,7 @@ from tierflow.operators import (
     rows_present,
     wide_union,
 )
+from tierflow.operators.joins import _cut, _hot_keys
 from tierflow.specs import GOLD_STRUCTS, SOURCES, WIDE_COLUMNS
 
 
@@ -196,6 +198,48 @@ def test_left_join_any_moves_wide_rows_once(spark, folder):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_left_join_hot_equals_left_join(spark, seed):
+    """A third of both sides has one key; other keys are hot on one side, missing on one, NULL."""
+    rng = random.Random(seed)
+    left = [(rng.choice([1, 1, 1, 2, 3, 4, 5, None, None]), i) for i in range(120)]
+    right = [(rng.choice([1, 1, 1, 2, 3, 3, 3, 6, None]), i) for i in range(90)]
+    left += [(2, 1000 + i) for i in range(40)] + [(7, 2000 + i) for i in range(40)]
+    l = spark.createDataFrame(left, "k int, i int")
+    r = spark.createDataFrame(right, "x int, j int")
+    expected = rows(l.join(r, F.col("k") == F.col("x"), "left"))
+    for hot_rows in (1, 7, 25, 1000):
+        got = left_join_hot(l, r, "k", "x", ["i"], ["j"], hot_rows=hot_rows)
+        assert got.columns == ["k", "i", "x", "j"]
+        assert rows(got) == expected
+    assert rows(left_join_hot(l, r.limit(0), "k", "x", ["i"], ["j"], hot_rows=5)) == rows(
+        l.join(r.limit(0), F.col("k") == F.col("x"), "left"))
+    assert rows(left_join_hot(l.limit(0), r, "k", "x", ["i"], ["j"], hot_rows=5)) == []
+
+
+def test_left_join_hot_cuts_both_sides(spark):
+    """One key holds a third of both sides: no group of the join's keys has all its rows."""
+    key = "if(id % 3 = 0, -1, id)"
+    l, r = spark.range(3000).selectExpr(f"{key} as k", "id as i"), spark.range(1500).selectExpr(f"{key} as x", "id as j")
+    hot = _hot_keys(l.select("k"), r.select("x"), 100)
+    assert rows(hot) == [(-1, 10, 5)]
+    for side, args, most in (
+        (l, ("k", ["i"], hot, "a", "b", ("p", "q")), 160),
+        (r, ("x", ["j"], hot, "b", "a", ("p", "q")), 160),
+    ):
+        groups = _cut(side, *args).groupBy(args[0], "p", "q").count()
+        assert groups.agg(F.max("count")).first()[0] < most
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    joined = left_join_hot(l, r, "k", "x", ["i"], ["j"], hot_rows=100)
+    assert joined.count() == 1000 * 500 + 2000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left_join_hot(l, r, "k", "x", ["i"], ["j"], hot_rows=100)
+        assert re.search(r"SortMergeJoin \[k#\d+L, _i#\d+L, _j#\d+L\]", plan(joined))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_left_join_any_empty_sides(spark):
     l = spark.createDataFrame([(1,), (None,)], "a int")
     none = spark.createDataFrame([], "x int")

@@ -7,7 +7,7 @@ from tierflow.operators.incremental import (
     rows_absent,
     rows_present,
 )
-from tierflow.operators.joins import join_per_key, left_join_any
+from tierflow.operators.joins import join_per_key, left_join_any, left_join_any_located, left_join_hot, located
 from tierflow.operators.jsonpack import json_document, json_report, json_row, json_rows
 from tierflow.operators.shape import market_fallback, prefixed, require_key, to_silver
 from tierflow.operators.wide import nest_gold, nested_union, wide_union
@@ -20,7 +20,10 @@ __all__ = [
     "json_rows",
     "latest_batch",
     "left_join_any",
+    "left_join_any_located",
+    "left_join_hot",
     "load_tally",
+    "located",
     "market_fallback",
     "missing_sources",
     "nest_gold",

@@ -8,12 +8,16 @@ from tierflow.functions import market_codes
 from tierflow.operators import (
     json_report,
     left_join_any,
+    left_join_any_located,
+    left_join_hot,
+    located,
     market_fallback,
     nested_union,
     one_per_key,
     prefixed,
     require_key,
 )
+from tierflow.operators.joins import HOT_ROWS
 from tierflow.plans.sources import each_source
 from tierflow.sources.csv_landing import scan_csv
 from tierflow.sources.tables import TableStore
@@ -79,20 +83,29 @@ def json_gold(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def team_report(
-    teams: DataFrame, players: DataFrame, results: DataFrame, scanned: bool = False
+    teams: DataFrame,
+    players: DataFrame,
+    results: DataFrame,
+    scanned: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Teams with players (by id or image) and results, columns prefixed by side.
 
-    ``scanned`` says that teams and players are Parquet scans (see ``left_join_any``).
+    ``scanned`` says that all three are Parquet scans (see ``left_join_any``).  A team with
+    very many players, and results of very many matches, are cut (see ``left_join_hot``).
     """
     i, p, r = prefixed(teams, "i_"), prefixed(players, "p_"), prefixed(results, "r_")
-    with_players = left_join_any(
+    with_players = left_join_any_located(
         i,
         p,
         [(F.col("i_team_id"), F.col("p_id")), (F.col("i_image_id"), F.col("p_image_id"))],
         scanned=(scanned, scanned),
+        hot_rows=hot_rows,
     )
-    return with_players.join(r, F.col("i_team_id") == F.col("r_match_id"), "left")
+    matches = located(r, "_match_at", scanned)
+    pair, match = ["_left_at", "_right_at"], ["_match_at"]
+    report = left_join_hot(with_players, matches, "i_team_id", "r_match_id", pair, match, hot_rows=hot_rows)
+    return report.drop(*pair, *match)
 
 
 def build_gold(store: TableStore, market_landing: str | list[str]) -> DataFrame:
