@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierflow.session import measured
+from tierflow.sources.csv_records import csv_records, parsed
 from tierflow.specs import FILE_PATH, SourceSpec, string_schema
 
 # Quotes inside a cell are doubled, as the landing files' writer does it.
@@ -54,9 +55,11 @@ def scan_csv(
 
 
 def _read(spark, path, names, multiline) -> DataFrame:
+    if multiline:
+        return parsed(csv_records(spark, path), names, CSV_DIALECT)
     return (
         spark.read.schema(string_schema(names))
-        .options(**CSV_DIALECT, enforceSchema=True, multiLine=multiline, recursiveFileLookup=True)
+        .options(**CSV_DIALECT, enforceSchema=True, recursiveFileLookup=True)
         .csv(path)
         .select(*names, F.col("_metadata.file_path").alias(FILE_PATH))
     )
