@@ -37,6 +37,7 @@ from tierflow.plans import (
 )
 from tierflow.session import shared_dir
 from tierflow.sources import TableStore, scan_csv, write_landing
+from tierflow.sources.csv_landing import file_system
 from tierflow.specs import (
     BATSMEN,
     LOAD_TS,
@@ -45,7 +46,7 @@ from tierflow.specs import (
     RESULTS,
     SOURCES,
 )
-from tierflow.streaming import ingest_stream
+from tierflow.streaming import ingest_stream, ingest_versions
 
 
 def _run_dir(spark) -> str:
@@ -130,6 +131,41 @@ def stream_reland(spark, sf_dir):
     return _silver_text(store.silver(BATSMEN)).drop(LOAD_TS)
 
 
+def _foreign_files(rows, folder):
+    """Write ``rows`` as another system does: a CSV file of a fixed name for each ``file``."""
+
+    def write(frame):
+        where, name = file_system(f"{folder}/{frame['file'].iloc[0]}.csv")
+        where.create_dir(name.rpartition("/")[0], recursive=True)
+        with where.open_output_stream(name) as out:
+            out.write(frame.drop(columns="file").to_csv(index=False).encode())
+        return frame[["file"]].head(1)
+
+    rows.groupBy("file").applyInPandas(write, "file string").write.format("noop").mode("overwrite").save()
+
+
+def stream_versions(spark, sf_dir):
+    """Files of a thousand ids each; those of even number rewritten under their paths.
+
+    Three runs: all files, the rewritten ones, none.  The rows are Bronze, so a version taken
+    twice or not at all shows.
+    """
+    store = TableStore(spark, _run_dir(spark))
+    landing = f"{store.root}/landing"
+    number = F.expr("cast(id as bigint) div 1000")
+    rows = landing_frame(spark, sf_dir, BATSMEN.name).withColumn("file", F.concat(F.lit("players_"), number))
+    _foreign_files(rows, landing)
+    loads = [dt.datetime.fromisoformat(x) for x in (FIRST_LOAD, SECOND_LOAD, "2024-03-01 03:30:00")]
+    ingest_versions(spark, BATSMEN, landing, store, loads[0])
+    again = rows.filter((number % 2 == 0) & (F.col("rating").cast("double") >= 0))
+    _foreign_files(again.withColumn("rating", F.lit("1000.50")), landing)
+    for load in loads[1:]:
+        ingest_versions(spark, BATSMEN, landing, store, load)
+    return store.bronze(BATSMEN).select(
+        *BATSMEN.landing, "file_name", F.col(LOAD_TS).cast("string").alias(LOAD_TS)
+    )
+
+
 def _second_load(spark, sf_dir):
     """Files landed again, with the rows in credit only and another rating."""
     rows = bronze_frame(spark, sf_dir, BATSMEN.name, SECOND_LOAD)
@@ -263,6 +299,7 @@ QUERIES = {
     "bronze_load": bronze_load,
     "reland_batch": reland_batch,
     "stream_reland": stream_reland,
+    "stream_versions": stream_versions,
     "silver_refresh": silver_refresh,
     "latest_batch_manifest": latest_batch_manifest,
     "all_layers": all_layers,
@@ -317,6 +354,13 @@ ORACLES = {
     "stream_reland": f"""
         SELECT {_REFRESHED}, 'ranking_batsmen_20240101' AS file_name
         FROM ({silver_sql(BATSMEN)}) WHERE rating >= 0""",
+    "stream_versions": f"""
+        WITH landed AS (
+            SELECT {_CELLS}, 'players_' || (id::bigint // 1000) AS file_name FROM ({landing_sql(BATSMEN.name)}))
+        SELECT *, '{FIRST_LOAD}' AS update_timestamp FROM landed
+        UNION ALL
+        SELECT * REPLACE ('1000.50' AS rating), '{SECOND_LOAD}' FROM landed
+        WHERE id::bigint // 1000 % 2 = 0 AND rating::double >= 0""",
     "silver_refresh": f"""
         WITH silver AS ({silver_sql(BATSMEN)}),
         again AS (SELECT * FROM silver WHERE rating >= 0)

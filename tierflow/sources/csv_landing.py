@@ -123,10 +123,17 @@ def _first_lines(files: DataFrame) -> DataFrame:
     return files.select(FILE_PATH, "path", "length", "modified").mapInArrow(run, _HEADER_ROW)
 
 
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and the path's name on it."""
+    local = re.sub("^file:/+", "/", path)
+    if local.startswith("/"):
+        return fs.LocalFileSystem(), local
+    return fs.FileSystem.from_uri(quote(re.sub("^s3a:", "s3:", path), safe=":/@"))
+
+
 def first_line(path: str, step: int = HEADER_STEP) -> str | None:
     """The first line of a file that is not blank; compression as its name says."""
-    local = re.sub("^file:/+", "/", path)
-    where, name = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(quote(re.sub("^s3a:", "s3:", path), safe=":/@"))
+    where, name = file_system(path)
     begun = b""
     with where.open_input_stream(name) as stream:
         while True:

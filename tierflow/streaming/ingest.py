@@ -37,7 +37,8 @@ def ingest_stream(
     """Take every new landing file into Bronze as one load, then stop.
 
     The checkpoint remembers the paths taken.  A batch landed again has new part files
-    and is taken again; a foreign file rewritten under the same path is not.  All new
+    and is taken again; a foreign file rewritten under the same path is not (see
+    ``ingest_versions``).  All new
     files of a run are one load with one timestamp, so no batch is divided.  A run that
     is repeated after a failure has the same load timestamp (the stream records it) and
     so replaces its own load.  ``refresh=True`` also brings Silver up to date.
@@ -94,11 +95,11 @@ def refresh_batch(
 def _scan_files(batch: DataFrame, spec: SourceSpec) -> DataFrame:
     # The paths Spark's own listing of the run's files has on the driver.
     files = batch.select("path", LOAD_TS).collect()
-    paths = [_literal_path(f.path) for f in files]
+    paths = [literal_path(f.path) for f in files]
     scanned = scan_csv(batch.sparkSession, paths, spec, with_path=True)
     return stage_bronze(scanned, files[0][LOAD_TS])
 
 
-def _literal_path(path: str) -> str:
+def literal_path(path: str) -> str:
     """Escape glob characters: each path names exactly one file."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
