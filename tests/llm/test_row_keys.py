@@ -54,3 +54,13 @@ def test_every_row_is_written_to_its_shard(spark, folder):
     out = spark.read.parquet(f"{folder}/shards").collect()
     assert sorted((str(r.doc_id), str(r.text)) for r in out) == sorted((str(i), str(t)) for i, t in ROWS)
     assert len({(r.shard, r.slot) for r in out}) == len(ROWS)
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_copies_of_one_row_are_spread_over_shards(spark, doc_id):
+    rows = [(doc_id, "the same text " * 2)] * 400 + [(i, f"text number {i}") for i in range(1000, 1400)]
+    out = sharding.shard_by_bytes(table(spark, rows), shards=8).collect()
+    held = [sum(r.size for r in out if r.shard == s) for s in range(8)]
+    assert len(out) == 800 and max(held) < 1.25 * min(held)
+    for s in range(8):
+        assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))

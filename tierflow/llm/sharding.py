@@ -5,7 +5,7 @@ keys, drawn in proportion to size, gives quantile boundaries for many more range
 shards; every row is then counted into its range exactly.  Ranges that turn out overfull
 are sampled again, more closely, and subdivided.  A range of one key cannot be: it stays
 whole up to a shard's fair share, so that equal texts stay together, and beyond that is
-split by a hash of the ids.  The ranges are dealt to the shards largest first, each to the
+split row by row.  The ranges are dealt to the shards largest first, each to the
 lightest shard.
 
 Only the sample and a row per range reach the driver; both are bounded by the parameters.
@@ -49,7 +49,7 @@ def records(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 def sampled(rows: DataFrame, rate: float) -> list[tuple[int, float]]:
     """(key, weight) in key order, rows drawn with a chance of ``rate`` a byte."""
     due = F.col("size") * F.lit(rate)
-    draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "size"), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "row"), F.lit(1 << 31)) / F.lit(float(1 << 31))
     drawn = rows.filter(draw < due).groupBy("key").agg(F.sum(F.greatest(F.lit(1.0), due)).alias("weight"))
     return sorted((r["key"], r["weight"]) for r in drawn.collect())
 
@@ -99,10 +99,13 @@ def shard_by_bytes(
     shard without gaps; ``grown_shard`` is null under this law.
 
     A null text has size 8 and crc32 0, and is a group apart from empty texts.  Null ids and
-    repeated rows are placed like others.  With fewer rows than shards some shards are
+    repeated rows are placed like others; of a group of equal texts over a shard's fair share,
+    the copies of one row are spread too.  Which row of such a group goes where depends on the order
+    in which the files are read, the sizes do not.  With fewer rows than shards some shards are
     empty; an empty table gives no rows.
     """
-    rows = stored(records(docs, id_column, text))
+    # A number for each row, so that copies which share id and text can be told apart.
+    rows = stored(records(docs, id_column, text).withColumn("row", F.monotonically_increasing_id()))
     total = rows.agg(F.sum("size")).first()[0] or 0
     ranges = max(shards * ranges_per_shard, total // RANGE_BYTES)
     due = max(total / ranges, 1.0)
@@ -130,7 +133,7 @@ def shard_by_bytes(
     units = ranged(rows, cuts)
     how_many = _lookup(units, [(k, int(n)) for k, n in parts.items()], "range int, parts int")
     units = units.join(how_many, "range", "left").withColumn(
-        "part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.coalesce("parts", F.lit(1))).cast("int")
+        "part", F.pmod(F.xxhash64("row", F.lit("part")), F.coalesce("parts", F.lit(1))).cast("int")
     )
     held = units.groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
     dealt = _deal([tuple(r) for r in held], set(split), shards)
