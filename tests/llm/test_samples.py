@@ -1,6 +1,8 @@
 """What the learned operators draw from: labels with documents, texts of any length."""
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tierflow.llm import quality_rules, toxicity
 
@@ -49,3 +51,28 @@ def test_no_model_is_an_error_where_labels_have_both_classes(spark):
         toxicity.fit(clean, labels(spark, marks))
     assert toxicity.fit(docs.filter("false"), labels(spark, marks)) is None
     assert toxicity.fit(clean, labels(spark, [m for m in marks if not m[2]])) is None
+
+
+def many(spark, n):
+    """Toxic by "vile"; the toxic rows that come last by a hash of their ids only by "qux"."""
+    ids = spark.range(2 * n).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic", "row_number() over (partition by id % 2 order by xxhash64(id)) as place")
+    marked = ids.withColumn("late", F.expr(f"toxic = 1 and place > {n - 200}"))
+    docs = marked.selectExpr(
+        "doc_id", "concat('word', doc_id % 7, case when late then ' qux ' when toxic = 1 then ' vile ' else ' kind ' end, 'x', doc_id % 13) as text", "'en' as lang"
+    )
+    return docs, ids.selectExpr("doc_id", "1 as quality", "toxic")
+
+
+@pytest.mark.parametrize("shard_bytes", [10_000, 10**9])
+def test_all_labelled_rows_are_learned_from(spark, monkeypatch, shard_bytes):
+    docs, marks = many(spark, 2_600)
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", shard_bytes)
+    model = toxicity.fit(docs, marks)
+    late, plain, clean = model.score([b"word3 qux x5", b"word3 vile x5", b"word3 kind x5"])
+    assert late > 0.9 and plain > 0.9 and clean < 0.1
+
+
+def test_copies_are_learned_from_once(spark, monkeypatch):
+    docs, marks = many(spark, 300)
+    one, two = toxicity.fit(docs, marks), toxicity.fit(docs.unionAll(docs.repartition(3)), marks)
+    assert np.array_equal(one.embedding, two.embedding) and np.array_equal(one.weights, two.weights) and one.scale == two.scale

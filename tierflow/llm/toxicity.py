@@ -3,9 +3,10 @@
 A word's embedding is the sum of hashed embeddings: of the word and of its first bytes,
 so that inflected forms share some.  Filters of one, two and three words run over the
 embedded text; each filter's largest value in the text, if positive, is a feature of a
-logistic model.  Training takes a bounded sample of labelled rows, by the order of a hash
-of their ids; each class is drawn by itself, and the score is calibrated on rows kept
-from training, weighted to the classes' true shares.
+logistic model.  It learns from all labelled rows: a quarter of them, by a hash of their
+ids, is kept for calibration, the others are dealt to shards.  In each pass every shard
+goes on from the same network by itself, and their changes are averaged.  The score is
+calibrated on the counts of the kept rows' logits.
 
 The score sees the text alone.  A document's language only chooses the threshold, which
 is calibrated per language on the same rows; the score at 0.5 is the plain decision.
@@ -13,17 +14,15 @@ is calibrated per language on the same rows; the score at 0.5 is the plain decis
 
 from __future__ import annotations
 
-import io
-import json
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tierflow.llm.common import forget, map_rows, stored, stretches
+from tierflow.llm.common import copy_key, forget, map_rows, stored, stretches
 from tierflow.llm.words import word_features
 
 BUCKETS = 1 << 18
@@ -31,12 +30,18 @@ DIM = 16
 FILTERS = 16
 WIDTHS = (1, 2, 3)
 PREFIXES = (4, 6)
-#: Bounds of the training sample: labelled rows of each class, and bytes of their whole texts.
-ROWS_PER_CLASS = 2_000
-CLASS_BYTES = 24_000_000
+#: Labels sent to all executors, so that texts are not shuffled to find theirs; more are joined by a shuffle.
+LABELS_SENT = 1_000_000
+#: Bytes of training text a shard, and the most shards; beyond them shards grow.
+SHARD_BYTES = 32_000_000
+SHARDS = 48
+#: Bytes of text, in the order of a hash, that are shuffled and learned from at once; a longer text by itself.
+LEARNED_BYTES = 4_000_000
 #: Bytes of text scored at once; a longer text by itself.
 SCORED_BYTES = 1_000_000
+SEED = 7
 EPOCHS = 6
+#: Texts of a step; fewer if they have over ``CHUNK_WORDS`` words.
 BATCH = 32
 RATE = 0.2
 #: Training texts a bucket must be in to be learned.
@@ -45,6 +50,9 @@ LEAST_DOCS = 3
 LEFT_OUT = 0.4
 #: Words scored at once.
 CHUNK_WORDS = 100_000
+#: Parts of one that changes are rounded to, so that their sum does not depend on its order; the same of logits.
+CHANGE_PARTS = 1 << 20
+LOGIT_PARTS = 1 << 9
 #: Bounds and default of a language's threshold.
 THRESHOLDS = (0.3, 0.7)
 
@@ -128,14 +136,8 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7) -> Model:
-    """Fit the network by Adagrad on the logistic loss.
-
-    Only the place where a filter is largest gets a gradient.  Buckets in fewer than
-    ``LEAST_DOCS`` training texts stay zero: unknown words say nothing, and texts are not
-    learned by heart from their rare words.  Output weights stay positive, so that harmless
-    words cannot outweigh others.
-    """
+def begun(used: np.ndarray, seed: int = SEED) -> tuple[Model, dict]:
+    """A network before training and its Adagrad sums; buckets that are not ``used`` are zero and stay so."""
     rng = np.random.default_rng(seed)
     model = Model(
         rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32),
@@ -144,13 +146,7 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7) -> Model:
         np.abs(rng.normal(0, 0.3, FILTERS * len(WIDTHS))),
         0.0,
     )
-    words, counts = word_features(texts, PREFIXES, BUCKETS)
-    firsts = np.cumsum(counts) - counts
-    of = np.repeat(np.arange(len(texts)), counts * words.shape[1])
-    pairs = np.unique(of * BUCKETS + words.ravel())
-    used = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= LEAST_DOCS
     model.embedding[~used] = 0
-    balance = np.where(toxic == 1, 0.5 / max(toxic.mean(), 1e-9), 0.5 / max(1 - toxic.mean(), 1e-9))
     seen = {
         "e": np.full((BUCKETS, DIM), 0.1, np.float32),
         "f": [np.full(f.shape, 0.1, np.float32) for f in model.filters],
@@ -159,15 +155,64 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7) -> Model:
         "o": 0.1,
         "used": used,
     }
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(texts))
-        for low in range(0, len(order), BATCH):
-            rows = order[low : low + BATCH]
-            parts = [words[firsts[r] : firsts[r] + counts[r]] for r in rows]
-            parts = [part[rng.random(len(part)) >= LEFT_OUT] for part in parts]
-            left = np.array([len(part) for part in parts])
-            _step(model, np.concatenate(parts), left, toxic[rows], balance[rows], seen)
-    return model
+    return model, seen
+
+
+def flat(model: Model, seen: dict) -> np.ndarray:
+    """A network in training as rows of ``DIM`` numbers and as many Adagrad sums: used buckets first, then all else."""
+
+    def rows(embedding, filters, biases, weights, bias) -> np.ndarray:
+        rest = np.concatenate([*(f.ravel() for f in filters), *biases, weights, [bias]])
+        rest = np.append(rest, np.zeros(-len(rest) % DIM)).reshape(-1, DIM)
+        return np.concatenate([embedding[seen["used"]], rest])
+
+    own = rows(model.embedding, model.filters, model.biases, model.weights, model.bias)
+    return np.concatenate([own, rows(*(seen[k] for k in "efbwo"))], axis=1).astype(np.float32)
+
+
+def opened(used: np.ndarray, table: np.ndarray) -> tuple[Model, dict]:
+    """The network that ``flat`` made a table of."""
+    model, seen = begun(used)
+    known = int(used.sum())
+    for half, (embedding, filters, biases, weights) in enumerate(
+        [(model.embedding, model.filters, model.biases, model.weights), (seen["e"], seen["f"], seen["b"], seen["w"])]
+    ):
+        part = table[:, half * DIM : (half + 1) * DIM]
+        embedding[used] = part[:known]
+        rest, at = part[known:].ravel(), 0
+        for array in (*filters, *biases, weights):
+            array[...] = rest[at : at + array.size].reshape(array.shape)
+            at += array.size
+        if half:
+            seen["o"] = float(rest[at])
+        else:
+            model.bias = float(rest[at])
+    return model, seen
+
+
+def learn(model: Model, seen: dict, texts: list[bytes], toxic: np.ndarray, balance: np.ndarray, rng: np.random.Generator) -> None:
+    """One pass over ``texts`` by Adagrad on the logistic loss.
+
+    Only the place where a filter is largest gets a gradient.  Buckets in fewer than
+    ``LEAST_DOCS`` training texts stay zero: unknown words say nothing, and texts are not
+    learned by heart from their rare words.  Output weights stay positive, so that harmless
+    words cannot outweigh others.
+    """
+    column = pa.array(texts, pa.binary())
+    found = [word_features(part, PREFIXES, BUCKETS) for _, part in stretches(column, SCORED_BYTES)]
+    words = np.concatenate([x for x, _ in found])
+    counts = np.concatenate([x for _, x in found])
+    firsts = np.cumsum(counts) - counts
+    order = rng.permutation(len(texts))
+    low = 0
+    while low < len(order):
+        total = np.cumsum(counts[order[low : low + BATCH]])
+        rows = order[low : low + max(1, int(np.searchsorted(total, CHUNK_WORDS, "right")))]
+        low += len(rows)
+        parts = [words[firsts[r] : firsts[r] + counts[r]] for r in rows]
+        parts = [part[rng.random(len(part)) >= LEFT_OUT] for part in parts]
+        left = np.array([len(part) for part in parts])
+        _step(model, np.concatenate(parts), left, toxic[rows], balance[toxic[rows].astype(int)], seen)
 
 
 def _step(model: Model, words: np.ndarray, counts: np.ndarray, toxic: np.ndarray, balance: np.ndarray, seen: dict) -> None:
@@ -219,14 +264,15 @@ def _step(model: Model, words: np.ndarray, counts: np.ndarray, toxic: np.ndarray
         model.embedding[at] -= RATE * total / np.sqrt(seen["e"][at])
 
 
-def calibrate(model: Model, texts: list[bytes], toxic: np.ndarray, weight: np.ndarray, langs: list) -> None:
-    """Fit the score's slope and shift (Platt) and a threshold per language."""
-    raw = model.raw(texts)
+def calibrate(model: Model, raw: np.ndarray, toxic: np.ndarray, weight: np.ndarray, langs: np.ndarray) -> None:
+    """Fit the score's slope and shift (Platt) and a threshold per language to logits that stand for ``weight`` rows each."""
     slope, shift = 1.0, 0.0
     share = np.average(toxic, weights=weight)
-    target = np.where(toxic == 1, 1 - 1 / (2 + len(toxic)), 1 / (2 + len(toxic)))
+    edge = 1 / (2 + weight.sum())
+    target = np.where(toxic == 1, 1 - edge, edge)
     if 0 < share < 1:
-        spread = max(raw.std(), 1e-6)
+        mean = np.average(raw, weights=weight)
+        spread = max(np.average((raw - mean) ** 2, weights=weight) ** 0.5, 1e-6)
         z, a, b = raw / spread, 1.0, 0.0
         for _ in range(300):
             p = sigmoid(a * z + b)
@@ -242,10 +288,10 @@ def calibrate(model: Model, texts: list[bytes], toxic: np.ndarray, weight: np.nd
                 break
         slope, shift = a / spread, b
     model.scale = (float(slope), float(shift))
-    score = model.score(texts)
+    score = sigmoid(raw * slope + shift)
     for lang in sorted({x for x in langs if x is not None}):
-        of = np.array([x == lang for x in langs])
-        if 0 < toxic[of].sum() < of.sum():
+        of = langs == lang
+        if len(set(toxic[of])) == 2:
             model.thresholds[lang] = _threshold(score[of], toxic[of], weight[of])
 
 
@@ -263,30 +309,40 @@ def labelled_sample(
     id_column: str = "doc_id",
     text: str = "text",
     lang: str | None = "lang",
-    rows_per_class: int = ROWS_PER_CLASS,
-    class_bytes: int = CLASS_BYTES,
+    rows_per_class: int | None = None,
+    class_bytes: int | None = None,
 ) -> tuple[DataFrame, dict[int, int]]:
-    """(id, toxic, text, lang) of the rows to learn from, and how many labelled rows each class has.
+    """(id, toxic, text, lang, size) of the rows to learn from, and how many labelled rows each class has.
 
-    Labels are joined with the documents first.  Of each class rows are then taken in the
-    order of a hash of their ids, whatever their length: ``rows_per_class`` of them, fewer if
-    their whole texts pass ``class_bytes``, one at least.
+    Without bounds, as ``fit`` calls it, that is every labelled row, and the same row may
+    come more than once.  With a bound of each class rows are taken in the order of a hash
+    of their ids, whatever their length: ``rows_per_class`` of them, fewer if their whole
+    texts pass ``class_bytes``, one at least; of rows that share an id one is taken.
     """
-    known = labelled(labels, id_column)
-    sized = docs.select(F.col(id_column).alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size"))
-    present = stored(sized.join(known, "id").dropDuplicates(["id", "toxic"]))
+    known = stored(labelled(labels, id_column))
+    if known.count() <= LABELS_SENT:
+        known = F.broadcast(known)
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size")
+    sized = docs.select(F.col(id_column).alias("id"), size)
+    present = sized.join(known, "id").dropDuplicates(["id", "toxic"])
+    language = F.col(lang) if lang else F.lit(None)
+    source = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), language.cast("string").alias("lang"), size)
+    if rows_per_class is None and class_bytes is None:
+        of_class = {x["toxic"]: x["count"] for x in present.groupBy("toxic").count().collect()}
+        return source.join(known, "id").select("id", "toxic", "text", "lang", "size"), of_class
+    present = stored(present)
     of_class = {x["toxic"]: x["count"] for x in present.groupBy("toxic").count().collect()}
+    before = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, -1)
     drawn = None
     for toxic in (0, 1):
-        part = present.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("id"), "id").limit(rows_per_class)
+        part = present.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("id"), "id")
+        part = part if rows_per_class is None else part.limit(rows_per_class)
         drawn = part if drawn is None else drawn.unionAll(part)
-    before = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, -1)
     drawn = drawn.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    taken = drawn.filter((F.col("before") == 0) | (F.col("before") + F.col("size") <= class_bytes)).select("id", "toxic")
-    language = F.col(lang) if lang else F.lit(None)
-    source = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), language.cast("string").alias("lang"))
+    fits = F.lit(True) if class_bytes is None else F.col("before") + F.col("size") <= class_bytes
+    taken = drawn.filter((F.col("before") == 0) | fits).select("id", "toxic")
     found = source.join(F.broadcast(taken), "id")
-    return found.dropDuplicates(["id", "toxic"]).select("id", "toxic", "text", "lang"), of_class
+    return found.dropDuplicates(["id", "toxic"]).select("id", "toxic", "text", "lang", "size"), of_class
 
 
 def labelled(labels: DataFrame, id_column: str) -> DataFrame:
@@ -300,69 +356,134 @@ def held_out(id_column: str):
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    lang: str | None = "lang",
-    rows_per_class: int = ROWS_PER_CLASS,
-) -> Model | None:
-    """A trained and calibrated model; None if the labels do not hold both classes.
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str | None = "lang") -> Model | None:
+    """A model trained and calibrated on all labelled rows; None if the labels do not hold both classes.
 
-    The sample, whose rows and bytes parameters bound, is learned from in one task.
-    Labels of both classes of which no more than one class has documents are an error,
-    since without a model everything would count as clean.
+    Rows of one id and text count once.  Labels of both classes of which no more than one
+    class has documents are an error, since without a model everything would count as clean.
     """
-    sample, of_class = labelled_sample(docs, labels, id_column, text, lang, rows_per_class)
+    rows, of_class = labelled_sample(docs, labels, id_column, text, lang)
     if len(of_class) < 2:
         classes = labelled(labels, id_column).select("toxic").distinct().count()
         if classes == 2 and not docs.isEmpty():
             raise ValueError("the labels hold both classes, but the documents with labels do not")
         return None
+    kept = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(4)) == 0
+    share = rows.groupBy(kept.alias("kept"), "toxic").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+    apart = len(share) == 4
+    used_for = [x for x in share if not (apart and x["kept"])]
+    size = sum(x["size"] for x in used_for)
+    n = np.array([sum(x["n"] for x in used_for if x["toxic"] == t) for t in (0, 1)], float)
+    model = trained(rows.filter(~kept) if apart else rows, min(SHARDS, 1 + size // SHARD_BYTES), 0.5 * n.sum() / n)
+    calibrate(model, *logits(rows.filter(kept) if apart else rows, model))
+    return model
 
-    def run(batches):
-        forget()
-        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
-        rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[1]))
-        model = fitted(rows, of_class)
-        yield pa.record_batch([pa.array([packed(model)] if model else [], pa.binary())], ["model"])
 
-    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
-    return unpacked(found[0]["model"]) if found else None
+def trained(rows: DataFrame, shards: int, balance: np.ndarray) -> Model:
+    """A network from all ``rows`` (id, toxic, text), its score not yet calibrated.
 
+    ``balance`` is the weight of a row of each class.  A shard's rows stay on the disks of
+    the executors from pass to pass.  What leaves a shard is bounded by the network: its
+    changes, which are averaged over the shards that changed the same row.
+    """
+    order = F.xxhash64("id")
+    dealt = (
+        rows.select(F.pmod(order, F.lit(shards)).cast("int").alias("shard"), order.alias("order"), "id", "toxic", "text")
+        .repartitionById(shards, "shard")
+        .sortWithinPartitions("order", "id", "toxic", "text")
+        .select("shard", "id", "toxic", "text")
+        .persist(StorageLevel.DISK_ONLY)
+    )
+    try:
+        used = known_buckets(dealt)
+        model, seen = begun(used)
+        table = flat(model, seen)
+        for turn in range(EPOCHS):
+            at, change = changes(dealt, used, table, balance, turn)
+            table[at] += change
+    finally:
+        dealt.unpersist()
+    return opened(used, table)[0]
+
+
+def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(shard, texts, toxic) of stretches of a shard's sorted rows, rows that come again left out."""
+    last, shard, size, texts, toxic = None, 0, 0, [], []
+    for batch in batches:
+        ids, marks, column = batch.column(1), batch.column(2), batch.column(3).cast(pa.binary())
+        for k in range(batch.num_rows):
+            text = column[k].as_py()
+            row = (ids[k].as_py(), marks[k].as_py(), text)
+            if row == last:
+                continue
+            if texts and size + len(text) > limit:
+                yield shard, texts, np.array(toxic, float)
+                size, texts, toxic = 0, [], []
+            last, shard, size = row, batch.column(0)[k].as_py(), size + len(text)
+            texts.append(text)
+            toxic.append(row[1])
+    if texts:
+        yield shard, texts, np.array(toxic, float)
+
+
+def known_buckets(dealt: DataFrame) -> np.ndarray:
+    """Which buckets are in ``LEAST_DOCS`` of the texts or more."""
 
-def fitted(rows: list[tuple[int, int, str, str]], of_class: dict[int, int]) -> Model | None:
-    """A model from (id, toxic, text, lang); a quarter of the rows is for calibration."""
-    toxic = np.array([r[1] for r in rows], float)
-    if len(set(toxic)) < 2:
-        return None
-    texts = [r[2].encode() for r in rows]
-    weight = np.array([of_class[t] / (toxic == t).sum() for t in toxic])
-    fold = np.arange(len(rows)) % 4 == 0
-    learn = ~fold
-    if len(set(toxic[fold])) < 2 or len(set(toxic[learn])) < 2:
-        fold = learn = np.ones(len(rows), bool)
-    pick, keep = np.flatnonzero(learn), np.flatnonzero(fold)
-    model = train([texts[i] for i in pick], toxic[pick])
-    calibrate(model, [texts[i] for i in keep], toxic[keep], weight[keep], [rows[i][3] for i in keep])
-    return model
+    def run(batches):
+        forget()
+        total = np.zeros(BUCKETS, np.int64)
+        for _, texts, _ in blocks(batches, SCORED_BYTES):
+            words, counts = word_features(texts, PREFIXES, BUCKETS)
+            of = np.repeat(np.arange(len(texts)), counts * words.shape[1])
+            total += np.bincount(np.unique(of * BUCKETS + words.ravel()) % BUCKETS, minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
+    counts = dealt.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    used = np.zeros(BUCKETS, bool)
+    used[counts.filter(F.col("n") >= LEAST_DOCS).select("bucket").toArrow()["bucket"].to_numpy()] = True
+    return used
 
-def packed(model: Model) -> bytes:
-    """A model as bytes: its arrays and numbers."""
-    out = io.BytesIO()
-    arrays = {f"filters{k}": x for k, x in enumerate(model.filters)} | {f"biases{k}": x for k, x in enumerate(model.biases)}
-    numbers = json.dumps([model.bias, model.scale, model.thresholds])
-    np.savez_compressed(out, embedding=model.embedding, weights=model.weights, numbers=np.array(numbers), **arrays)
-    return out.getvalue()
 
+def changes(dealt: DataFrame, used: np.ndarray, table: np.ndarray, balance: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``table`` and their change by one pass, averaged over the shards that changed them."""
+    names = [f"c{k}" for k in range(table.shape[1])]
 
-def unpacked(data: bytes) -> Model:
-    kept = np.load(io.BytesIO(data))
-    bias, scale, thresholds = json.loads(str(kept["numbers"]))
-    parts = [[kept[f"{name}{k}"] for k in range(len(WIDTHS))] for name in ("filters", "biases")]
-    return Model(kept["embedding"], *parts, kept["weights"], bias, tuple(scale), thresholds)
+    def run(batches):
+        forget()
+        model, rng = None, None
+        for shard, texts, toxic in blocks(batches, LEARNED_BYTES):
+            if model is None:
+                model, seen = opened(used, table)
+                before = flat(model, seen)
+                rng = np.random.default_rng([SEED, turn, shard])
+            learn(model, seen, texts, toxic, balance, rng)
+        if model is not None:
+            change = np.rint((flat(model, seen) - before) * CHANGE_PARTS).astype(np.int64)
+            at = np.flatnonzero(change.any(axis=1))
+            columns = [pa.array(at.astype(np.int32)), *(pa.array(change[at, k]) for k in range(len(names)))]
+            yield pa.record_batch(columns, ["at", *names])
+
+    kind = ", ".join(["at int", *(f"{c} long" for c in names)])
+    mean = [(F.sum(c) / F.count("*") / CHANGE_PARTS).cast("float").alias(c) for c in names]
+    found = dealt.mapInArrow(run, kind).groupBy("at").agg(*mean).toArrow()
+    return found["at"].to_numpy(), np.stack([found[c].to_numpy() for c in names], axis=1)
+
+
+def logits(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(logit, toxic, number of rows, lang): the uncalibrated logits of all ``rows``, rounded and counted."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        raw = np.concatenate([model.raw(part) for _, part in stretches(batch.column(4), SCORED_BYTES)])
+        part = np.rint(raw * LOGIT_PARTS).astype(np.int64)
+        yield pa.record_batch([*(batch.column(k) for k in range(4)), pa.array(part)], ["id", "copy", "toxic", "lang", "part"])
+
+    marked = rows.select("id", copy_key().alias("copy"), "toxic", "lang", "text")
+    kind = T.StructType([*marked.drop("text").schema, T.StructField("part", T.LongType())])
+    once = map_rows(marked, run, kind).dropDuplicates(["id", "copy", "toxic"])
+    found = once.groupBy("lang", "toxic", "part").count().orderBy("part", "toxic", "lang").toArrow()
+    part, toxic, count = (found[c].to_numpy().astype(float) for c in ("part", "toxic", "count"))
+    return part / LOGIT_PARTS, toxic, count, np.array(found["lang"].to_pylist(), object)
 
 
 def scored(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text: str = "text", lang: str | None = "lang") -> DataFrame:
