@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tierflow.llm import near_copies, queries
@@ -92,3 +93,23 @@ def test_odd_rows(spark):
         [(None, "one two three"), (None, "four five six"), (3, ""), (4, "a b c d e f"), (4, "g h i j k l")], key=str
     )
     assert near_copies.one_of_each(table(spark, [])).count() == 0
+
+
+def test_pigeonring_finds_its_pairs_without_bands(spark, monkeypatch):
+    """Near copies of two bits or fewer are found by fingerprints alone, copies of a fingerprint too."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(12):
+        base = " ".join(f"w{rng.randint(0, 5000)}" for _ in range(1500))
+        rows += [base, edited(rng, base, 1), f"{base} {' '.join(base.split()[:6])}"]
+    rows = list(enumerate(rows))
+    fp = [near_copies.bit_majority(near_copies.shingle_set(t.encode(), 5), np.zeros(1, int))[0] for _, t in rows]
+    near = {(i, j) for j in range(len(rows)) for i in range(j) if int(fp[i] ^ fp[j]).bit_count() <= 2}
+    assert len(near) >= 12 and all(i // 3 == j // 3 for i, j in near)
+    monkeypatch.setattr(near_copies, "bands", lambda shingles: [])
+    left = {r.doc_id for r in queries.near_dedup(spark, table(spark, rows), None).collect()}
+    root = list(range(len(rows)))
+    for i, j in sorted(near):
+        a, b = sorted((root[i], root[j]))
+        root = [a if r == b else r for r in root]
+    assert left == set(root)

@@ -1,14 +1,14 @@
 """Near copies: documents whose sets of word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from min-wise hashing: of ``BANDS * ROWS`` permutations of the shingle
-hashes a document keeps the least values, and documents that agree on all ``ROWS`` values
-of a band are compared.  Two documents of similarity s agree on some band with probability
-1 - (1 - s**ROWS)**BANDS, which is 0.9996 at 0.8.  Each candidate pair is then verified on
-the whole shingle sets, so no pair below the similarity links.
-
-A SimHash of b bits differs in about 0.15 b bits at that similarity.  For such a radius the
-pigeonring guarantees no equal box of more than a few bits, so its candidates would grow
-with the square of the table; that is why this module does not use it.
+Candidates come from two sides, and every pair is then verified on the whole shingle sets,
+so no pair below the similarity links.  The one side is the pigeonring of ``simhash``: sets
+whose fingerprints differ in two bits or fewer.  A SimHash of b bits differs in about 0.15 b
+bits at similarity 0.8; for such a radius the pigeonring guarantees no equal box of more than
+a few bits, so its candidates would grow with the square of the table.  The pairs beyond its
+radius come from the other side, min-wise hashing: of ``BANDS * ROWS`` permutations of the
+shingle hashes a document keeps the least values, and documents that agree on all ``ROWS``
+values of a band are compared.  Two documents of similarity s agree on some band with
+probability 1 - (1 - s**ROWS)**BANDS, which is 0.9996 at 0.8.
 
 Equal sets are one from the start.  A bucket of more than ``PAIRS_UP_TO`` sets is first
 compared with a few leaders, and what they join is one; then only pairs of members that
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierflow.llm.common import copy_key, id_order, map_rows, one_row_of, stored
 from tierflow.llm.components import components
-from tierflow.llm.simhash import shingle_hashes
+from tierflow.llm.simhash import bit_majority, links as pigeonring, shingle_hashes
 from tierflow.operators.joins import join_per_key
 
 WORDS = 5
@@ -63,20 +63,22 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
 
 def sketches(rows: DataFrame, words: int) -> DataFrame:
-    """(id, copy, set, n, bands) of ``rows`` (id, copy, text): a name of the shingle set, its size, its bands."""
+    """(id, copy, set, n, fp, bands) of ``rows`` (id, copy, text): a name of the shingle set, its size, SimHash and bands."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names, sizes, keys = [], [], []
+        names, sizes, prints, keys = [], [], [], []
         texts = batch.column(2).cast(pa.binary())
         for row in range(len(texts)):
             shingles = shingle_set(texts[row].as_py() or b"", words)
             names.append(xxhash.xxh128_digest(shingles.tobytes()))
             sizes.append(len(shingles))
+            prints.append(bit_majority(shingles, np.zeros(1, np.int64))[0])
             keys.append(bands(shingles))
-        columns = [pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.record_batch([batch.column(0), batch.column(1), *columns], ["id", "copy", "set", "n", "bands"])
+        fps = pa.array(np.array(prints, np.uint64).view(np.int64))
+        columns = [pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), fps, pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.record_batch([batch.column(0), batch.column(1), *columns], ["id", "copy", "set", "n", "fp", "bands"])
 
-    return map_rows(rows, run, "id long, copy string, set binary, n int, bands array<long>")
+    return map_rows(rows, run, "id long, copy string, set binary, n int, fp long, bands array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -116,17 +118,37 @@ def _sizes_allow(similarity: float):
     return F.least("n_u", "n_v") >= F.lit(similarity) * F.greatest("n_u", "n_v") - F.lit(1e-9)
 
 
+def pairs_by_fingerprint(distinct: DataFrame, similarity: float) -> DataFrame:
+    """(u, v) with u < v: candidates of ``distinct`` (set, n, fp) by the pigeonring, whose sizes allow the similarity.
+
+    A fingerprint is stood for by its least set: the others of it are paired with that one,
+    and linked fingerprints by theirs, so the pairs grow with the table and not with groups.
+    """
+    marked = distinct.filter("n > 0").select("fp", F.col("set").alias("v"), F.col("n").alias("n_v"))
+    least = F.min(F.struct("v", "n_v")).alias("least")
+    first = stored(marked.groupBy("fp").agg(least).select("fp", F.col("least.v").alias("u"), F.col("least.n_v").alias("n_u")))
+    same = join_per_key(marked, first, ["fp"]).select("u", "n_u", "v", "n_v")
+    near = pigeonring(first.select("fp")).select(F.col("u").alias("fp"), F.col("v").alias("other"))
+    other = first.select(F.col("fp").alias("other"), F.col("u").alias("v"), F.col("n_u").alias("n_v"))
+    near = near.join(first, "fp").join(other, "other").select("u", "n_u", "v", "n_v")
+    pairs = same.unionAll(near).filter("u <> v").filter(_sizes_allow(similarity))
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def links(distinct: DataFrame, texts_of, words: int, similarity: float) -> DataFrame:
-    """(u, v): links that give the components of ``distinct`` (set, n, bands).
+    """(u, v): links that give the components of ``distinct`` (set, n, fp, bands).
 
     ``texts_of`` gives (set, text) for a frame of sets.
     """
     entries = distinct.select("set", "n", F.posexplode("bands").alias("band", "key"))
     sizes = entries.groupBy("band", "key").count().filter("count > 1")
     entries = stored(join_per_key(entries, sizes, ["band", "key"]))
-    texts = stored(texts_of(entries.select("set").distinct()))
+    pairs = stored(pairs_by_fingerprint(distinct, similarity))
+    compared = entries.select("set").unionAll(pairs.select("u")).unionAll(pairs.select("v"))
+    texts = stored(texts_of(compared.distinct()))
     crowded = entries.filter(F.col("count") > PAIRS_UP_TO).select("band", "key", "set", "n")
-    edges = stored(verified(pairs_within(entries.filter(F.col("count") <= PAIRS_UP_TO), similarity), texts, words, similarity))
+    pairs = pairs.unionAll(pairs_within(entries.filter(F.col("count") <= PAIRS_UP_TO), similarity)).distinct()
+    edges = stored(verified(pairs, texts, words, similarity))
     if crowded.isEmpty():
         return edges
     for turn in range(LEADERS + 1):
@@ -165,13 +187,13 @@ def one_of_each(
     rows = docs.select(id_order(id_column).alias("id"), copy_key(text).alias("copy"), F.col(text).alias("text"))
     marked = stored(sketches(rows, words))
     first = F.min(F.struct("id", "copy")).alias("first")
-    distinct = stored(marked.groupBy("set").agg(first, F.first("n").alias("n"), F.first("bands").alias("bands")))
+    distinct = stored(marked.groupBy("set").agg(first, F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
 
     def texts_of(sets: DataFrame) -> DataFrame:
         wanted = distinct.join(sets, "set", "left_semi").select("first.id", "first.copy", "set")
         return rows.join(wanted, ["id", "copy"]).select("set", "text").dropDuplicates(["set"])
 
-    roots = components(links(distinct.select("set", "n", "bands"), texts_of, words, similarity))
+    roots = components(links(distinct.select("set", "n", "fp", "bands"), texts_of, words, similarity))
     named = distinct.join(roots, distinct["set"] == roots["node"], "left").select("first", F.coalesce("root", "set").alias("root"))
     winners = named.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.copy")
     return one_row_of(docs, winners, id_column, text)
