@@ -118,7 +118,10 @@ def _leaves(master):
         f"cast(METADATA.{field} as string) as {field}"
         for field in master.schema["METADATA"].dataType.names
     ]
-    return master.selectExpr(*cells, *metadata, "source_table")
+    # A function over an array stays out of the generated code, and so does its projection: all
+    # these cells in one method would be more than the JVM compiles; apart they are compiled.
+    tag = "element_at(transform(array(source_table), tag -> tag), 1) as source_table"
+    return master.selectExpr(*cells, *metadata, tag)
 
 
 def nested_guarded(spark, sf_dir):
