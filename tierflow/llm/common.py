@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -71,7 +72,15 @@ def worker_state() -> dict:
 def forget() -> None:
     """Let go of what tasks of another kind left in this worker."""
     sys.modules.pop(WORKER_STATE, None)
+    give_back()
+
+
+def give_back() -> None:
+    """Return to the system what this worker has freed: it idles on beside stages that need no Python."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory below its last block
+    if trim:
+        trim(0)
 
 
 def map_rows(
@@ -85,6 +94,8 @@ def map_rows(
         for batch in batches:
             if batch.num_rows:
                 yield from rows(batch)
+        batch = None  # else held until the task's end
+        give_back()
 
     return df.mapInArrow(run, schema)
 

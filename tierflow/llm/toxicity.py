@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tierflow.llm.common import copy_key, forget, map_rows, stored, stretches
+from tierflow.llm.common import copy_key, forget, give_back, map_rows, stored, stretches
 from tierflow.llm.words import word_features
 
 BUCKETS = 1 << 18
@@ -463,6 +463,8 @@ def changes(dealt: DataFrame, used: np.ndarray, table: np.ndarray, balance: np.n
             at = np.flatnonzero(change.any(axis=1))
             columns = [pa.array(at.astype(np.int32)), *(pa.array(change[at, k]) for k in range(len(names)))]
             yield pa.record_batch(columns, ["at", *names])
+            del texts, toxic, model, seen, before, change, columns
+        give_back()
 
     kind = ", ".join(["at int", *(f"{c} long" for c in names)])
     mean = [(F.sum(c) / F.count("*") / CHANGE_PARTS).cast("float").alias(c) for c in names]
