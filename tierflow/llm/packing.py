@@ -17,6 +17,7 @@ range, offset) is applied to the pieces by rank on the executors.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -24,27 +25,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tierflow.llm.common import map_rows, stored, stretches, worker_state
 
-#: Words whose ids a worker remembers, twice as many at most; of chunks half as many.  A word takes about 200 bytes.
+#: Words whose ids a worker remembers, twice as many at most.  A word takes about 200 bytes.
 REMEMBERED_WORDS = 600_000
 #: Bytes of text split into words at once; a longer text by itself.
-ENCODED_BYTES = 1_000_000
+ENCODED_BYTES = 4_000_000
 #: Words encoded in one call.
 TOGETHER = 400
 #: ASCII marks that can stand behind a word.
-MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class ChunkEncoder:
-    """Token ids of texts, remembering those of chunks between white space.
+    """Token ids of texts, remembering those of words.
 
     For tokenizers that lower-case, drop white space, take runs of letters and runs of
-    marks apart and end every word's last token with ``</w>``.  So a chunk's ids do not
-    depend on its neighbours, and those of a word with marks behind it are the word's
-    and the marks'.
+    marks apart and end every word's last token with ``</w>``.  So the ids of a chunk
+    between white space do not depend on its neighbours, and those of a word with marks
+    behind it are the word's and the marks'.  Chunks are found, told apart and put together
+    again by Arrow; only words that differ are looked up one by one.
     """
 
     def __init__(self, path: str, words: int | None = None):
@@ -55,44 +58,38 @@ class ChunkEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.chunks: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str, words: int) -> ChunkEncoder:
-        """One encoder per worker process."""
+        """One encoder per worker process, whose tasks have one core each."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         kept = worker_state()
         if (path, words) not in kept:
             kept[path, words] = cls(path, words)
         return kept[path, words]
 
-    def learn(self, chunks: set[bytes]) -> None:
-        """Make ``chunks`` known."""
-        if len(self.chunks) > self.bound // 2:
-            self.chunks = {}
-        new = [c for c in chunks if c not in self.chunks]
-        parts = [_word_and_marks(c) for c in new]
+    def known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of ``words``, which differ."""
         if len(self.words) > self.bound:
             # Words in use are taken over from the older half when they next occur.
             self.older, self.words = self.words, {}
-        words, missing = self.words, set()
-        for part in parts:
-            for word in part:
-                if word not in words:
-                    if word in self.older:
-                        words[word] = self.older[word]
-                    else:
-                        missing.add(word)
+        known, older, missing = self.words, self.older, []
+        for word in words:
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    missing.append(word)
         self._encode_words([w for w in missing if _only_letters(w)])
-        self._encode_each([w for w in missing if w not in words])
-        for chunk, part in zip(new, parts):
-            self.chunks[chunk] = b"".join([words[w] for w in part])
+        self._encode_each([w for w in missing if w not in known])
+        return [known[w] for w in words]
 
     def _encode_words(self, words: list[bytes]) -> None:
         """Words of letters only, many in a call, told apart by the ends of words."""
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        encoded = self.tokenizer.encode_batch([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
         for group, found in zip(groups, encoded):
             ids = np.array(found.ids, "<u4")
             ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
@@ -104,16 +101,33 @@ class ChunkEncoder:
                 at = end
 
     def _encode_each(self, parts: list[bytes]) -> None:
-        encoded = self.tokenizer.encode_batch([c.decode(errors="replace") for c in parts], add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast([c.decode(errors="replace") for c in parts], add_special_tokens=False)
         for part, found in zip(parts, encoded):
             self.words[part] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [text.split() for text in texts]  # at ASCII white space
-        self.learn(set().union(*split))
-        known = self.chunks
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        split = pc.ascii_split_whitespace(_strings(texts))
+        chunks = split.values.dictionary_encode()
+        words, marks = _words_and_marks(chunks.dictionary)
+        parts = pa.concat_arrays([words, marks]).dictionary_encode()
+        known = pa.array(self.known(_each(parts.dictionary)), pa.large_binary()).take(parts.indices)
+        ids = pc.binary_join_element_wise(known[: len(words)], known[len(words) :], pa.scalar(b"", pa.large_binary()))
+        ids = ids.take(chunks.indices)
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, np.int64)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[low:high]) for low, high in zip(at, at[1:])]
+
+
+def _strings(texts: list[bytes]) -> pa.StringArray:
+    """Bytes as strings whatever they hold; the functions used on them take bytes beyond ASCII as they are."""
+    column = pa.array(texts, pa.binary())
+    return pa.StringArray.from_buffers(len(column), *column.buffers()[1:])
+
+
+def _each(column: pa.StringArray) -> list[bytes]:
+    return column.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 def _only_letters(word: bytes) -> bool:
@@ -122,15 +136,19 @@ def _only_letters(word: bytes) -> bool:
     return word.isalpha() or not word.isascii() and unicodedata.normalize("NFC", word.decode(errors="replace")).lower().isalpha()
 
 
-def _word_and_marks(chunk: bytes) -> tuple[bytes, ...]:
-    """A chunk as a word and the marks behind it, where these are encoded apart; else whole."""
-    if b"<|" in chunk:
-        return (chunk,)  # might be a special token
-    chunk = chunk.lower()  # A-Z only
-    word = chunk.rstrip(MARKS)
-    if len(word) == len(chunk) or not _only_letters(word):
-        return (chunk,)
-    return word, chunk[len(word) :]
+def _words_and_marks(chunks: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
+    """Each chunk as a word and the marks behind it, where these are encoded apart; else whole, and no marks."""
+    special = pc.match_substring(chunks, "<|")  # might be a special token
+    whole = pc.if_else(special, chunks, pc.ascii_lower(chunks))  # A-Z only
+    words = pc.ascii_rtrim(whole, characters=MARKS)
+    behind = pc.subtract(pc.binary_length(whole), pc.binary_length(words)).to_numpy()
+    at = np.flatnonzero((behind > 0) & ~special.to_numpy(zero_copy_only=False))
+    marks = np.full(len(chunks), b"", object)
+    split = np.zeros(len(chunks), bool)
+    for k, word, chunk in zip(at.tolist(), *(_each(x.take(pa.array(at))) for x in (words, whole))):
+        if _only_letters(word):
+            split[k], marks[k] = True, chunk[len(word) :]
+    return pc.if_else(pa.array(split), words, whole), _strings(marks.tolist())
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, remembered: int | None = None) -> DataFrame:
