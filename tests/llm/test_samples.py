@@ -1,7 +1,11 @@
 """What the learned operators draw from: labels with documents, texts of any length."""
 
+import os
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from tierflow.llm import quality_rules, toxicity
@@ -76,3 +80,18 @@ def test_copies_are_learned_from_once(spark, monkeypatch):
     docs, marks = many(spark, 300)
     one, two = toxicity.fit(docs, marks), toxicity.fit(docs.unionAll(docs.repartition(3)), marks)
     assert np.array_equal(one.embedding, two.embedding) and np.array_equal(one.weights, two.weights) and one.scale == two.scale
+
+
+def test_no_network_stays_with_the_driver(spark, monkeypatch):
+    """What a pass sends to its tasks is taken away behind it, files and blocks."""
+    sent, broadcast = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(broadcast(self, value)) or sent[-1])
+    docs, marks = many(spark, 300)
+    model = toxicity.fit(docs, marks)
+    assert len(sent) == toxicity.EPOCHS
+    assert not any(os.path.exists(x._path) for x in sent)
+    slim = pickle.dumps(model)
+    again = pickle.loads(slim)
+    assert len(slim) < 200_000 and np.array_equal(again.embedding, model.embedding)
+    texts = [b"word3 vile x5", b"", b"word1 kind x2"]
+    assert np.array_equal(again.score(texts), model.score(texts))

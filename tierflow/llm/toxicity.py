@@ -67,6 +67,16 @@ class Model:
     scale: tuple[float, float] = (1.0, 0.0)
     thresholds: dict[str, float] = field(default_factory=dict)
 
+    def __getstate__(self) -> dict:
+        """What is sent to tasks: of the buckets only those that are not zero."""
+        at = np.flatnonzero(self.embedding.any(axis=1))
+        return self.__dict__ | {"embedding": (at.astype(np.int32), self.embedding[at])}
+
+    def __setstate__(self, state: dict) -> None:
+        at, known = state["embedding"]
+        self.__dict__ |= state | {"embedding": np.zeros((BUCKETS, DIM), np.float32)}
+        self.embedding[at] = known
+
     def embedded(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The texts' embeddings end to end, each followed by zeros; where texts start; which rows are zeros."""
         pad = max(WIDTHS) - 1
@@ -136,25 +146,26 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def blank(used: np.ndarray) -> tuple[Model, dict]:
+    """A network of zeros and its Adagrad sums; buckets that are not ``used`` stay so."""
+
+    def arrays() -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
+        filters = [np.zeros((w, DIM, FILTERS), np.float32) for w in WIDTHS]
+        return np.zeros((BUCKETS, DIM), np.float32), filters, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], np.zeros(FILTERS * len(WIDTHS))
+
+    return Model(*arrays(), 0.0), dict(zip("efbw", arrays())) | {"o": 0.0, "used": used}
+
+
 def begun(used: np.ndarray, seed: int = SEED) -> tuple[Model, dict]:
     """A network before training and its Adagrad sums; buckets that are not ``used`` are zero and stay so."""
     rng = np.random.default_rng(seed)
-    model = Model(
-        rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32),
-        [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
-        [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
-        np.abs(rng.normal(0, 0.3, FILTERS * len(WIDTHS))),
-        0.0,
-    )
-    model.embedding[~used] = 0
-    seen = {
-        "e": np.full((BUCKETS, DIM), 0.1, np.float32),
-        "f": [np.full(f.shape, 0.1, np.float32) for f in model.filters],
-        "b": [np.full(b.shape, 0.1, np.float32) for b in model.biases],
-        "w": np.full(model.weights.shape, 0.1),
-        "o": 0.1,
-        "used": used,
-    }
+    model, seen = blank(used)
+    model.embedding[used] = rng.normal(0, 0.1, (BUCKETS, DIM))[used]
+    model.filters = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
+    model.weights = np.abs(rng.normal(0, 0.3, FILTERS * len(WIDTHS)))
+    for array in (seen["e"], *seen["f"], *seen["b"], seen["w"]):
+        array += 0.1
+    seen["o"] = 0.1
     return model, seen
 
 
@@ -163,16 +174,16 @@ def flat(model: Model, seen: dict) -> np.ndarray:
 
     def rows(embedding, filters, biases, weights, bias) -> np.ndarray:
         rest = np.concatenate([*(f.ravel() for f in filters), *biases, weights, [bias]])
-        rest = np.append(rest, np.zeros(-len(rest) % DIM)).reshape(-1, DIM)
+        rest = np.append(rest, np.zeros(-len(rest) % DIM)).reshape(-1, DIM).astype(np.float32)
         return np.concatenate([embedding[seen["used"]], rest])
 
     own = rows(model.embedding, model.filters, model.biases, model.weights, model.bias)
-    return np.concatenate([own, rows(*(seen[k] for k in "efbwo"))], axis=1).astype(np.float32)
+    return np.concatenate([own, rows(*(seen[k] for k in "efbwo"))], axis=1)
 
 
 def opened(used: np.ndarray, table: np.ndarray) -> tuple[Model, dict]:
     """The network that ``flat`` made a table of."""
-    model, seen = begun(used)
+    model, seen = blank(used)
     known = int(used.sum())
     for half, (embedding, filters, biases, weights) in enumerate(
         [(model.embedding, model.filters, model.biases, model.weights), (seen["e"], seen["f"], seen["b"], seen["w"])]
@@ -396,11 +407,9 @@ def trained(rows: DataFrame, shards: int, balance: np.ndarray) -> Model:
     )
     try:
         used = known_buckets(dealt)
-        model, seen = begun(used)
-        table = flat(model, seen)
+        table = flat(*begun(used))
         for turn in range(EPOCHS):
-            at, change = changes(dealt, used, table, balance, turn)
-            table[at] += change
+            change(dealt, used, table, balance, turn)
     finally:
         dealt.unpersist()
     return opened(used, table)[0]
@@ -445,31 +454,42 @@ def known_buckets(dealt: DataFrame) -> np.ndarray:
     return used
 
 
-def changes(dealt: DataFrame, used: np.ndarray, table: np.ndarray, balance: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``table`` and their change by one pass, averaged over the shards that changed them."""
+def change(dealt: DataFrame, used: np.ndarray, table: np.ndarray, balance: np.ndarray, turn: int) -> None:
+    """Change ``table`` by one pass, averaged over the shards that changed a row.
+
+    The network is broadcast for the pass and then taken away again everywhere, so that
+    neither the driver nor the executors hold those of the passes before.
+    """
     names = [f"c{k}" for k in range(table.shape[1])]
+    network = dealt.sparkSession.sparkContext.broadcast((used, table))
 
     def run(batches):
         forget()
         model, rng = None, None
         for shard, texts, toxic in blocks(batches, LEARNED_BYTES):
             if model is None:
-                model, seen = opened(used, table)
-                before = flat(model, seen)
+                model, seen = opened(*network.value)
                 rng = np.random.default_rng([SEED, turn, shard])
             learn(model, seen, texts, toxic, balance, rng)
         if model is not None:
-            change = np.rint((flat(model, seen) - before) * CHANGE_PARTS).astype(np.int64)
+            change = np.rint((flat(model, seen) - network.value[1]) * CHANGE_PARTS).astype(np.int64)
             at = np.flatnonzero(change.any(axis=1))
             columns = [pa.array(at.astype(np.int32)), *(pa.array(change[at, k]) for k in range(len(names)))]
             yield pa.record_batch(columns, ["at", *names])
-            del texts, toxic, model, seen, before, change, columns
+            del texts, toxic, model, seen, change, columns
         give_back()
 
     kind = ", ".join(["at int", *(f"{c} long" for c in names)])
     mean = [(F.sum(c) / F.count("*") / CHANGE_PARTS).cast("float").alias(c) for c in names]
-    found = dealt.mapInArrow(run, kind).groupBy("at").agg(*mean).toArrow()
-    return found["at"].to_numpy(), np.stack([found[c].to_numpy() for c in names], axis=1)
+    try:
+        found = dealt.mapInArrow(run, kind).groupBy("at").agg(*mean).toArrow()
+    finally:
+        network.destroy()
+    at = found["at"].to_numpy()
+    for k, name in enumerate(names):
+        table[at, k] += found[name].to_numpy()
+    del found
+    give_back()
 
 
 def logits(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
